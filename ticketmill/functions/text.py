@@ -103,13 +103,19 @@ def json_object_in(text: str | Column) -> Column:
     return F.nullif(F.regexp_extract(text, r"(?s)\{.*\}", 0), F.lit(""))
 
 
+def _only_object(text: Column) -> Column:
+    """The object a text consists of; null if anything follows it (the JSON parser alone would not mind)."""
+    listed = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
+    return F.when(F.try_variant_get(listed, "$[1]", "variant").isNull(), F.try_variant_get(listed, "$[0]", "variant"))
+
+
 # JSON forms Python counts as false.
 FALSY_JSON = ["", "null", "false", "0", "0.0", "-0", "-0.0", "[]", "{}"]
 
 
 def label_from_reply(reply: str | Column, field: str, default: str = "General") -> Column:
     """A label from a model's JSON reply; the default if the reply does not parse or the label is blank."""
-    parsed = F.try_parse_json(json_object_in(reply))
+    parsed = _only_object(json_object_in(reply))
     raw = F.try_variant_get(parsed, f"$.{field}", "string")
     kind = F.schema_of_variant(F.try_variant_get(parsed, f"$.{field}", "variant"))
     truthy = (kind == "STRING") | ~raw.isin(FALSY_JSON)
@@ -119,14 +125,14 @@ def label_from_reply(reply: str | Column, field: str, default: str = "General")
 
 def pattern_field(reply: str | Column, field: str) -> Column:
     """A text field of a model's pattern reply, null if absent or blank."""
-    parsed = F.try_parse_json(json_object_in(reply))
+    parsed = _only_object(json_object_in(reply))
     return F.nullif(F.trim(F.try_variant_get(parsed, f"$.{field}", "string")), F.lit(""))
 
 
 def vocabulary_of(labels: str | Column) -> Column:
     """A comma-separated list as an array, trimmed, without blanks."""
     column = F.col(labels) if isinstance(labels, str) else labels
-    return F.filter(F.transform(F.split(column, ","), F.trim), lambda x: x != "")
+    return F.filter(F.transform(F.split(column, ","), lambda x: F.trim(x)), lambda x: x != "")
 
 
 def label_in_vocabulary(label: Column, vocabulary: Column, default: str = "General") -> Column:

@@ -18,7 +18,7 @@ ISSUE_COLUMNS = ["id", "summary", "description", "feature", "error_type", "creat
 ISSUE_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in ISSUE_COLUMNS])
 FEATURE_FIELD = "customfield_10015"
 ERROR_FIELD = "customfield_10016"
-PAGE_SCHEMA = T.StructType([T.StructField("issues", T.ArrayType(T.VariantType()))])
+PAGE_SCHEMA = T.StructType([T.StructField("issues", T.ArrayType(T.StringType()))])
 EXCLUDED_TABLES = ("Summary", "Config", "Sheet1")
 
 
@@ -37,7 +37,7 @@ def require_columns(df: DataFrame, *names: str) -> DataFrame:
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
     """One row per issue from landed result pages ({"issues": [...]}, one per line)."""
     pages = spark.read.schema(PAGE_SCHEMA).json(path)
-    return pages.select(F.explode("issues").alias("issue"))
+    return pages.select(F.explode("issues").alias("raw")).withColumn("issue", F.try_parse_json("raw"))
 
 
 def _field(name: str) -> Column:
@@ -51,7 +51,10 @@ def _field_text(name: str) -> Column:
 def _field_json(name: str) -> Column:
     """JSON text of a field; null only if the field is absent (an explicit null is the text ``null``)."""
     value = _field(name)
-    return F.when(value.isNotNull(), F.coalesce(F.to_json(value), F.lit("null")))
+    text = F.when(F.schema_of_variant(value) == "STRING", F.to_json(value)).otherwise(
+        F.get_json_object("raw", f"$.fields.{name}")
+    )
+    return F.when(value.isNotNull(), F.coalesce(text, F.lit("null")))
 
 
 def or_blank(column: Column) -> Column:
