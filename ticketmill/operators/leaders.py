@@ -22,7 +22,7 @@ from ticketmill.operators import vectors as vx
 from ticketmill.operators.ranking import join_by_key, with_position
 from ticketmill.session import Workspace
 
-FIRST_BATCH = 50_000
+FIRST_BATCH = 4_096
 # pairs a batch may have with itself; beyond, the batch is shortened, which changes the work but not the result
 PAIR_BUDGET = 200_000_000
 SAMPLE_ROWS = 4_000
@@ -150,14 +150,15 @@ def leader_clusters(
     ws: Workspace,
     vectors: DataFrame,
     t: float,
-    width: int | None = None,
+    width: int | None = vx.MAX_FEATURES,
     guard: bool = True,
     first_batch: int = FIRST_BATCH,
     budget: int = PAIR_BUDGET,
 ) -> DataFrame:
     """Cluster ids per ``seq``; null for zero vectors, which still use up an id each.
 
-    ``width`` selects the dense join for vectors of that dimension, else the sparse one is used.
+    Vectors of up to ``width`` entries are compared by the dense join; ``width=None`` chooses the inverted
+    index, which pays if the vocabulary is so large that vectors share few terms.
     ``guard``: if all vectors are alike, every row is its own cluster.
     """
     keyed = ws.save(vx.with_vector_key(vectors), "keyed")

@@ -102,8 +102,10 @@ def candidates(left: DataFrame, right: DataFrame, t: float, self_join: bool) ->
         .join(size(right, "b"), "term")
         .select("term", parts("a").alias("parts_l"), parts("b").alias("parts_r"))
     )
-    a = _split(left, "parts_l", "parts_r", "salt_l", "salt_r", splits).alias("a")
-    b = _split(right, "parts_r", "parts_l", "salt_r", "salt_l", splits).alias("b")
+    parallel = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    split = lambda df, *names: _split(df, *names, splits).repartition(parallel, "term", "salt_l", "salt_r")
+    a = split(left, "parts_l", "parts_r", "salt_l", "salt_r").alias("a")
+    b = split(right, "parts_r", "parts_l", "salt_r", "salt_l").alias("b")
     meets = (
         (F.col("a.term") == F.col("b.term"))
         & (F.col("a.salt_l") == F.col("b.salt_l"))
@@ -169,7 +171,9 @@ def _one(column) -> pa.Array:
 
 def _pick_pivots(vectors: DataFrame, rows: int, width: int) -> np.ndarray:
     """A few rows as cell centres, by hash; at most PIVOTS, so the driver's copy is bounded."""
-    wanted = min(PIVOTS, math.ceil(rows / (2 * BLOCK_ROWS)))
+    wanted = min(PIVOTS, rows // (4 * BLOCK_ROWS))
+    if wanted <= 1:
+        return np.zeros((0, width))
     picked = vectors.orderBy(F.xxhash64("pos"), "pos").limit(wanted).select("idx", "val").toArrow()
     return _matrix(_one(picked["idx"]), _one(picked["val"]), width)
 
@@ -217,8 +221,13 @@ def _reachable_cells(pivots: np.ndarray, radius: np.ndarray, reach: float):
     return assign
 
 
-def _compare_blocks(t: float, width: int, self_join: bool, best_only: bool):
+def _compare_blocks(t: float, width: int, self_join: bool, best_only: bool, half: bool):
+    """``half``: block pairs come in one order only, so a pair of different blocks is put in order here."""
+
     def compare(left: pa.Table, right: pa.Table) -> pa.Table:
+        if left.num_rows == 0 or right.num_rows == 0:
+            return pa.table({"l": pa.array([], pa.int64()), "r": pa.array([], pa.int64()), "sim": pa.array([], pa.float64())})
+        same = not half or left["block_l"][0] == left["block_r"][0]
         l_pos = left["pos"].to_numpy()
         order = np.argsort(right["pos"].to_numpy())
         r_pos = right["pos"].to_numpy()[order]
@@ -227,15 +236,18 @@ def _compare_blocks(t: float, width: int, self_join: bool, best_only: bool):
         sims = np.round(a @ b.T, SIM_DIGITS)
         if best_only:
             sims[l_pos[:, None] == r_pos[None, :]] = -2.0
-            best = sims.argmax(axis=1) if len(r_pos) else np.zeros(len(l_pos), int)
-            row = np.flatnonzero(sims[np.arange(len(l_pos)), best] > t) if len(r_pos) else np.array([], int)
+            best = sims.argmax(axis=1)
+            row = np.flatnonzero(sims[np.arange(len(l_pos)), best] > t)
             col = best[row]
         else:
             hit = sims >= t
-            if self_join:
+            if self_join and same:
                 hit &= l_pos[:, None] < r_pos[None, :]
             row, col = np.nonzero(hit)
-        return pa.table({"l": l_pos[row], "r": r_pos[col], "sim": sims[row, col]})
+        l, r = l_pos[row], r_pos[col]
+        if self_join:
+            l, r = np.minimum(l, r), np.maximum(l, r)
+        return pa.table({"l": l, "r": r, "sim": sims[row, col]})
 
     return compare
 
@@ -258,36 +270,45 @@ def cell_join(
     """
     self_join = right is None
     grp = F.col(group).cast("string") if group else F.lit("")
+    fields = ["grp", "pos", "idx", "val"]
     left = left.where(F.size("idx") > 0).select(grp.alias("grp"), "pos", "idx", "val")
     right = left if self_join else right.where(F.size("idx") > 0).select(grp.alias("grp"), "pos", "idx", "val")
     pivots = _pick_pivots(left, left.count(), width)
-    if len(pivots) == 0:
-        pivots = np.zeros((1, width))
-    fields = "grp string, pos long, idx array<int>, val array<double>, cell int"
-    homes = ws.save(left.mapInArrow(_home_cells(pivots), fields + ", angle double"), "homes")
-    radius = np.zeros(len(pivots)) - 10.0
-    for cell, angle in homes.groupBy("cell").agg(F.max("angle")).collect():  # at most PIVOTS rows
-        radius[cell] = angle
-    visits = ws.save(right.mapInArrow(_reachable_cells(pivots, radius, math.acos(min(t, 1.0))), fields), "visits")
+    if len(pivots) <= 1:
+        homes = left.withColumn("cell", F.lit(0))
+        visits = right.select(*[F.col(c).alias(c) for c in fields], F.lit(0).alias("cell"))
+    else:
+        schema = "grp string, pos long, idx array<int>, val array<double>, cell int"
+        homes = ws.save(left.mapInArrow(_home_cells(pivots), schema + ", angle double"), "homes")
+        radius = np.full(len(pivots), -10.0)
+        for cell, angle in homes.groupBy("cell").agg(F.max("angle")).collect():  # at most PIVOTS rows
+            radius[cell] = angle
+        reach = math.acos(min(t, 1.0))
+        visits = ws.save(right.mapInArrow(_reachable_cells(pivots, radius, reach), schema), "visits")
     key = ["grp", "cell"]
     blocks = lambda df, name: df.groupBy(*key).agg(F.ceil(F.count("*") / BLOCK_ROWS).alias(name))
-    splits = blocks(homes, "blocks_l").join(blocks(visits, "blocks_r"), key)
+    splits = ws.save(blocks(homes, "blocks_l").join(blocks(visits, "blocks_r"), key), "blocks")
+    tasks = [*key, "block_l", "block_r"]
+    half = self_join and len(pivots) <= 1
+    wanted = F.col("block_l") <= F.col("block_r") if half else F.lit(True)
+    parallel = int(ws.spark.conf.get("spark.sql.shuffle.partitions"))
 
     def spread(df: DataFrame, own: str, other: str, own_block: str, other_block: str) -> DataFrame:
         return (
-            df.select(*key, "pos", "idx", "val")
+            df.select(*fields, "cell")
             .join(splits, key)
             .withColumn(own_block, F.pmod(F.xxhash64("pos"), F.col(own)))
             .withColumn(other_block, F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(other) - 1)))
-            .select(*key, "block_l", "block_r", "pos", "idx", "val")
+            .where(wanted)
+            .select(*tasks, "pos", "idx", "val")
+            .repartition(parallel, *tasks)  # the work is in the comparing, not in the bytes AQE goes by
         )
 
-    tasks = [*key, "block_l", "block_r"]
     found = (
         spread(homes, "blocks_l", "blocks_r", "block_l", "block_r")
         .groupBy(*tasks)
         .cogroup(spread(visits, "blocks_r", "blocks_l", "block_r", "block_l").groupBy(*tasks))
-        .applyInArrow(_compare_blocks(t, width, self_join, best_only), "l long, r long, sim double")
+        .applyInArrow(_compare_blocks(t, width, self_join, best_only, half), "l long, r long, sim double")
     )
     if not best_only:
         return found

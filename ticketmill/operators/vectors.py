@@ -32,13 +32,13 @@ def _term_counts(words: Column) -> Column:
     return F.flatten(F.transform(F.filter(F.array(ordered), lambda s: F.size(s) > 0), runs))
 
 
-def row_terms(df: DataFrame, text: str | Column, seq: str = "seq") -> DataFrame:
-    """One row per (seq, term) with its count; rows without terms are kept with a null term.
+def row_terms(ws: Workspace, df: DataFrame, text: str | Column, seq: str = "seq") -> DataFrame:
+    """The distinct words of each row with their counts: (seq, terms).
 
-    Counting happens inside the row, so no shuffle is needed to group a ticket's words.
+    Counting happens inside the row, so no shuffle is needed to group a ticket's words. The result is
+    written once, since the vocabulary and the weights both read it and splitting text is the dear part.
     """
-    counted = df.select(F.col(seq).alias("seq"), F.explode_outer(_term_counts(tx.tokens(text))).alias("t"))
-    return counted.select("seq", F.col("t.term").alias("term"), F.col("t.n").alias("n"))
+    return ws.save(df.select(F.col(seq).alias("seq"), _term_counts(tx.tokens(text)).alias("terms")), "terms")
 
 
 def vocabulary(terms: DataFrame, max_features: int = MAX_FEATURES) -> DataFrame:
@@ -47,7 +47,8 @@ def vocabulary(terms: DataFrame, max_features: int = MAX_FEATURES) -> DataFrame:
     Ties are cut by term. The result has at most ``max_features`` rows.
     """
     counted = (
-        terms.where(F.col("term").isNotNull())
+        terms.select(F.explode("terms").alias("t"))
+        .select("t.term", "t.n")
         .groupBy("term")
         .agg(F.sum("n").alias("corpus_count"), F.count("*").alias("df"))
     )
@@ -66,19 +67,21 @@ def tfidf_vectors(
 ) -> DataFrame:
     """Unit TF-IDF vectors with idf = ln((1 + rows) / (1 + df)) + 1.
 
-    Two passes over the text: one for the vocabulary, one for the weights. The vocabulary is broadcast
-    (at most ``max_features`` rows); the one large shuffle is keyed by the unique ``seq``.
+    The vocabulary is broadcast (at most ``max_features`` rows). The one large shuffle is keyed by the
+    unique ``seq``, after the words of a row were packed on the map side.
     """
-    terms = row_terms(df, text, seq)
+    terms = row_terms(ws, df, text, seq)
     vocab = ws.save(vocabulary(terms, max_features), "vocabulary")
-    rows = df.agg(F.count("*").alias("rows")).scalar()
+    rows = terms.agg(F.count("*").alias("rows")).scalar()
     idf = F.log((rows + 1) / (F.col("df") + 1)) + 1
     weights = ws.save(vocab.select("term", "idx", idf.alias("idf")), "idf")
     entry = F.when(
         F.col("idx").isNotNull(), F.struct(F.col("idx"), (F.col("n") * F.col("idf")).alias("w"))
     )
     packed = (
-        terms.join(F.broadcast(weights), "term", "left")
+        terms.select("seq", F.explode_outer("terms").alias("t"))
+        .select("seq", "t.term", "t.n")
+        .join(F.broadcast(weights), "term", "left")
         .groupBy("seq")
         .agg(F.sort_array(F.collect_list(entry)).alias("entries"))
     )
@@ -114,8 +117,9 @@ def missing_vectors(rows: DataFrame, vectors: DataFrame, seq: str = "seq") -> Da
 
 
 def with_vector_key(vectors: DataFrame) -> DataFrame:
-    """Add a digest that is equal for equal vectors."""
-    return vectors.withColumn("vkey", F.md5(F.to_json(F.struct("idx", "val"))))
+    """Add a 128-bit digest that is equal for equal vectors."""
+    halves = [F.xxhash64(F.lit(half), "idx", "val").cast("string") for half in (1, 2)]
+    return vectors.withColumn("vkey", F.concat_ws(":", *halves))
 
 
 def distinct_vectors(ws: Workspace, keyed: DataFrame) -> DataFrame:

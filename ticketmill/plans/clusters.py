@@ -23,7 +23,12 @@ FILE_THRESHOLD = 0.85
 
 
 def cluster_tickets(
-    ws: Workspace, tickets: DataFrame, text: Column, t: float, vectors: DataFrame | None = None, width: int | None = None,
+    ws: Workspace,
+    tickets: DataFrame,
+    text: Column,
+    t: float,
+    vectors: DataFrame | None = None,
+    width: int | None = vx.MAX_FEATURES,
     guard: bool = True,
 ) -> DataFrame:
     """Add ``combined`` and ``cluster_id`` (null for tickets without a usable word) to tickets with a ``seq``."""
@@ -35,13 +40,13 @@ def cluster_tickets(
 
 
 def file_clusters(ws: Workspace, tickets: DataFrame, t: float = FILE_THRESHOLD, vectors: DataFrame | None = None,
-                  width: int | None = None) -> DataFrame:
+                  width: int | None = vx.MAX_FEATURES) -> DataFrame:
     """Clusters of the file based run: raw combined text, no guard against equal vectors."""
     return cluster_tickets(ws, tickets, tx.combined_text(), t, vectors, width, guard=False)
 
 
 def daily_clusters(ws: Workspace, tickets: DataFrame, t: float = TEXT_THRESHOLD, vectors: DataFrame | None = None,
-                   width: int | None = None, strip_ticket_keys: bool = False) -> DataFrame:
+                   width: int | None = vx.MAX_FEATURES, strip_ticket_keys: bool = False) -> DataFrame:
     """Clusters of the daily run: normalised text, with the guard."""
     return cluster_tickets(ws, tickets, tx.normalize_text(tx.combined_text(), strip_ticket_keys), t, vectors, width)
 

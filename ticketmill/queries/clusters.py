@@ -196,7 +196,7 @@ def phrase_crux(spark, folder):
 
 @query("vocabulary", f"WITH {ISSUES}, {tfidf_sql(norm_sql(COMBINED))} SELECT term, CAST(c AS BIGINT) AS corpus_count, df FROM vocab")
 def vocabulary(spark, folder):
-    terms = vx.row_terms(issues(spark, folder), tx.normalize_text(tx.combined_text()))
+    terms = vx.row_terms(Workspace(spark), issues(spark, folder), tx.normalize_text(tx.combined_text()))
     return vx.vocabulary(terms).select("term", "corpus_count", "df")
 
 
@@ -268,7 +268,7 @@ def cluster_count(spark, folder):
     vectors = vx.tfidf_vectors(ws, issues(spark, folder), tx.combined_text())
     folded = vx.distinct_vectors(ws, vectors.transform(vx.with_vector_key))
     placed = ws.save(with_position(ws, folded, ["seq"]), "rows").select("pos", "idx", "val")
-    leaders, _ = ld.leader_links(ws, placed, ld.sparse_near(ws, cl.FILE_THRESHOLD))
+    leaders, _ = ld.leader_links(ws, placed, ld.dense_near(ws, cl.FILE_THRESHOLD, vx.MAX_FEATURES))
     alone = vectors.where(F.size("idx") == 0).select(F.col("seq").alias("pos"))
     return leaders.unionByName(alone).agg(F.count("*").alias("clusters"))
 

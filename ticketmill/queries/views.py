@@ -10,8 +10,16 @@ from ticketmill.functions import text as tx
 STAMP = "yyyy-MM-dd'T'HH:mm:ss.SSS'+0000'"
 
 
+SPREAD = ("documents", "pages")
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    """A supplied table; one that fills fewer tasks than there are cores (a single small file) is spread."""
+    df = spark.read.parquet(f"{folder}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    if name in SPREAD and df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
 
 
 def _stamp(ts: Column) -> Column:
