@@ -107,15 +107,15 @@ def head_text(
 ) -> DataFrame:
     """The first ``length`` characters of a group's texts joined in order.
 
-    Every row adds at least the separator, so only the first ``length`` rows can matter; of these, the
-    rows that start within the cut are kept before any text is collected.
+    Every row but the first adds at least its separator, so rows after the first ``length + 1`` cannot matter;
+    of these, the rows that start within the cut are kept before any text is collected.
     """
-    head = ranked.where(F.col(rank) < length).select(
+    head = ranked.where(F.col(rank) <= length).select(
         group, rank, F.substring(F.coalesce(text, F.lit("")), 1, length).alias(text)
     )
     before = Window.partitionBy(group).orderBy(rank).rowsBetween(Window.unboundedPreceding, -1)
     start = F.coalesce(F.sum(F.length(text) + len(sep)).over(before), F.lit(0))
-    kept = head.withColumn("_start", start).where(F.col("_start") < length)
+    kept = head.withColumn("_start", start).where(F.col("_start") <= length)
     joined = kept.groupBy(group).agg(_in_order(text, rank, sep).alias(alias))
     return joined.withColumn(alias, F.substring(alias, 1, length))
 

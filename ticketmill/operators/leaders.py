@@ -176,14 +176,12 @@ def leader_clusters(
     leading = placed.join(leaders, "pos").select("seq", "pos")
     ids = leading.unionByName(zero.select("seq", F.lit(None).cast("bigint").alias("pos")))
     numbered = ws.save(with_position(ws, ids, ["seq"], "cluster_id"), "cluster-ids").where(F.col("pos").isNotNull())
-    last = links.groupBy(F.col("l").alias("pos")).agg(F.max("r").alias("leader"))
-    by_vector = (
-        placed.select("pos", "vkey", "n")
-        .join(last, "pos")
-        .join(numbered.select(F.col("pos").alias("leader"), "cluster_id"), "leader")
-        .select("vkey", "n", "cluster_id")
-    )
-    by_vector = ws.save(by_vector, "by-vector")
+    last = ws.save(links.groupBy(F.col("l").alias("pos")).agg(F.max("r").alias("leader")), "last-leaders")
+    # a leader of many vectors is a hot key, hence the size per leader
+    sizes = last.groupBy("leader").agg(F.count("*").alias("rows"))
+    named = ws.save(numbered.select(F.col("pos").alias("leader"), "cluster_id").join(sizes, "leader"), "leaders")
+    by_vector = join_by_key(placed.select("pos", "vkey", "n").join(last, "pos"), named, "leader", "rows")
+    by_vector = ws.save(by_vector.select("vkey", "n", "cluster_id"), "by-vector")
     assigned = join_by_key(keyed.where(F.size("idx") > 0).select("seq", "vkey"), by_vector, "vkey")
     nothing = zero.select("seq", F.lit(None).cast("bigint").alias("cluster_id"))
     return assigned.select("seq", "cluster_id").unionByName(nothing)

@@ -20,15 +20,19 @@ def _term_counts(words: Column) -> Column:
     ordered = F.sort_array(words)
 
     def runs(s: Column) -> Column:
-        starts = F.filter(
+        first = F.filter(
             F.sequence(F.lit(1), F.size(s)), lambda i: (i == 1) | (F.element_at(s, i) != F.element_at(s, i - 1))
         )
-        ends = F.concat(F.slice(starts, F.lit(2), F.size(starts)), F.array(F.size(s) + 1))
-        return F.zip_with(
-            starts, ends, lambda a, b: F.struct(F.element_at(s, a).alias("term"), (b - a).alias("n"))
-        )
 
-    # one-element transform: the sort runs once per row and the run-length steps share its result
+        def lengths(starts: Column) -> Column:
+            ends = F.concat(F.slice(starts, F.lit(2), F.size(starts)), F.array(F.size(s) + 1))
+            return F.zip_with(
+                starts, ends, lambda a, b: F.struct(F.element_at(s, a).alias("term"), (b - a).alias("n"))
+            )
+
+        return F.flatten(F.transform(F.array(first), lengths))
+
+    # one-element transforms: sorting and finding the starts happen once per row
     return F.flatten(F.transform(F.filter(F.array(ordered), lambda s: F.size(s) > 0), runs))
 
 
@@ -58,8 +62,14 @@ def vocabulary(terms: DataFrame, max_features: int = MAX_FEATURES) -> DataFrame:
 
 
 def _unit(entries: Column) -> tuple[Column, Column]:
+    """Term numbers, and weights divided by the vector's length."""
+
+    def scaled(norm: Column) -> Column:
+        return F.transform(entries, lambda e: e["w"] / norm)
+
     norm = F.sqrt(F.aggregate(entries, F.lit(0.0), lambda s, e: s + e["w"] * e["w"]))
-    return F.transform(entries, lambda e: e["idx"]), F.transform(entries, lambda e: e["w"] / norm)
+    # one-element transform: the length is found once per row, not once per weight
+    return F.transform(entries, lambda e: e["idx"]), F.flatten(F.transform(F.array(norm), scaled))
 
 
 def tfidf_vectors(

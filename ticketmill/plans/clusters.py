@@ -73,7 +73,7 @@ def _ranked_texts(ranks: DataFrame, clustered: DataFrame, rows: int) -> DataFram
 
 def cluster_context(ranks: DataFrame, clustered: DataFrame) -> DataFrame:
     """The head of each cluster's joined texts, as handed to a model."""
-    texts = _ranked_texts(ranks, clustered, pr.CLUSTER_TEXT_LENGTH)
+    texts = _ranked_texts(ranks, clustered, pr.CLUSTER_TEXT_LENGTH + 1)
     return ag.head_text(texts, "cluster_id", "combined", "context")
 
 
