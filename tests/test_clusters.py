@@ -119,7 +119,7 @@ def test_leaders_match_the_row_by_row_rule(spark, ws, seed, n, t):
     assert ids_of(ld.leader_clusters(ws, table, t, width=3, guard=False)) == expected
 
 
-@pytest.mark.parametrize("budget", [ld.PAIR_BUDGET, 30])
+@pytest.mark.parametrize("budget", [None, 30])
 def test_leaders_in_many_batches_and_within_a_small_budget(spark, ws, budget):
     x = sparse_vectors(6, 70)
     x[40:62] = x[3]  # exact copies

@@ -25,12 +25,13 @@ def most_frequent(df: DataFrame, group: list[str], fields: list[str], default: s
         .groupBy(*group, F.col("p.field").alias("field"), F.col("p.value").alias("value"))
         .agg(F.count("p.value").alias("n"))
     )
-    # min_by with (-n, value) is the value of the highest count, then the smallest value
-    best = counted.groupBy(*group, "field").agg(
-        F.min_by("value", F.when(F.col("n") > 0, F.struct(-F.col("n"), F.col("value")))).alias("value")
-    )
-    picks = [F.coalesce(F.max(F.when(F.col("field") == f, F.col("value"))), F.lit(default)).alias(f) for f in fields]
-    return best.groupBy(*group).agg(*picks)
+
+    def pick(field: str) -> Column:
+        # the smallest (-n, value) belongs to the highest count, then to the smallest value
+        rank = F.when((F.col("field") == field) & (F.col("n") > 0), F.struct(-F.col("n"), F.col("value")))
+        return F.coalesce(F.min_by("value", rank), F.lit(default)).alias(field)
+
+    return counted.groupBy(*group).agg(*[pick(f) for f in fields])
 
 
 def first_seen_mode(df: DataFrame, group: list[str], field: str, order: str, default: str = "N/A") -> DataFrame:

@@ -23,9 +23,11 @@ from ticketmill.operators.ranking import join_by_key, with_position
 from ticketmill.session import Workspace
 
 FIRST_BATCH = 4_096
-# pairs a batch may have with itself; beyond, the batch is shortened, which changes the work but not the result
+# pairs a batch may have with itself, or PAIRS_PER_ROW for each row of the table if that is more; beyond, the
+# batch is shortened, which changes the work but not the result
 PAIR_BUDGET = 200_000_000
-SAMPLE_ROWS = 4_000
+PAIRS_PER_ROW = 20
+SAMPLE_ROWS = 20_000
 
 Near = Callable[[DataFrame, DataFrame | None], DataFrame]
 
@@ -48,15 +50,18 @@ def covered_rows(ws: Workspace, pairs: DataFrame) -> DataFrame:
     found = None
     while not pairs.isEmpty():
         later = pairs.select(F.col("r").alias("l")).distinct()
-        heads = pairs.select("l").distinct().join(later, "l", "left_anti")
-        covered = ws.save(pairs.join(heads, "l").select("r").distinct(), "covered")
-        found = covered if found is None else found.union(covered)
-        # a head's pairs all end in covered rows, so dropping covered rows on both sides drops the heads too
-        open_pairs = pairs.join(covered, "r", "left_anti").join(
-            covered.withColumnRenamed("r", "l"), "l", "left_anti"
+        heads = pairs.select("l").distinct().join(later, "l", "left_anti").withColumn("head", F.lit(True))
+        marked = pairs.join(heads, "l", "left")
+        covered = marked.where("head").select("r").distinct().withColumn("gone", F.lit(True))
+        # a pair stays open if neither end is covered; a head's pairs all end in covered rows, so they go too
+        marked = marked.join(covered, "r", "left").join(
+            covered.select(F.col("r").alias("l"), F.col("gone").alias("l_gone")), "l", "left"
         )
-        pairs = ws.save(open_pairs.select("l", "r"), "open-pairs")
-    return found if found is not None else pairs.select("r")
+        marked = ws.save(marked.select("l", "r", "head", "gone", "l_gone"), "round")
+        covered = marked.where("head").select("r")
+        found = covered if found is None else found.unionByName(covered)
+        pairs = marked.where("gone IS NULL AND l_gone IS NULL").select("l", "r")
+    return found.distinct() if found is not None else pairs.select("r")
 
 
 def _end_within_budget(rest: DataFrame, near: Near, count: int, end: int, budget: int) -> int:
@@ -89,10 +94,11 @@ def leader_links(
     rows: DataFrame,
     near: Near,
     first_batch: int = FIRST_BATCH,
-    budget: int = PAIR_BUDGET,
+    budget: int | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Leaders (``pos``) among ``rows`` (pos, idx, val; all non-zero), and each row's similar leaders (``l``, ``r``)."""
     total = (rows.agg(F.max("pos")).first()[0] or 0) + 1 if not rows.isEmpty() else 0
+    budget = budget or max(PAIR_BUDGET, PAIRS_PER_ROW * total)
     leaders: DataFrame | None = None
     links: DataFrame | None = None
     start, size = 0, first_batch
@@ -153,7 +159,7 @@ def leader_clusters(
     width: int | None = vx.MAX_FEATURES,
     guard: bool = True,
     first_batch: int = FIRST_BATCH,
-    budget: int = PAIR_BUDGET,
+    budget: int | None = None,
 ) -> DataFrame:
     """Cluster ids per ``seq``; null for zero vectors, which still use up an id each.
 
@@ -175,7 +181,7 @@ def leader_clusters(
     leaders, links = leader_links(ws, placed.select("pos", "idx", "val"), near, first_batch, budget)
     leading = placed.join(leaders, "pos").select("seq", "pos")
     ids = leading.unionByName(zero.select("seq", F.lit(None).cast("bigint").alias("pos")))
-    numbered = ws.save(with_position(ws, ids, ["seq"], "cluster_id"), "cluster-ids").where(F.col("pos").isNotNull())
+    numbered = with_position(ws, ids, ["seq"], "cluster_id").where(F.col("pos").isNotNull())
     last = ws.save(links.groupBy(F.col("l").alias("pos")).agg(F.max("r").alias("leader")), "last-leaders")
     # a leader of many vectors is a hot key, hence the size per leader
     sizes = last.groupBy("leader").agg(F.count("*").alias("rows"))

@@ -14,9 +14,12 @@ from ticketmill.operators import vectors as vx
 from ticketmill.operators.ranking import rank_in_group, with_position
 from ticketmill.plans import clusters as cl
 from ticketmill.plans import monthly as mo
+from ticketmill.plans import runs
 from ticketmill.queries.tables import query
 from ticketmill.queries.views import ISSUES, TOKEN_SQL, crux_sql, day, issues, mode_sql, norm_sql, table
 from ticketmill.session import Workspace
+from ticketmill.sources import issues as src
+from ticketmill.sources import sinks
 
 DENSE_THRESHOLD = 0.30
 DENSE_WIDTH = 64
@@ -358,3 +361,44 @@ def monthly_clusters(spark, folder):
 def monthly_report(spark, folder):
     ws, clustered = _monthly(spark, folder)
     return mo.monthly_report(ws, clustered).drop("month_start")
+
+
+RUN = FILE.replace("d.doc_id AS seq,", "row_number() OVER (ORDER BY d.doc_id DESC) - 1 AS seq,")
+
+
+@query("file_run", RUN + f""" SELECT cluster_id, count(*) AS ticket_count, string_agg(id, ', ' ORDER BY seq) AS tickets,
+  'Repeated issue pattern: ' || left(arg_min(combined, seq), {pr.SAMPLE_LENGTH}) || '...' AS pattern_summary
+FROM clustered WHERE cluster_id IS NOT NULL GROUP BY cluster_id""")
+def file_run(spark, folder):
+    """CSV to CSV: tickets are numbered from the newest, clustered, and summed up in the pattern table."""
+    ws = Workspace(spark)
+    source = ws.path("issues-csv")
+    sinks.write_csv(issues(spark, folder).select(*src.ISSUE_COLUMNS), source)
+    paths = runs.run_files(ws, source, ws.path("out"))
+    schema = (
+        "cluster_id long, pattern_summary string, detailed_summary string, root_cause string, recommendation string, "
+        "ticket_count long, tickets string, features_impacted string, error_types string, first_seen string, last_seen string, "
+        "frequency string, severity string"
+    )
+    patterns = src.read_csv(spark, paths["patterns"], schema)
+    return patterns.select("cluster_id", "ticket_count", "tickets", "pattern_summary")
+
+
+RECENT = ISSUES.replace("issues AS (", "everything AS (", 1) + """,
+issues AS (SELECT * FROM everything WHERE created >= TIMESTAMP '2024-02-01' - to_days(15))"""
+
+
+@query("daily_run", f"WITH {RECENT}, {tfidf_sql(norm_sql(COMBINED))} SELECT count(DISTINCT seq) AS tickets FROM v")
+def daily_run(spark, folder):
+    """Recent tickets to the stored report; every ticket with a usable word is in exactly one row of it."""
+    ws = Workspace(spark)
+    report = runs.run_daily(ws, issues(spark, folder), F.lit("2024-02-01").cast("timestamp"), ws.path("report"), days=15)
+    return report.agg(F.sum("total_tickets").alias("tickets"))
+
+
+@query("monthly_run_summary")
+def monthly_run_summary(spark, folder):
+    ws = Workspace(spark)
+    tickets = issues(spark, folder)
+    _, summary = runs.run_monthly(ws, tickets, F.lit("2024-03-10").cast("timestamp"), ws.path("months"))
+    return summary.drop("month_start")
