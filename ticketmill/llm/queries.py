@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ticketmill.llm import chat, licences
+from ticketmill.llm import chat, jaccard, licences
+from ticketmill.session import Workspace
 
 QUERIES = {}
 ORACLE = {}
@@ -35,3 +36,8 @@ def preference_pairs(spark, folder):
 @query("op5_licence_rules", licences.licence_sql())
 def licence_rules(spark, folder):
     return licences.licence_matches(table(spark, folder, "documents"))
+
+
+@query("op7_ngram_jaccard")
+def ngram_jaccard(spark, folder):
+    return jaccard.linked_groups(Workspace(spark), table(spark, folder, "documents"), k=4, num=85, den=100)
