@@ -43,12 +43,12 @@ def flat_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[ends[0] : ends[-1]], ends - ends[0]
 
 
-def word_bounds(data: np.ndarray, row_starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Start and end of each word; the end of a row ends a word too."""
+def word_bounds(data: np.ndarray, row_starts: np.ndarray, outside: np.ndarray = SPACES) -> tuple[np.ndarray, np.ndarray]:
+    """Start and end of each run of bytes that are not ``outside``; the end of a row ends a run too."""
     n = len(data)
     if n == 0:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    inside = ~SPACES[data]
+    inside = ~outside[data]
     cut = np.zeros(n + 1, bool)
     cut[row_starts] = True
     starts = np.flatnonzero(inside & (cut[:n] | np.r_[True, ~inside[:-1]]))

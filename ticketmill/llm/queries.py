@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ticketmill.llm import chat, jaccard, licences
+from ticketmill.llm import chat, jaccard, licences, toxicity
 from ticketmill.session import Workspace
 
 QUERIES = {}
@@ -41,3 +41,9 @@ def licence_rules(spark, folder):
 @query("op7_ngram_jaccard")
 def ngram_jaccard(spark, folder):
     return jaccard.linked_groups(Workspace(spark), table(spark, folder, "documents"), k=4, num=85, den=100)
+
+
+@query("op9_toxicity_grades")
+def toxicity_grades(spark, folder):
+    docs = table(spark, folder, "documents")
+    return toxicity.score(docs, toxicity.train(spark, docs, table(spark, folder, "labels")))
