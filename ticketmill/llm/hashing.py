@@ -56,9 +56,12 @@ def word_bounds(data: np.ndarray, row_starts: np.ndarray, outside: np.ndarray =
     return starts, ends
 
 
-def hash_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Hashes of disjoint, ascending spans of the bytes as they are."""
-    out = np.zeros(len(starts), U64)
+def hash_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, heads: tuple[int, ...] = ()) -> list[np.ndarray]:
+    """Hashes of disjoint, ascending spans of the bytes as they are.
+
+    For each length in ``heads`` another array has the hashes of the first so many bytes of the spans that have them.
+    """
+    out: list[list[np.ndarray]] = [[np.zeros(0, U64)] for _ in range(1 + len(heads))]
     at = 0
     while at < len(starts):
         base = starts[at]
@@ -69,17 +72,21 @@ def hash_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nda
         sums[0] = 0
         np.cumsum((data[base : base + size].astype(U64) + U64(1)) * up, out=sums[1:])
         s, e = starts[at:to] - base, ends[at:to] - base
-        down = _powers(BASE_INVERSE, size)
-        out[at:to] = (sums[e] - sums[s]) * down[s]
+        down = _powers(BASE_INVERSE, size)[s]
+        low = sums[s]
+        out[0].append((sums[e] - low) * down)
+        for k, head in enumerate(heads, 1):
+            has = e - s >= head
+            out[k].append((sums[s[has] + head] - low[has]) * down[has])
         at = to
-    return mixed(out ^ U64(0x2545F4914F6CDD1D))
+    return [mixed(np.concatenate(x) ^ U64(0x2545F4914F6CDD1D)) for x in out]
 
 
 def words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Hash of every word of the column, and the offset of each row's first word (with the end as last entry)."""
     data, rows = flat_bytes(texts)
     starts, ends = word_bounds(data, rows)
-    return hash_spans(LOWER[data], starts, ends), np.searchsorted(starts, rows)
+    return hash_spans(LOWER[data], starts, ends)[0], np.searchsorted(starts, rows)
 
 
 def runs(hashes: np.ndarray, k: int) -> np.ndarray:

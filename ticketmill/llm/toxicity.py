@@ -1,9 +1,9 @@
 """Toxicity grades by cumulative-link ordinal regression on sparse text features.
 
-Features of a text are its words (runs of letters, digits and bytes above 127, A-Z in lower case) and the first 5 to 8
-bytes of longer words, each as a 64-bit hash with value log(1 + count). From all labelled rows the features of toxic
+Features of a text are its words (runs of letters, digits and bytes above 127, A-Z in lower case) and the first 4 to
+9 bytes of words that have them, each as a 64-bit hash with value log(1 + count). From all labelled rows the features of toxic
 texts are counted, then counted among the clean ones, and those that speak for toxicity stay. The labels say only toxic or
-not; a toxic text's grade is 1, 2 or 3 by the share of such features among its words (thirds of the toxic rows).
+not; a toxic text's grade is 1, 2 or 3 by the summed values of such features (thirds of the toxic rows).
 
 The model is the proportional-odds one: P(grade > k) = sigmoid(w x - c_k) with one weight vector for all ordered cuts c_k. The
 score is the expected grade, the sum of these probabilities; a text is rejected if P(grade > 0) is at least one half.
@@ -26,12 +26,12 @@ from pyspark.sql import functions as F
 
 from ticketmill.llm.hashing import LOWER, flat_bytes, hash_spans, word_bounds
 
-HEADS = (5, 6, 7, 8)  # bytes of word beginnings
+HEADS = (4, 5, 6, 7, 8, 9)  # bytes of word beginnings
 SAMPLE = 20_000  # labelled rows the weights are fitted on
 CANDIDATES = 50_000  # features of toxic texts that are counted among clean ones
 FEATURES = 4_000  # features of the model
 MIN_TOXIC = 5  # toxic texts a feature must appear in
-MIN_LIFT = 8.0  # how much more frequent it must be in toxic texts than in clean ones
+MIN_LIFT = 3.0  # how much more frequent it must be in toxic texts than in clean ones
 GRADES = 3
 RIDGE = 0.02
 
@@ -45,19 +45,16 @@ class Model(NamedTuple):
     cuts: np.ndarray  # ascending, one for each grade above 0
 
 
-def text_features(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hash and row of every feature occurrence, and the number of words of each row."""
+def text_features(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Hash and row of every feature occurrence."""
     data, rows = flat_bytes(texts)
     data = LOWER[data]
     starts, ends = word_bounds(data, rows, OUTSIDE)
     row = np.searchsorted(rows, starts, side="right") - 1
-    found, where = [hash_spans(data, starts, ends)], [row]
-    for head in HEADS:
-        longer = ends - starts > head
-        s = starts[longer]
-        found.append(hash_spans(data, s, s + head) ^ np.uint64(head))
-        where.append(row[longer])
-    return np.concatenate(found).view(np.int64), np.concatenate(where), np.bincount(row, minlength=len(texts))
+    found = hash_spans(data, starts, ends, HEADS)
+    where = [row, *(row[ends - starts >= head] for head in HEADS)]
+    found = [x ^ np.uint64(head) for x, head in zip(found, (0, *HEADS))]
+    return np.concatenate(found).view(np.int64), np.concatenate(where)
 
 
 def counted(hashes: np.ndarray, rows: np.ndarray, features: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -74,7 +71,7 @@ def counted(hashes: np.ndarray, rows: np.ndarray, features: np.ndarray) -> tuple
 def _distinct(batches):
     """Features of toxic texts with the number of texts that have them, by batch."""
     for batch in batches:
-        hashes, rows, _ = text_features(batch.column("text"))
+        hashes, rows = text_features(batch.column("text"))
         order = np.lexsort((hashes, rows))
         h, r = hashes[order], rows[order]
         first = np.r_[True, (h[1:] != h[:-1]) | (r[1:] != r[:-1])] if len(h) else np.zeros(0, bool)
@@ -86,7 +83,7 @@ def _known(features):
     def run(batches):
         held = features.value
         for batch in batches:
-            hashes, rows, _ = text_features(batch.column("text"))
+            hashes, rows = text_features(batch.column("text"))
             _, i, _ = counted(hashes, rows, held)
             n = np.bincount(i, minlength=len(held))
             yield pa.RecordBatch.from_pydict({"feature": held[n > 0], "n": n[n > 0].astype(np.int64)})
@@ -98,12 +95,12 @@ def _design(features):
     def run(batches):
         held = features.value
         for batch in batches:
-            hashes, rows, words = text_features(batch.column("text"))
+            hashes, rows = text_features(batch.column("text"))
             row, i, count = counted(hashes, rows, held)
             offsets = np.searchsorted(row, np.arange(batch.num_rows + 1))
             lists = lambda x: pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(x, pa.int32()))  # noqa: E731, B023
             yield pa.RecordBatch.from_arrays(
-                [batch.column("toxic"), pa.array(words, pa.int64()), lists(i), lists(count)], names=["toxic", "words", "i", "count"]
+                [batch.column("toxic"), lists(i), lists(count)], names=["toxic", "i", "count"]
             )
 
     return run
@@ -170,7 +167,7 @@ def train(
     held = spark.sparkContext.broadcast(features)
     rows = (
         texts.orderBy(F.xxhash64("id"), "id").limit(sample).select("text", "toxic")
-        .mapInArrow(_design(held), "toxic int, words long, i array<int>, count array<int>").toArrow()
+        .mapInArrow(_design(held), "toxic int, i array<int>, count array<int>").toArrow()
     )
     toxic = rows["toxic"].to_numpy()
     lists = rows["i"].combine_chunks()
@@ -179,11 +176,12 @@ def train(
     val = rows["count"].combine_chunks().flatten().to_numpy().astype(float)
     if toxic.min() == toxic.max():
         return empty
-    share = np.bincount(row, val, minlength=len(toxic)) / np.maximum(rows["words"].to_numpy(), 1)
-    thirds = np.quantile(share[toxic == 1], np.arange(1, GRADES) / GRADES)
-    grade = np.where(toxic == 1, 1 + np.searchsorted(thirds, share, side="right"), 0)
-    _, grade = np.unique(grade, return_inverse=True)  # without gaps, if shares tie
-    weights, cuts = fit_ordinal(row, col, np.log1p(val), grade, len(features))
+    val = np.log1p(val)
+    amount = np.bincount(row, val, minlength=len(toxic))
+    thirds = np.quantile(amount[toxic == 1], np.arange(1, GRADES) / GRADES)
+    grade = np.where(toxic == 1, 1 + np.searchsorted(thirds, amount, side="right"), 0)
+    _, grade = np.unique(grade, return_inverse=True)  # without gaps, if amounts tie
+    weights, cuts = fit_ordinal(row, col, val, grade, len(features))
     return Model(features, weights, cuts)
 
 
@@ -193,7 +191,7 @@ def severity(
     """Expected grade, number of cuts that are rather passed than not, and whether the text is rejected."""
     if not len(cuts):
         return np.zeros(len(texts)), np.zeros(len(texts), np.int32), np.zeros(len(texts), bool)
-    hashes, rows, _ = text_features(texts)
+    hashes, rows = text_features(texts)
     row, i, count = counted(hashes, rows, features)
     eta = np.bincount(row, np.log1p(count) * weights[i], minlength=len(texts))
     p = _sigmoid(eta[:, None] - cuts[None, :])
