@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ticketmill.llm import chat, jaccard, licences, toxicity
+from ticketmill.llm import chat, decontaminate, jaccard, licences, toxicity
 from ticketmill.session import Workspace
 
 QUERIES = {}
@@ -47,3 +47,8 @@ def ngram_jaccard(spark, folder):
 def toxicity_grades(spark, folder):
     docs = table(spark, folder, "documents")
     return toxicity.score(docs, toxicity.train(spark, docs, table(spark, folder, "labels")))
+
+
+@query("op1_template_leaks")
+def template_leaks(spark, folder):
+    return decontaminate.leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
