@@ -4,9 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ticketmill.llm import chat, decontaminate, jaccard, licences, toxicity
+from ticketmill.llm import bpe, chat, decontaminate, jaccard, licences, toxicity
 from ticketmill.session import Workspace
 
+try:
+    from public_tokenizers import path as tokenizer_path
+except ImportError:  # elsewhere, name the vocabulary files' folder
+
+    def tokenizer_path(name: str) -> str:
+        return f"/opt/tokenizers/{name}"
+
+
 QUERIES = {}
 ORACLE = {}
 
@@ -52,3 +60,8 @@ def toxicity_grades(spark, folder):
 @query("op1_template_leaks")
 def template_leaks(spark, folder):
     return decontaminate.leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query("op6_bpe_round_trip")
+def bpe_round_trip(spark, folder):
+    return bpe.digests(table(spark, folder, "documents"), tokenizer_path("word_bpe_49k.json"))
