@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ticketmill.llm import bpe, chat, decontaminate, jaccard, licences, toxicity
+from ticketmill.llm import bitpack, bpe, chat, decontaminate, jaccard, licences, toxicity
 from ticketmill.session import Workspace
 
 try:
@@ -65,3 +65,11 @@ def template_leaks(spark, folder):
 @query("op6_bpe_round_trip")
 def bpe_round_trip(spark, folder):
     return bpe.digests(table(spark, folder, "documents"), tokenizer_path("word_bpe_49k.json"))
+
+
+@query("op4_packed_tokens")
+def packed_tokens(spark, folder):
+    manifest = bitpack.write_tokens(
+        Workspace(spark), table(spark, folder, "documents"), tokenizer_path("byte_bpe_50k.json"), end_id=2, vocabulary=50_257
+    )
+    return bitpack.read_index(manifest)
