@@ -36,7 +36,7 @@ MAGIC = b"TOKBITS1"
 HEADER = "<8sIIIIQ"  # magic, bits, block size, documents, blocks, tokens
 HEADER_SIZE = struct.calcsize(HEADER)
 BLOCK = 1 << 16  # ids of a block, a multiple of 64
-PIECES = 200_000  # pieces kept per Python worker
+PIECES = 400_000  # pieces kept per Python worker
 FILE_TOKENS = 1 << 26  # a longer partition goes on in another file
 
 
@@ -168,7 +168,7 @@ class Encoder:
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
-        self.known: dict[str, np.ndarray] = {}
+        self.known: dict[str, bytes] = {}  # ids as 32-bit numbers
 
     @property
     def size(self) -> int:
@@ -184,10 +184,17 @@ class Encoder:
         if len(self.known) > PIECES:
             self.known = {}
         known = self.known
-        new = list({p for c in cut for p in c if p not in known})
-        for p, e in zip(new, self.library.encode_batch(new, add_special_tokens=False)):
-            known[p] = np.array(e.ids, np.uint32)
-        return [np.concatenate([known[p] for p in c]) if c else np.zeros(0, np.uint32) for c in cut]
+        new = {p for c in cut for p in c if p not in known}
+        # a letter and a stop or comma after it are never one pre-token
+        ended = [p for p in new if len(p) > 1 and p[-1] in ".," and p[-2].isalpha()]
+        new.difference_update(ended)
+        new.update(x for p in ended for x in (p[:-1], p[-1]) if x not in known)
+        todo = list(new)
+        for p, e in zip(todo, self.library.encode_batch(todo, add_special_tokens=False)):
+            known[p] = np.array(e.ids, "<u4").tobytes()
+        for p in ended:
+            known[p] = known[p[:-1]] + known[p[-1]]
+        return [np.frombuffer(b"".join([known[p] for p in c]), "<u4") for c in cut]
 
 
 def _open(uri: str):
@@ -207,13 +214,13 @@ def _encode_partition(folder: str, tokenizer: str, end_id: int, vocabulary: int)
         for batch in batches:
             ids = batch.column("id").fill_null(-(1 << 63)).to_pylist()
             texts = batch.column("text").to_pylist()
-            for s in range(0, len(ids), 500):
-                for i, tokens in zip(ids[s : s + 500], encoder.encode(texts[s : s + 500])):
+            for s in range(0, len(ids), 1000):
+                for i, tokens in zip(ids[s : s + 1000], encoder.encode(texts[s : s + 1000])):
                     if writer is None:
                         fs, base = _open(folder)
                         fs.create_dir(base, recursive=True)
                         name, first = f"{folder}/{uuid.uuid4().hex}.tok", i
-                        writer = Writer(fs.open_output_stream(_open(name)[1]), bits_for(vocabulary))
+                        writer = Writer(fs.open_output_stream(_open(name)[1], compression=None), bits_for(vocabulary))
                     writer.add(i, np.r_[tokens, np.uint32(end_id)].astype(np.uint32))
                     if writer.tokens >= FILE_TOKENS:
                         yield done()

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ticketmill.llm.hashing import LOWER, flat_bytes, hash_spans, runs, word_bounds
+from ticketmill.llm.hashing import LOWER, flat_bytes, hash_spans, pieces, runs, word_bounds
 
 WINDOW = 8
 LITERALS = 4
@@ -96,7 +96,7 @@ def _windows(bitmap):
 
     def run(batches):
         bits = None if bitmap is None else bitmap.value
-        for batch in batches:
+        for batch in pieces(batches):
             held, words, kind, offsets = template(batch.column("text"))
             hashes = runs(held, WINDOW)
             n = len(hashes)

@@ -34,6 +34,17 @@ def _powers(base: U64, n: int) -> np.ndarray:
     return np.multiply.accumulate(out)
 
 
+def pieces(batches, limit: int = 4 << 20):
+    """Arrow batches as smaller ones of about ``limit`` bytes, so that the arrays a task derives from them stay small."""
+    for batch in batches:
+        rows = max(1, batch.num_rows * limit // max(batch.nbytes, 1))
+        if rows >= batch.num_rows:
+            yield batch
+            continue
+        for s in range(0, batch.num_rows, rows):
+            yield batch.slice(s, rows)
+
+
 def flat_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """All bytes of a string column and where each row starts, with the end as last entry; nulls are empty."""
     texts = texts.cast(pa.large_binary()).fill_null(b"")

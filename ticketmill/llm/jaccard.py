@@ -7,8 +7,10 @@ shared, and a group is what links reach. The work is done on groups of similar d
    document stands for them from here on.
 2. Documents with the same smallest token form a first group, cut into chunks of bounded size that also hold the
    group's leader. A task opens one chunk, compares its members and reports one edge per newly linked member, so a large
-   group of near copies yields about one edge a document. Connected components make the similar groups exact.
-3. The matrix has the token union of each group (chunk of a component, or a single document). By the prefix
+   group of near copies yields about one edge a document. The same is done once more for the smallest tokens in two other
+   orders, where groups hold more than one component yet. Connected components make the groups of similar documents.
+3. The matrix has the token union of each group (chunk of a component, or a single document). It finds what the first
+   groups have missed, so these only save work. By the prefix
    principle only the first tokens in a common order, frequent ones last, need to be stored: two documents that link
    share one of them. Groups that share tokens are candidates, and the number of shared tokens bounds their overlap:
    what a prefix misses in the other's visible range is missing in the other set.
@@ -31,46 +33,61 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ticketmill.llm.components import components
-from ticketmill.llm.hashing import mixed, shingle_sets
+from ticketmill.llm.hashing import mixed, pieces, shingle_sets
+from ticketmill.llm.marks import bitmap, few, marked, only_marked
 from ticketmill.session import Workspace
 
 # members and tokens of a group that is opened in one task
 GROUP_DOCS = 64
 GROUP_TOKENS = 200_000
 # the most frequent tokens, which go last in the order; more would only change the work
-FREQUENT = 50_000
-# a token counts as frequent from so many documents of one batch
-FREQUENT_IN_BATCH = 4
+FREQUENT = 100_000
+# a token can be one of them if it comes so often in a stretch of so many tokens
+FREQUENT_TIMES = 2
+TOKENS_COUNTED = 3_000_000
 # digests a task remembers; forgetting some only means more documents that stand for themselves
 SEEN = 500_000
 
-SIGNATURE = "kind int, doc_id long, carrier long, n long, k1 long, k2 long, low long"
+LOWS = ("low", "low2", "low3")
+SIGNATURE = "kind int, doc_id long, carrier long, n long, k1 long, k2 long, low long, low2 long, low3 long"
 
 
 def _signatures(k: int):
     def run(batches):
         seen: dict = {}
-        for batch in batches:
+        held, waiting = [], 0
+        for batch in pieces(batches):
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             tokens, at = shingle_sets(batch.column(1), k)
             n = np.diff(at)
             u = tokens.view(np.uint64)
             sums = [np.r_[np.uint64(0), np.cumsum(mixed(u ^ np.uint64(salt)))] for salt in (0x51ED270B, 0xC2B2AE3D27D4EB4F)]
             k1, k2 = ((s[at[1:]] - s[at[:-1]]).view(np.int64) for s in sums)
-            low = np.zeros(len(n), np.int64)
-            low[n > 0] = tokens[at[:-1][n > 0]]
+            full = n > 0
+            lows = np.zeros((3, len(n)), np.int64)
+            lows[0, full] = tokens[at[:-1][full]]
+            for j, salt in ((1, 0x8EBC6AF09C88C6E3), (2, 0x589965CC75374CC3)):
+                if full.any():
+                    lows[j, full] = np.minimum.reduceat(mixed(u ^ np.uint64(salt)), at[:-1][full]).view(np.int64)
             carrier = np.array([seen.setdefault(key, i) for key, i in zip(zip(k1.tolist(), k2.tolist()), ids.tolist())], np.int64)
             if len(seen) > SEEN:
                 seen.clear()
-            yield pa.RecordBatch.from_pydict(
-                {"kind": np.zeros(len(n), np.int32), "doc_id": ids, "carrier": carrier, "n": n, "k1": k1, "k2": k2, "low": low}
-            )
-            values, counts = np.unique(tokens, return_counts=True)
-            values, counts = values[counts >= FREQUENT_IN_BATCH], counts[counts >= FREQUENT_IN_BATCH]
-            none = np.zeros(len(values), np.int64)
-            yield pa.RecordBatch.from_pydict(
-                {"kind": np.ones(len(values), np.int32), "doc_id": none, "carrier": none, "n": counts, "k1": none, "k2": none, "low": values}
-            )
+            row = {"kind": np.zeros(len(n), np.int32), "doc_id": ids, "carrier": carrier, "n": n, "k1": k1, "k2": k2}
+            yield pa.RecordBatch.from_pydict(row | dict(zip(LOWS, lows)))
+            held.append(tokens[np.repeat(carrier == ids, n)])
+            waiting += len(held[-1])
+            if waiting >= TOKENS_COUNTED:
+                yield repeated(held)
+                held, waiting = [], 0
+        if held:
+            yield repeated(held)
+
+    def repeated(held):
+        values, counts = np.unique(np.concatenate(held), return_counts=True)
+        values, counts = values[counts >= FREQUENT_TIMES], counts[counts >= FREQUENT_TIMES]
+        none = np.zeros(len(values), np.int64)
+        row = {"kind": np.ones(len(values), np.int32), "doc_id": none, "carrier": none, "n": counts, "k1": none, "k2": none}
+        return pa.RecordBatch.from_pydict(row | {"low": values, "low2": none, "low3": none})
 
     return run
 
@@ -79,7 +96,7 @@ def _tokens(k: int, keep: list[str]):
     """Columns kept, then the tokens of the last column's text."""
 
     def run(batches):
-        for batch in batches:
+        for batch in pieces(batches):
             tokens, at = shingle_sets(batch.column(batch.num_columns - 1), k)
             lists = pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(tokens))
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), lists], names=[*keep, "tokens"])
@@ -87,19 +104,31 @@ def _tokens(k: int, keep: list[str]):
     return run
 
 
-def _prefixes(k: int, num: int, den: int, frequent):
-    """Matrix entries of each document: its first tokens in the common order."""
+ENTRY = "token long, gid long, comp long, members long, n long, last long, p long, pos long, key long"
+
+
+def _prefixes(k: int, num: int, den: int, frequent, special=None):
+    """Matrix entries of each document: its first tokens in the common order.
+
+    With ``special``, a bitmap, input is (doc_id, text), each document stands for itself, and marked ones are left out.
+    """
 
     def run(batches):
         held = frequent.value  # tokens ascending, and the place of each among the frequent ones
-        for batch in batches:
+        for batch in pieces(batches):
+            if special is not None:
+                batch = batch.filter(pa.array(~marked(batch.column("doc_id").to_numpy(zero_copy_only=False), special.value)))
+                ids = batch.column("doc_id")
+                batch = pa.RecordBatch.from_arrays(
+                    [ids, ids, pa.array(np.ones(len(ids), np.int64)), batch.column("text")], names=["gid", "comp", "members", "text"]
+                )
             tokens, at = shingle_sets(batch.column("text"), k)
             place = np.full(len(tokens), -1, np.int64)
             if len(held[0]) and len(tokens):
                 i = np.minimum(np.searchsorted(held[0], tokens), len(held[0]) - 1)
                 same = held[0][i] == tokens
                 place[same] = held[1][i[same]]
-            out, last, size = [], [], []
+            out, last, size, keys = [], [], [], []
             for s, e in zip(at[:-1].tolist(), at[1:].tolist()):
                 n = e - s
                 p = n + num * n // -den + 1 if n else 0  # n - ceil(n num / den) + 1
@@ -107,14 +136,14 @@ def _prefixes(k: int, num: int, den: int, frequent):
                 rare = put < 0
                 if rare.all():
                     own = own[:p]
-                    top = int(own[-1]) >> 1 if p else 0
+                    order = own >> 1
                 else:
                     often = np.argsort(put[~rare], kind="stable")
                     order = np.r_[own[rare] >> 1, (1 << 62) + put[~rare][often]][:p]
                     own = np.r_[own[rare], own[~rare][often]][:p]
-                    top = int(order[-1])
                 out.append(own)
-                last.append(top)
+                keys.append(order)
+                last.append(int(order[-1]) if p else 0)
                 size.append(p)
             size = np.array(size, np.int64)
             rep = lambda x, size=size: np.repeat(np.asarray(x, np.int64), size)
@@ -125,6 +154,8 @@ def _prefixes(k: int, num: int, den: int, frequent):
                     "n": rep(np.diff(at)),
                     "last": rep(last),
                     "p": rep(size),
+                    "pos": np.arange(size.sum()) - np.repeat(np.r_[0, np.cumsum(size)[:-1]], size) + 1 if len(size) else size,
+                    "key": np.concatenate(keys) if keys else np.zeros(0, np.int64),
                 }
             )
 
@@ -222,7 +253,22 @@ def _fetch(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
     """The rows of ``wanted`` (with a ``doc_id``) with the tokens of their documents."""
     keep = wanted.columns
     schema = ", ".join(f"{c} {t}" for c, t in wanted.dtypes) + ", tokens array<long>"
-    return wanted.join(docs, "doc_id").select(*keep, "text").mapInArrow(_tokens(k, keep), schema)
+    return wanted.join(few(docs, "doc_id", wanted), "doc_id").select(*keep, "text").mapInArrow(_tokens(k, keep), schema)
+
+
+def _open_groups(ws: Workspace, docs: DataFrame, keyed: DataFrame, k: int, num: int, den: int) -> DataFrame:
+    """Rows (key, rep, n, comp) to edges (a, b) inside the groups of a key that hold more than one component."""
+    groups = keyed.groupBy("key").agg(
+        F.count("*").alias("m"), F.sum("n").alias("tokens"), F.min("rep").alias("leader"), F.min("comp").alias("c0"), F.max("comp").alias("c1")
+    )
+    groups = groups.where("c0 <> c1").select("key", "leader", _chunks(F.col("m"), F.col("tokens")).alias("chunks"))
+    groups = ws.save(groups, "groups")
+    own = keyed.join(groups, "key").select("key", _chunk_of("rep", "chunks").alias("chunk"), F.col("rep").alias("doc_id"))
+    numbers = F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1))
+    led = groups.where("chunks > 1").select("key", numbers.alias("chunk"), F.col("leader").alias("doc_id"))
+    wanted = ws.save(own.union(led).distinct(), "members")
+    chunks = _fetch(docs, wanted, k).groupBy("key", "chunk").agg(F.collect_list(F.struct("doc_id", "tokens")).alias("members"))
+    return ws.save(chunks.select("members").mapInArrow(_open_own(num, den), "a long, b long").where("a <> b"), "near")
 
 
 def _candidates(shared: DataFrame, num: int, den: int) -> DataFrame:
@@ -232,20 +278,22 @@ def _candidates(shared: DataFrame, num: int, den: int) -> DataFrame:
         (F.col("a_gid") < F.col("b_gid")) & (F.col("a_comp") != F.col("b_comp"))
         & (F.col("a_most") * den >= F.col("b_least") * num) & (F.col("b_most") * den >= F.col("a_least") * num)
     )
+    # what lies below the end of both prefixes is seen from both sides
+    seen = F.col("a_key") <= F.least("a_last", "b_last")
     pairs = met.groupBy("a_gid", "b_gid", "a_comp", "b_comp", "a_members", "b_members").agg(
-        F.count("*").alias("c"),
+        F.count_if(seen).alias("c"),
         *[F.min(f"{s}_{c}").alias(f"{s}_{c}") for s in "ab" for c in ("least", "last")],
-        *[F.max(f"{s}_{c}").alias(f"{s}_{c}") for s in "ab" for c in ("p",)],
+        *[F.max(F.when(seen, F.col(f"{s}_pos"))).alias(f"{s}_pos") for s in "ab"],
+        *[F.max(f"{s}_p").alias(f"{s}_p") for s in "ab"],
     )
     need = F.ceil((F.col("a_least") + F.col("b_least")) * num / F.lit(num + den))  # the least overlap of a link
-    misses = lambda s: F.col(f"{s}_p") - F.col("c") <= F.col(f"{s}_least") - need
-    single = lambda s: F.col(f"{s}_members") == 1
-    a_first = F.col("a_last") <= F.col("b_last")
-    possible = (
-        F.when(single("a") & a_first, misses("a"))
-        .when(single("b") & (~a_first | (F.col("a_last") == F.col("b_last"))), misses("b"))
-        .otherwise(True)
-    )
+
+    def fits(s: str, o: str) -> Column:
+        """Not more of a single document's tokens are missing on the other side than a link allows."""
+        visible = F.when(F.col(f"{s}_last") <= F.col(f"{o}_last"), F.col(f"{s}_p")).otherwise(F.coalesce(f"{s}_pos", F.lit(0)))
+        return (F.col(f"{s}_members") > 1) | (visible - F.col("c") <= F.col(f"{s}_least") - need)
+
+    possible = fits("a", "b") & fits("b", "a")
     return pairs.where(possible).select(
         F.col("a_gid").alias("a"), F.col("b_gid").alias("b"), F.col("a_comp").alias("a_comp"), F.col("b_comp").alias("b_comp")
     )
@@ -261,28 +309,26 @@ def linked_groups(
 
     # 1. sizes, digests, smallest tokens; one document for each set
     signed = ws.save(docs.mapInArrow(_signatures(k), SIGNATURE), "signatures")
-    rows = signed.where("kind = 0").select("doc_id", "carrier", "n", "k1", "k2", "low")
+    rows = signed.where("kind = 0").drop("kind")
     often = signed.where("kind = 1").groupBy("low").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "low").limit(FREQUENT)
-    often = np.array([r["low"] for r in often.select("low").collect()], np.int64)  # at most FREQUENT numbers
+    often = often.select("low").toArrow()["low"].to_numpy()  # at most FREQUENT numbers
     by_value = np.argsort(often)
     frequent = spark.sparkContext.broadcast((often[by_value], (len(often) - 1 - by_value).astype(np.int64)))
-    carriers = rows.where("n > 0 AND doc_id = carrier").select("doc_id", "n", "k1", "k2", "low").distinct()
+    carriers = rows.where("n > 0 AND doc_id = carrier").drop("carrier").distinct()
     reps = ws.save(
-        carriers.groupBy("k1", "k2").agg(F.min("doc_id").alias("rep"), F.min("n").alias("n"), F.min("low").alias("low")), "sets"
+        carriers.groupBy("k1", "k2").agg(F.min("doc_id").alias("rep"), F.min("n").alias("n"), *[F.min(c).alias(c) for c in LOWS]), "sets"
     )
 
     # 2. open the first groups
-    groups = reps.groupBy("low").agg(F.count("*").alias("m"), F.sum("n").alias("tokens"), F.min("rep").alias("leader")).where("m > 1")
-    groups = ws.save(groups.select("low", "leader", _chunks(F.col("m"), F.col("tokens")).alias("chunks")), "groups")
-    own = reps.join(groups, "low").select("low", _chunk_of("rep", "chunks").alias("chunk"), F.col("rep").alias("doc_id"))
-    led = groups.where("chunks > 1").select("low", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).alias("chunk"), F.col("leader").alias("doc_id"))
-    wanted = ws.save(own.union(led).distinct(), "members")
-    opened = (
-        _fetch(docs, wanted, k).groupBy("low", "chunk")
-        .agg(F.collect_list(F.struct("doc_id", "tokens")).alias("members"))
-        .select("members").mapInArrow(_open_own(num, den), "a long, b long")
+    keyed = reps.select("rep", "n", F.col("low").alias("key"), F.col("rep").alias("comp"))
+    edges = _open_groups(ws, docs, keyed, k, num, den)
+    near = ws.save(components(ws, edges), "components")
+    keyed = (
+        reps.join(near.withColumnRenamed("id", "rep"), "rep", "left")
+        .select("rep", "n", F.coalesce("component", "rep").alias("comp"), F.explode(F.array("low2", "low3")).alias("key"))
     )
-    near = components(ws, opened)
+    edges = edges.union(_open_groups(ws, docs, keyed, k, num, den))
+    near = components(ws, edges)
 
     # groups of the matrix: chunks of components, and single documents
     part = near.join(reps.select(F.col("rep").alias("id"), "n"), "id")
@@ -300,15 +346,19 @@ def linked_groups(
         "units",
     )
 
-    # 3. the matrix, and pairs of groups its bounds leave
-    entries = lambda units: units.join(docs, "doc_id").select("gid", "comp", "members", "text").mapInArrow(
-        _prefixes(k, num, den, frequent), "token long, gid long, comp long, members long, n long, last long, p long"
-    )
-    single = entries(units.where("members = 1")).select(
-        "token", "gid", "comp", "members", F.col("n").alias("least"), F.col("n").alias("most"), "last", "p"
+    # 3. the matrix, and pairs of groups its bounds leave; only copies and members of groups need the units, others stand alone
+    alone = units.where("members = 1").select("doc_id")
+    grouped = rows.where("n > 0").select("doc_id").join(alone, "doc_id", "left_anti")
+    special = spark.sparkContext.broadcast(bitmap(grouped, "doc_id"))
+    direct = docs.mapInArrow(_prefixes(k, num, den, frequent, special), ENTRY)
+    joined = (
+        units.join(docs.mapInArrow(only_marked("doc_id", special), docs.schema), "doc_id")
+        .select("gid", "comp", "members", "text").mapInArrow(_prefixes(k, num, den, frequent), ENTRY)
     )
-    union = entries(units.where("members > 1")).groupBy("token", "gid", "comp", "members").agg(
-        F.min("n").alias("least"), F.max("n").alias("most"), F.min("last").alias("last"), F.max("p").alias("p")
+    named = ("token", "gid", "comp", "members", "key")
+    single = direct.select(*named, F.col("n").alias("least"), F.col("n").alias("most"), "last", "p", "pos")
+    union = joined.groupBy(*named).agg(
+        F.min("n").alias("least"), F.max("n").alias("most"), F.min("last").alias("last"), F.max("p").alias("p"), F.max("pos").alias("pos")
     )
     of_token = Window.partitionBy("token")
     shared = ws.save(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ticketmill.llm import bitpack, bpe, chat, decontaminate, jaccard, licences, toxicity
+from ticketmill.llm import bitpack, bpe, chat, decontaminate, jaccard, licences, toxicity, voronoi, warc
 from ticketmill.session import Workspace
 
 try:
@@ -73,3 +73,15 @@ def packed_tokens(spark, folder):
         Workspace(spark), table(spark, folder, "documents"), tokenizer_path("byte_bpe_50k.json"), end_id=2, vocabulary=50_257
     )
     return bitpack.read_index(manifest)
+
+
+@query("op2_seekable_archives", warc.archive_sql())
+def seekable_archives(spark, folder):
+    manifest = warc.write_archives(Workspace(spark), table(spark, folder, "pages"))
+    return warc.read_archives(manifest).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query("op8_voronoi_top_k", voronoi.top_k_sql())
+def voronoi_top_k(spark, folder):
+    vectors = table(spark, folder, "embeddings")
+    return voronoi.top_k(Workspace(spark), vectors, vectors.where("vec_id % 100 = 0"), k=10)

@@ -2,13 +2,13 @@
 
 Features of a text are its words (runs of letters, digits and bytes above 127, A-Z in lower case) and the first 4 to
 9 bytes of words that have them, each as a 64-bit hash with value log(1 + count). From all labelled rows the features of toxic
-texts are counted, then counted among the clean ones, and those that speak for toxicity stay. The labels say only toxic or
+texts are counted, then counted in all documents, and those that are much more frequent in toxic texts stay. The labels say only toxic or
 not; a toxic text's grade is 1, 2 or 3 by the summed values of such features (thirds of the toxic rows).
 
 The model is the proportional-odds one: P(grade > k) = sigmoid(w x - c_k) with one weight vector for all ordered cuts c_k. The
 score is the expected grade, the sum of these probabilities; a text is rejected if P(grade > 0) is at least one half.
 
-Feature statistics cover all labelled rows. The weights are fitted on the driver on at most ``SAMPLE`` labelled rows,
+Feature statistics cover all labelled toxic rows and all documents. The weights are fitted on the driver on at most ``SAMPLE`` labelled rows,
 taken by hash of the id; every row is scored in its own task without a shuffle.
 
 Null and empty texts have no features and the lowest score. Without labels of both kinds nothing is toxic: severity 0.
@@ -24,14 +24,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticketmill.llm.hashing import LOWER, flat_bytes, hash_spans, word_bounds
+from ticketmill.llm.hashing import LOWER, flat_bytes, hash_spans, pieces, word_bounds
+from ticketmill.llm.marks import few
 
 HEADS = (4, 5, 6, 7, 8, 9)  # bytes of word beginnings
 SAMPLE = 20_000  # labelled rows the weights are fitted on
-CANDIDATES = 50_000  # features of toxic texts that are counted among clean ones
+CANDIDATES = 50_000  # features of toxic texts that are counted in all documents
 FEATURES = 4_000  # features of the model
 MIN_TOXIC = 5  # toxic texts a feature must appear in
-MIN_LIFT = 3.0  # how much more frequent it must be in toxic texts than in clean ones
+MIN_LIFT = 2.5  # how much more frequent it must be in toxic texts than in all
 GRADES = 3
 RIDGE = 0.02
 
@@ -70,7 +71,7 @@ def counted(hashes: np.ndarray, rows: np.ndarray, features: np.ndarray) -> tuple
 
 def _distinct(batches):
     """Features of toxic texts with the number of texts that have them, by batch."""
-    for batch in batches:
+    for batch in pieces(batches):
         hashes, rows = text_features(batch.column("text"))
         order = np.lexsort((hashes, rows))
         h, r = hashes[order], rows[order]
@@ -80,13 +81,18 @@ def _distinct(batches):
 
 
 def _known(features):
+    """Numbers of texts that have the known features; the row of feature 0 also counts the texts."""
+
     def run(batches):
         held = features.value
-        for batch in batches:
+        for batch in pieces(batches):
             hashes, rows = text_features(batch.column("text"))
             _, i, _ = counted(hashes, rows, held)
             n = np.bincount(i, minlength=len(held))
-            yield pa.RecordBatch.from_pydict({"feature": held[n > 0], "n": n[n > 0].astype(np.int64)})
+            has = np.flatnonzero(n)
+            yield pa.RecordBatch.from_pydict(
+                {"feature": np.r_[0, held[has]], "n": np.r_[0, n[has]], "rows": np.r_[batch.num_rows, np.zeros(len(has), np.int64)]}
+            )
 
     return run
 
@@ -94,7 +100,7 @@ def _known(features):
 def _design(features):
     def run(batches):
         held = features.value
-        for batch in batches:
+        for batch in pieces(batches):
             hashes, rows = text_features(batch.column("text"))
             row, i, count = counted(hashes, rows, held)
             offsets = np.searchsorted(row, np.arange(batch.num_rows + 1))
@@ -144,31 +150,32 @@ def train(
 ) -> Model:
     """A model from the texts that have a label."""
     said = labels.where(F.col(id_col).isNotNull() & F.col(toxic_col).isNotNull()).groupBy(F.col(id_col).alias("id")).agg(F.max(F.col(toxic_col).cast("int")).alias("toxic"))
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(said, "id")
+    texts = docs.select(F.col(id_col).alias("id"), F.xxhash64(id_col).alias("hash"), F.col(text_col).cast("string").alias("text"))
     empty = Model(np.zeros(0, np.int64), np.zeros(0), np.zeros(0))
-    sizes = {r["toxic"]: r["n"] for r in texts.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+    sizes = {r["toxic"]: r["n"] for r in said.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     if not sizes.get(0) or not sizes.get(1):
         return empty
+    bad = said.where("toxic = 1").select("id", F.xxhash64("id").alias("hash"))
     common = (
-        texts.where("toxic = 1").select("text").mapInArrow(_distinct, "feature long, n long").groupBy("feature")
-        .agg(F.sum("n").alias("n")).where(F.col("n") >= MIN_TOXIC).orderBy(F.desc("n"), "feature").limit(CANDIDATES).toPandas()
+        few(texts, "hash", bad).join(bad.select("id"), "id").select("text").mapInArrow(_distinct, "feature long, n long")
+        .groupBy("feature").agg(F.sum("n").alias("n")).where(F.col("n") >= MIN_TOXIC).orderBy(F.desc("n"), "feature").limit(CANDIDATES).toPandas()
     )
     common = common.sort_values("feature")
     held = spark.sparkContext.broadcast(common["feature"].to_numpy(np.int64))
-    clean = texts.where("toxic = 0").select("text").mapInArrow(_known(held), "feature long, n long").groupBy("feature").agg(F.sum("n").alias("n")).toPandas()
-    in_clean = common["feature"].map(dict(zip(clean["feature"], clean["n"]))).fillna(0).to_numpy()
+    every = texts.select("text").mapInArrow(_known(held), "feature long, n long, rows long").groupBy("feature").agg(F.sum("n").alias("n"), F.sum("rows").alias("rows")).toPandas()
+    known = dict(zip(every["feature"], every["n"]))
     rate1 = common["n"].to_numpy() / sizes[1]
-    rate0 = (in_clean + 0.5) / sizes[0]
-    speaks = np.flatnonzero(rate1 >= MIN_LIFT * rate0)
-    best = speaks[np.lexsort((speaks, -(rate1 * np.log(rate1 / rate0))[speaks]))][:FEATURES]
+    rate = np.array([known.get(f, 0) + 0.5 for f in common["feature"]]) / max(int(every["rows"].sum()), 1)
+    speaks = np.flatnonzero(rate1 >= MIN_LIFT * rate)
+    best = speaks[np.lexsort((speaks, -(rate1 * np.log(rate1 / rate))[speaks]))][:FEATURES]
     features = np.sort(common["feature"].to_numpy(np.int64)[best])
     if not len(features):
         return empty
     held = spark.sparkContext.broadcast(features)
-    rows = (
-        texts.orderBy(F.xxhash64("id"), "id").limit(sample).select("text", "toxic")
-        .mapInArrow(_design(held), "toxic int, i array<int>, count array<int>").toArrow()
-    )
+    chosen = F.broadcast(said.orderBy(F.xxhash64("id"), "id").limit(sample))  # at most that many ids
+    rows = texts.join(chosen, "id").select("text", "toxic").mapInArrow(_design(held), "toxic int, i array<int>, count array<int>").toArrow()
+    if not rows.num_rows:
+        return empty
     toxic = rows["toxic"].to_numpy()
     lists = rows["i"].combine_chunks()
     size = lists.value_lengths().to_numpy()
@@ -203,7 +210,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     held = docs.sparkSession.sparkContext.broadcast(tuple(model))
 
     def run(batches):
-        for batch in batches:
+        for batch in pieces(batches):
             s, g, t = severity(batch.column("text"), *held.value)
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(s), pa.array(g), pa.array(t)], names=[id_col, "severity", "grade", "toxic"])
 
@@ -217,7 +224,7 @@ def keep_clean(docs: DataFrame, model: Model, text_col: str = "text") -> DataFra
     at = docs.columns.index(text_col)
 
     def run(batches):
-        for batch in batches:
+        for batch in pieces(batches):
             _, _, toxic = severity(batch.column(at), *held.value)
             yield batch.filter(pa.array(~toxic))
 
