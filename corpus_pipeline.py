@@ -1,4 +1,4 @@
-"""From raw documents to token ids: toxic texts go, one document of each group of near copies stays, and so on.
+"""From raw documents to token ids: toxic texts go, one of each group of near copies stays, texts with benchmark items go.
 
 ``STAGES`` lists the stages in their order. Each takes (spark, docs, sf_dir) and returns a DataFrame, which is written as
 Parquet and read again as the next one's docs. All but the last return the columns of documents.
@@ -9,7 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticketmill.llm import jaccard, toxicity
+from ticketmill.llm import bpe, decontaminate, jaccard, toxicity
+from ticketmill.llm.queries import tokenizer_path
 from ticketmill.session import Workspace
 
 
@@ -29,7 +30,24 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
 
 
-STAGES = [("toxicity", drop_toxic), ("near_copies", drop_near_copies)]
+def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no item of the benchmark, also not with other numbers, units or names. Those without an id stay."""
+    found = decontaminate.leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    gone = found.select(F.col("doc_id").alias("_gone")).distinct()
+    return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows (doc_id, n_tokens, ids) of what is left."""
+    return bpe.encode_texts(docs, tokenizer_path("word_bpe_49k.json"))
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("near_copies", drop_near_copies),
+    ("decontamination", drop_leaks),
+    ("bpe", encode),
+]
 
 # the stages cannot be written in SQL; tests hold them against brute force
 ORACLE_SQL = None

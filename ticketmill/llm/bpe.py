@@ -24,11 +24,14 @@ import types
 import unicodedata
 from pathlib import Path
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ticketmill.llm.hashing import pieces
+
 # words kept per Python worker
 CACHE = 250_000
 ENDLESS = 1 << 60
@@ -342,10 +345,12 @@ def encode_texts(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
 
     def run(batches):
         coder = _coder(path)
-        for batch in batches:
+        for batch in pieces(batches):
             coded = [coder.coded(t.as_py() or "") for t in batch.column("text")]
-            ids = pa.array([[int(x) for x in c[1].split()] for c in coded], pa.list_(pa.int32()))
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array([c[0] for c in coded], pa.int64()), ids], names=[id_col, "n_tokens", "ids"])
+            n = [c[0] for c in coded]
+            flat = np.fromstring(b" ".join([c[1] for c in coded if c[0]]).decode(), np.int32, sep=" ")
+            ids = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(n)], pa.int32()), pa.array(flat, pa.int32()))
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(n, pa.int64()), ids], names=[id_col, "n_tokens", "ids"])
 
     picked = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     return picked.mapInArrow(run, f"`{id_col}` {dict(picked.dtypes)['id']}, n_tokens long, ids array<int>")
@@ -360,7 +365,7 @@ def digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
 
     def run(batches):
         coder = _coder(path)
-        for batch in batches:
+        for batch in pieces(batches):
             n, a, b = [], [], []
             for t in batch.column("text"):
                 count, ids, names = coder.coded(t.as_py() or "")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ticketmill.llm import bitpack, bpe, chat, decontaminate, jaccard, licences, toxicity, voronoi, warc
+from ticketmill.llm import bitpack, bpe, chat, decontaminate, jaccard, licences, mainhtml, toxicity, voronoi, warc
 from ticketmill.session import Workspace
 
 try:
@@ -85,3 +85,8 @@ def seekable_archives(spark, folder):
 def voronoi_top_k(spark, folder):
     vectors = table(spark, folder, "embeddings")
     return voronoi.top_k(Workspace(spark), vectors, vectors.where("vec_id % 100 = 0"), k=10)
+
+
+@query("op10_minimum_cut_text", mainhtml.article_sql())
+def minimum_cut_text(spark, folder):
+    return mainhtml.extract(table(spark, folder, "pages"))
