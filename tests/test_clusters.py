@@ -37,16 +37,14 @@ def as_table(spark, ws, x):
 
 
 def leaders_in_order(x, t):
-    sims = np.round(x @ x.T, 12)
-    ids, visited, leader = [None] * len(x), set(), 0
-    for i in range(len(x)):
-        if i not in visited:
-            members = [j for j in range(len(x)) if sims[i, j] >= t]
-            for j in members:
-                ids[j] = leader
-            visited.update(members)
-            leader += 1
-    return ids
+    """Ids by the definition: a row without an earlier similar leader leads; a row belongs to its last similar leader."""
+    similar = np.round(x @ x.T, 12) >= t
+    leads = np.zeros(len(x), bool)
+    for row in range(len(x)):
+        leads[row] = not (similar[row, :row] & leads[:row]).any()
+    number = np.cumsum(leads) - 1
+    last = [np.flatnonzero(leads & line) for line in similar]
+    return [int(number[found[-1]]) if len(found) else None for found in last]
 
 
 def closest_pair_first(x, cut):

@@ -258,3 +258,40 @@ def test_summary_without_ages_and_tracker(spark):
     assert tracker == {1: (3, "Chronic", 5), 2: (1, "Fixed", 2)}
     assert [r["new_root_causes"] for r in ma.new_root_causes(snap).orderBy("month_start").collect()] == [1, 1, 1]
     assert {r["month_start"].month: r["common_error_type"] for r in ma.common_error_type(snap).collect()} == {1: "E", 2: "G", 3: "E"}
+
+
+def test_missing_causes_and_error_types_stay(spark):
+    rows = [("2024-01-01", 1, "f", None, "a", 1), ("2024-02-01", 2, "f", None, None, 2), ("2024-03-01", 3, "g", "e , e", "a", 3)]
+    snap = spark.createDataFrame(rows, "m string, cluster_id int, feature string, error_type string, root_cause string, total_tickets long")
+    snap = snap.withColumn("month_start", F.to_date("m")).withColumn("pos", F.col("cluster_id"))
+    assert [r["common_error_type"] for r in ma.month_health(snap).orderBy("month_start").collect()] == ["Unknown", "Unknown", "e"]
+    assert [r["seen_before"] for r in ma.seen_before(snap).orderBy("month_start").collect()] == [False, False, True]
+    assert ma.error_insights(snap, "pos").count() == 2
+    assert [r[1] for r in ma.causes_not_in_previous_month(snap).orderBy("month_start").collect()] == [1, 0, 1]
+
+
+def test_csv_goes_by_its_header(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('id,description,extra,summary\n1,"d ""x""\nline",e,s\n')
+    row = src.read_csv(spark, str(tmp_path / "a.csv"), required=("summary", "description")).collect()[0]
+    assert (row["id"], row["summary"], row["description"], row["extra"], row["feature"]) == ("1", "s", 'd "x"\nline', "e", None)
+    (tmp_path / "b.csv").write_text("id,title\n1,t\n")
+    with pytest.raises(ValueError, match="summary"):
+        src.read_csv(spark, str(tmp_path / "b.csv"), required=("summary",))
+
+
+def test_sources_keep_tickets_without_an_id(spark):
+    a = spark.createDataFrame([("x", 1), ("", 2), ("", 3)], "id string, v int")
+    b = spark.createDataFrame([("x", 4), ("", 5), ("y", 6), (None, 7)], "id string, v int")
+    assert sorted(r["v"] for r in src.append_sources(a, b).collect()) == [1, 2, 3, 5, 6, 7]
+
+
+def test_malformed_pages_are_an_error(spark, tmp_path):
+    (tmp_path / "p.json").write_text('{"issues": []}\n{"issues": [\n')
+    with pytest.raises(Exception, match="(?i)malformed"):
+        src.read_pages(spark, str(tmp_path / "p.json")).collect()
+
+
+def test_replies_lose_all_outer_white_space(spark):
+    df = spark.createDataFrame([('{"feature": "Pay\\n", "error_type": "\\n"}',)], "r string")
+    got = df.select(tx.label_from_reply("r", "feature").alias("a"), tx.label_from_reply("r", "error_type").alias("b")).collect()[0]
+    assert (got["a"], got["b"]) == ("Pay", "General")

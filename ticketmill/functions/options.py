@@ -17,6 +17,11 @@ def _printed(values: pd.Series) -> pd.Series:
     return values.map(lambda raw: None if raw is None else str(json.loads(raw)))
 
 
+@F.pandas_udf(T.ArrayType(T.StringType()))
+def _printed_items(lists: pd.Series) -> pd.Series:
+    return lists.map(lambda items: None if items is None else [None if i is None else str(json.loads(i)) for i in items])
+
+
 def _named(item: Column) -> Column:
     """The first non-empty text among ``value`` and ``name``."""
     return F.coalesce(
@@ -44,34 +49,18 @@ def option_text(raw_json: str | Column) -> Column:
         plain = F.when(F.schema_of_variant(item) == "STRING", F.try_variant_get(item, "$", "string"))
         return F.coalesce(plain, _named(item))
 
+    # items without a text are printed: their JSON goes through the batch function, the others are null there
     texts = F.transform(items, item_text)
-    blank = F.transform(items, lambda i: F.coalesce(F.schema_of_variant(i) == "STRING", F.lit(False)))
-    odd_item = F.exists(
-        F.arrays_zip(texts.alias("t"), blank.alias("b")), lambda z: z["t"].isNull() & ~z["b"]
-    )
+    odd = _printed_items(F.transform(items, lambda i: F.when(item_text(i).isNull(), F.to_json(i))))
+    texts = F.when(F.exists(texts, lambda t: t.isNull()), F.zip_with(texts, odd, lambda t, o: F.coalesce(t, o))).otherwise(texts)
     joined = F.array_join(F.filter(texts, lambda t: t != ""), ", ")
 
     text = F.when(is_text, F.try_variant_get(value, "$", "string"))
-    of_list = F.when(is_list & ~odd_item, F.when(joined == "", F.lit(UNKNOWN)).otherwise(joined))
+    of_list = F.when(is_list, F.when(joined == "", F.lit(UNKNOWN)).otherwise(joined))
     of_object = F.when(is_object, _named(value))
     native = F.coalesce(F.when(empty, F.lit(UNKNOWN)), text, of_list, of_object)
     rest = F.when(value.isNotNull() & native.isNull() & ~is_list, column)
-    odd_list = F.when(is_list & odd_item, column)
-    return F.coalesce(native, _printed_list(odd_list), _printed(rest), column)
-
-
-@F.pandas_udf(T.StringType())
-def _printed_list(values: pd.Series) -> pd.Series:
-    def text(raw):
-        if raw is None:
-            return None
-        parts = [
-            (item.get("value") or item.get("name") or item) if isinstance(item, dict) else item
-            for item in json.loads(raw)
-        ]
-        return ", ".join(s for s in map(str, parts) if s) or UNKNOWN
-
-    return values.map(text)
+    return F.coalesce(native, _printed(rest), column)
 
 
 def named_object_text(raw_json: str | Column) -> Column:

@@ -49,6 +49,11 @@ ENGLISH_STOP_WORDS = (
 ).split()
 
 
+def stripped(column: str | Column) -> Column:
+    """Without white space of any kind at either end."""
+    return F.regexp_replace(F.col(column) if isinstance(column, str) else column, rf"^{SPACE}+|{SPACE}+$", "")
+
+
 def blank_if_null(column: str | Column) -> Column:
     return F.coalesce(F.col(column) if isinstance(column, str) else column, F.lit(""))
 
@@ -120,19 +125,19 @@ def label_from_reply(reply: str | Column, field: str, default: str = "General")
     kind = F.schema_of_variant(F.try_variant_get(parsed, f"$.{field}", "variant"))
     truthy = (kind == "STRING") | ~raw.isin(FALSY_JSON)
     text = F.when(kind == "BOOLEAN", F.initcap(raw)).otherwise(raw)
-    return F.coalesce(F.nullif(F.trim(F.when(truthy, text)), F.lit("")), F.lit(default))
+    return F.coalesce(F.nullif(stripped(F.when(truthy, text)), F.lit("")), F.lit(default))
 
 
 def pattern_field(reply: str | Column, field: str) -> Column:
     """A text field of a model's pattern reply, null if absent or blank."""
     parsed = _only_object(json_object_in(reply))
-    return F.nullif(F.trim(F.try_variant_get(parsed, f"$.{field}", "string")), F.lit(""))
+    return F.nullif(stripped(F.try_variant_get(parsed, f"$.{field}", "string")), F.lit(""))
 
 
 def vocabulary_of(labels: str | Column) -> Column:
     """A comma-separated list as an array, trimmed, without blanks."""
     column = F.col(labels) if isinstance(labels, str) else labels
-    return F.filter(F.transform(F.split(column, ","), lambda x: F.trim(x)), lambda x: x != "")
+    return F.filter(F.transform(F.split(column, ","), stripped), lambda x: x != "")
 
 
 def label_in_vocabulary(label: Column, vocabulary: Column, default: str = "General") -> Column:

@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ticketmill.functions.text import stripped
+
 
 def clean_name(name: str | Column) -> Column:
     """Trimmed lower-case name."""
     column = F.col(name) if isinstance(name, str) else name
-    return F.lower(F.trim(F.coalesce(column, F.lit(""))))
+    return F.lower(stripped(F.coalesce(column, F.lit(""))))
 
 
 def _first_preferred(df: DataFrame, preferred: Column, value: str, position: str, alias: str) -> DataFrame:

@@ -61,9 +61,9 @@ def ticket_ranks(ws: Workspace, clustered: DataFrame) -> DataFrame:
     return ws.save(rank_in_group(ws, slim, "cluster_id", ["seq"]), "ranks")
 
 
-def id_lists(ranks: DataFrame, alias: str) -> DataFrame:
-    """First part of each cluster's id list, which is all of it up to LIST_PART tickets."""
-    return ag.list_parts(ranks, "cluster_id", "id").where(F.col("part") == 0).select("cluster_id", F.col("id").alias(alias))
+def id_lists(ranks: DataFrame, alias: str, size: int = ag.LIST_PART) -> DataFrame:
+    """Each cluster's id list in parts of ``size`` tickets: (cluster_id, part, ids). All parts together are the whole list."""
+    return ag.list_parts(ranks, "cluster_id", "id", size=size).select("cluster_id", "part", F.col("id").alias(alias))
 
 
 def _ranked_texts(ranks: DataFrame, clustered: DataFrame, rows: int) -> DataFrame:
@@ -77,6 +77,15 @@ def cluster_context(ranks: DataFrame, clustered: DataFrame) -> DataFrame:
     return ag.head_text(texts, "cluster_id", "combined", "context")
 
 
+def told_in_parts(texts: DataFrame, keys: list[str], prompt, model: BatchFunction, alias: str) -> DataFrame:
+    """What the model says of each group's whole text (keys, part, combined): its replies to the parts, joined in order."""
+    asked = reply_column(texts, prompt(F.col("combined")), model, "told")
+    said = F.nullif(tx.stripped("told"), F.lit(""))
+    ordered = F.array_sort(F.collect_list(F.when(said.isNotNull(), F.struct("part", said.alias("s")))))
+    joined = F.array_join(F.transform(ordered, lambda e: e["s"]), "\n")
+    return asked.groupBy(*keys).agg(F.nullif(joined, F.lit("")).alias(alias))
+
+
 def notes(clustered: DataFrame) -> DataFrame:
     """Stand-in summary from the first three ticket summaries of each cluster."""
     first = first_rows(
@@ -88,22 +97,30 @@ def notes(clustered: DataFrame) -> DataFrame:
     return first.groupBy("cluster_id").agg(pr.note_fallback(sample).alias("note"))
 
 
-def _summaries(ws: Workspace, clustered: DataFrame, ranks: DataFrame, model: BatchFunction | None) -> DataFrame:
-    """cluster_id, recurring_summary and the model's crux reply."""
+def _summaries(ws: Workspace, clustered: DataFrame, ranks: DataFrame, model: BatchFunction | None, whole: bool = False) -> DataFrame:
+    """cluster_id, recurring_summary and the model's crux reply. The model sees the head of the texts, or all with ``whole``."""
     base = notes(clustered)
     if model is None:
         return base.select("cluster_id", F.col("note").alias("recurring_summary"), F.lit(None).cast("string").alias("reply"))
-    asked = base.join(cluster_context(ranks, clustered), "cluster_id")
-    told = reply_column(asked, pr.summary_prompt(F.col("context")), model, "told")
+    if whole:
+        texts = ranks.select("cluster_id", "seq", "rank").join(clustered.select("seq", "combined"), "seq")
+        texts = ag.list_parts(texts, "cluster_id", "combined", sep="\n", size=ag.TEXT_PART)
+        told = base.join(told_in_parts(texts, ["cluster_id"], pr.summary_prompt, model, "told"), "cluster_id", "left")
+    else:
+        asked = base.join(cluster_context(ranks, clustered), "cluster_id")
+        told = reply_column(asked, pr.summary_prompt(F.col("context")), model, "told")
     told = ws.save(
-        told.select("cluster_id", F.coalesce(F.nullif(F.trim("told"), F.lit("")), F.col("note")).alias("recurring_summary")),
+        told.select("cluster_id", F.coalesce(F.nullif(tx.stripped("told"), F.lit("")), F.col("note")).alias("recurring_summary")),
         "summaries",
     )
     return reply_column(told, pr.crux_prompt(F.col("recurring_summary")), model, "reply")
 
 
-def daily_report(ws: Workspace, clustered: DataFrame, model: BatchFunction | None = None) -> DataFrame:
-    """One row per cluster: summary, crux, labels, size, ids, status, earliest completion date."""
+def daily_report(ws: Workspace, clustered: DataFrame, model: BatchFunction | None = None, list_part: int = ag.LIST_PART) -> DataFrame:
+    """One row per cluster: summary, crux, labels, size, ids, status, earliest completion date.
+
+    A cluster of more than ``list_part`` tickets has a row for each ``part`` of its id list, so the ids are complete.
+    """
     tickets = clustered.where(F.col("cluster_id").isNotNull())
     ranks = ticket_ranks(ws, clustered)
     base = tickets.groupBy("cluster_id").agg(
@@ -112,30 +129,30 @@ def daily_report(ws: Workspace, clustered: DataFrame, model: BatchFunction | Non
     labels = ag.most_frequent(tickets, ["cluster_id"], ["feature", "error_type", "status"])
     phrase = kp.phrase_crux(tickets, "cluster_id", "combined", "phrase")
     summaries = _summaries(ws, clustered, ranks, model)
-    joined = _join_all([base, labels, id_lists(ranks, "example_ids"), summaries, phrase], "cluster_id")
+    joined = _join_all([base, labels, id_lists(ranks, "example_ids", list_part), summaries, phrase], "cluster_id")
     said = F.nullif(tx.crux_of("reply"), F.lit(tx.NO_CRUX))
     return joined.select(
         "cluster_id", "recurring_summary", F.coalesce(said, "phrase", F.lit(tx.NO_CRUX_TITLE)).alias("crux"),
-        "feature", "error_type", "total_tickets", "example_ids", "status", "create_date",
+        "feature", "error_type", "total_tickets", "example_ids", "status", "create_date", "part",
     )
 
 
-def board_report(ws: Workspace, clustered: DataFrame, model: BatchFunction | None = None) -> DataFrame:
-    """The daily report without a date; a crux is what the model says, unchanged."""
+def board_report(ws: Workspace, clustered: DataFrame, model: BatchFunction | None = None, list_part: int = ag.LIST_PART) -> DataFrame:
+    """The daily report without a date; the model sees all texts of a cluster, and a crux is what it says, unchanged."""
     tickets = clustered.where(F.col("cluster_id").isNotNull())
     ranks = ticket_ranks(ws, clustered)
     base = tickets.groupBy("cluster_id").agg(F.count("*").alias("total_tickets"))
     labels = ag.most_frequent(tickets, ["cluster_id"], ["feature", "error_type", "status"])
-    summaries = _summaries(ws, clustered, ranks, model)
-    joined = _join_all([base, labels, id_lists(ranks, "example_ids"), summaries], "cluster_id")
+    summaries = _summaries(ws, clustered, ranks, model, whole=True)
+    joined = _join_all([base, labels, id_lists(ranks, "example_ids", list_part), summaries], "cluster_id")
     return joined.select(
-        "cluster_id", "recurring_summary", F.coalesce(F.trim("reply"), F.lit(tx.NO_CRUX_TITLE)).alias("crux"),
-        "feature", "error_type", "total_tickets", "example_ids", "status",
+        "cluster_id", "recurring_summary", F.coalesce(tx.stripped("reply"), F.lit(tx.NO_CRUX_TITLE)).alias("crux"),
+        "feature", "error_type", "total_tickets", "example_ids", "status", "part",
     )
 
 
-def pattern_report(ws: Workspace, clustered: DataFrame, model: BatchFunction | None = None) -> DataFrame:
-    """The 13-column pattern table: texts, counts, ticket list, labels, first and last seen, severity."""
+def pattern_report(ws: Workspace, clustered: DataFrame, model: BatchFunction | None = None, list_part: int = ag.LIST_PART) -> DataFrame:
+    """The 13-column pattern table: texts, counts, ticket list, labels, first and last seen, severity; and ``part`` as in the daily report."""
     tickets = clustered.where(F.col("cluster_id").isNotNull())
     ranks = ticket_ranks(ws, clustered)
     first, last = ag.seen_between("created", "updated")
@@ -143,12 +160,12 @@ def pattern_report(ws: Workspace, clustered: DataFrame, model: BatchFunction | N
     features = ag.distinct_sorted(tickets, ["cluster_id"], "feature").withColumnRenamed("feature", "features_impacted")
     errors = ag.distinct_sorted(tickets, ["cluster_id"], "error_type").withColumnRenamed("error_type", "error_types")
     opening = _ranked_texts(ranks, clustered, 1).select("cluster_id", F.col("combined").alias("opening"))
-    parts = [base, id_lists(ranks, "tickets"), features, errors, opening]
+    parts = [base, features, errors, opening]
     if model is not None:
         parts.append(cluster_context(ranks, clustered))
     joined = _join_all(parts, "cluster_id")
     prompt = pr.pattern_prompt(F.col("context")) if model is not None else F.lit("")
-    replied = reply_column(joined, prompt, model, "reply")
+    replied = reply_column(joined, prompt, model, "reply").join(id_lists(ranks, "tickets", list_part), "cluster_id", "left")
 
     def told(name: str, fallback: Column) -> Column:
         return F.coalesce(tx.pattern_field("reply", name), fallback).alias(name)
@@ -168,11 +185,15 @@ def pattern_report(ws: Workspace, clustered: DataFrame, model: BatchFunction | N
         F.coalesce(F.date_format("last", "yyyy-MM-dd"), F.lit("")).alias("last_seen"),
         ag.frequency_label(ag.spread_days(F.col("first"), F.col("last")), count).alias("frequency"),
         ag.severity(count).alias("severity"),
+        "part",
     )
 
 
 def short_patterns(ws: Workspace, clustered: DataFrame, model: BatchFunction | None = None) -> DataFrame:
-    """cluster_id, summary, count; unclustered tickets are a group too, groups without any text are skipped."""
+    """cluster_id, summary, count; unclustered tickets are a group too, groups without any text are skipped.
+
+    The model sees all texts of a group, joined by empty lines.
+    """
     counted = clustered.groupBy("cluster_id").agg(F.count("*").alias("count"), F.count("combined").alias("texts"))
     counted = counted.where(F.col("texts") > 0).drop("texts")
     opening = first_rows(
@@ -181,14 +202,16 @@ def short_patterns(ws: Workspace, clustered: DataFrame, model: BatchFunction | N
     ).select(F.col("cluster_id").alias("c"), F.substring("combined", 1, pr.CLUSTER_TEXT_LENGTH).alias("opening"))
     joined = counted.join(opening, F.col("cluster_id").eqNullSafe(F.col("c")), "left").drop("c")
     if model is not None:
-        ranks = ticket_ranks(ws, clustered)
-        joined = joined.join(cluster_context(ranks, clustered), "cluster_id", "left")
-        prompt = pr.summary_prompt(F.coalesce("context", "opening"))
+        texts = clustered.where(F.col("combined").isNotNull())
+        texts = texts.select(F.coalesce("cluster_id", F.lit(-1)).cast("long").alias("k"), "seq", "combined")
+        ranked = ws.save(rank_in_group(ws, texts, "k", ["seq"]), "ranked")
+        parts = ag.list_parts(ranked, "k", "combined", sep="\n\n", size=ag.TEXT_PART)
+        told = told_in_parts(parts, ["k"], pr.summary_prompt, model, "reply")
+        joined = joined.join(told, F.coalesce("cluster_id", F.lit(-1)) == F.col("k"), "left").drop("k")
     else:
-        prompt = F.lit("")
-    replied = reply_column(joined, prompt, model, "reply")
-    said = F.nullif(F.trim("reply"), F.lit(""))
-    return replied.select(
+        joined = joined.withColumn("reply", F.lit(None).cast("string"))
+    said = F.nullif(tx.stripped("reply"), F.lit(""))
+    return joined.select(
         "cluster_id", F.coalesce(said, pr.pattern_fallback(F.col("opening"))).alias("summary"), "count"
     )
 

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ticketmill.functions import dates as dt
+from ticketmill.functions import text as tx
 from ticketmill.operators import aggregates as ag
 from ticketmill.operators import lookups as lu
 from ticketmill.operators.ranking import first_rows
@@ -32,7 +33,7 @@ def report_summary(snapshot: DataFrame, as_of: Column | None = None) -> DataFram
     feature = ag.first_seen_mode(snapshot, key, "feature", "cluster_id").withColumnRenamed("feature", "top_feature")
     cause = ag.first_seen_mode(snapshot, key, "root_cause", "cluster_id").withColumnRenamed("root_cause", "top_root_cause")
     return (
-        base.join(feature, key).join(cause, key)
+        base.join(feature, key, "left").join(cause, key, "left")
         .select("month_start", dt.month_tag("month_start").alias("month"), "total_clusters", "total_tickets", "top_feature", "top_root_cause", "avg_ticket_age")
     )
 
@@ -47,8 +48,8 @@ def top_values(df: DataFrame, group: list[str], field: str, order: str, alias: s
 
 def common_error_type(snapshot: DataFrame) -> DataFrame:
     """Most common error type per month, after comma lists are split."""
-    split = snapshot.select("month_start", F.explode(F.split("error_type", ",")).alias("e"))
-    trimmed = split.select("month_start", F.nullif(F.trim("e"), F.lit("")).alias("common_error_type"))
+    split = snapshot.select("month_start", F.explode_outer(F.split("error_type", ",")).alias("e"))
+    trimmed = split.select("month_start", F.nullif(tx.stripped("e"), F.lit("")).alias("common_error_type"))
     return ag.most_frequent(trimmed, ["month_start"], ["common_error_type"])
 
 
@@ -63,20 +64,19 @@ def new_root_causes(snapshot: DataFrame) -> DataFrame:
 
 
 def causes_not_in_previous_month(snapshot: DataFrame) -> DataFrame:
-    """Causes per month that the month before does not have (an anti join)."""
+    """Causes per month that the month before does not have (an anti join); months without any appear with 0."""
     causes = snapshot.select("month_start", "root_cause").distinct()
     before = causes.select(F.add_months("month_start", 1).alias("month_start"), "root_cause")
-    return (
-        causes.join(before, ["month_start", "root_cause"], "left_anti")
-        .groupBy("month_start")
-        .agg(F.count("*").alias("new_root_causes"))
-    )
+    fresh = causes.join(before, ["month_start", "root_cause"], "left_anti").groupBy("month_start").agg(F.count("root_cause").alias("n"))
+    months = snapshot.select("month_start").distinct()
+    return months.join(fresh, "month_start", "left").select("month_start", F.coalesce("n", F.lit(0)).alias("new_root_causes"))
 
 
 def seen_before(snapshot: DataFrame) -> DataFrame:
-    """Each snapshot row with a flag: was its cause in an earlier month?"""
+    """Each snapshot row with a flag: was its cause in an earlier month? A missing cause was not."""
     first = snapshot.groupBy("root_cause").agg(F.min("month_start").alias("first_month"))
-    return snapshot.join(first, "root_cause").withColumn("seen_before", F.col("first_month") < F.col("month_start")).drop("first_month")
+    before = F.coalesce(F.col("first_month") < F.col("month_start"), F.lit(False))
+    return snapshot.join(first, "root_cause", "left").withColumn("seen_before", before).drop("first_month")
 
 
 def month_health(snapshot: DataFrame) -> DataFrame:
@@ -87,7 +87,7 @@ def month_health(snapshot: DataFrame) -> DataFrame:
         F.count_if(F.col("total_tickets") > 1).alias("recurring_clusters"),
     )
     top = top_values(snapshot, ["month_start"], "feature", "cluster_id", "top_features")
-    joined = base.join(top, "month_start").join(common_error_type(snapshot), "month_start").join(new_root_causes(snapshot), "month_start")
+    joined = base.join(top, "month_start", "left").join(common_error_type(snapshot), "month_start", "left").join(new_root_causes(snapshot), "month_start", "left")
     share = F.round(F.coalesce(F.try_divide(F.col("recurring_clusters"), F.col("total_clusters")), F.lit(0.0)), 6)
     by_month = Window.orderBy("month_start")  # one row per month
     return joined.withColumn("recurring_share", share).withColumn(
@@ -132,7 +132,9 @@ def error_insights(snapshot: DataFrame, order: Column | str, position: str = "po
         F.count("*").alias("clusters"), F.min_by("root_cause", order).alias("example_root_cause")
     )
     top = top_values(snapshot, ["error_type"], "feature", position, "top_features")
-    return ag.count_share(base, "error_type", "clusters").join(top, "error_type")
+    top = top.withColumnRenamed("error_type", "_type")
+    shared = ag.count_share(base, "error_type", "clusters")
+    return shared.join(top, F.col("error_type").eqNullSafe(F.col("_type")), "left").drop("_type")
 
 
 def recurrence_tracker(snapshot: DataFrame, key: str = "cluster_id") -> DataFrame:

@@ -12,7 +12,8 @@ from ticketmill.operators import aggregates as ag
 from ticketmill.operators import linkage as lk
 from ticketmill.operators import vectors as vx
 from ticketmill.operators.enrich import BatchFunction, label_tickets, reply_column
-from ticketmill.operators.ranking import first_rows
+from ticketmill.operators.ranking import first_rows, rank_in_group
+from ticketmill.plans.clusters import told_in_parts
 from ticketmill.session import Workspace
 
 EXAMPLES = 5
@@ -74,10 +75,18 @@ def monthly_report(
         pr.note_fallback(F.array_join(F.transform(F.slice("o", 1, 3), lambda e: e["s"]), " ")).alias("note"),
     )
     joined = base.join(modes, key).join(examples, key)
-    replied = reply_column(joined, pr.summary_prompt(F.col("note")), model, "told")
-    summary = F.coalesce(F.nullif(F.trim("told"), F.lit("")), F.col("note"))
+    if model is None:
+        replied = joined.withColumn("told", F.lit(None).cast("string"))
+    else:
+        # all texts of a cluster, in parts: clusters of a month are one group for the ranks
+        named = tickets.select(*key, F.concat_ws("/", "cluster_month", "cluster_id").alias("k"), "seq", "combined")
+        ranked = ws.save(rank_in_group(ws, named.select("k", "seq", "combined"), "k", ["seq"]), "ranked")
+        texts = ag.list_parts(ranked, "k", "combined", sep="\n", size=ag.TEXT_PART)
+        told = told_in_parts(texts, ["k"], pr.summary_prompt, model, "told")
+        replied = joined.withColumn("k", F.concat_ws("/", "cluster_month", "cluster_id")).join(told, "k", "left").drop("k")
+    summary = F.coalesce(F.nullif(tx.stripped("told"), F.lit("")), F.col("note"))
     cruxed = reply_column(replied.withColumn("recurring_summary", summary), pr.crux_prompt(F.col("recurring_summary")), model, "reply")
     return cruxed.select(
-        *key, "recurring_summary", F.coalesce(F.trim("reply"), F.lit(tx.NO_CRUX_TITLE)).alias("crux"), "feature", "error_type",
+        *key, "recurring_summary", F.coalesce(tx.stripped("reply"), F.lit(tx.NO_CRUX_TITLE)).alias("crux"), "feature", "error_type",
         "total_tickets", "example_ids", "status", F.lit(pr.SEE_SUMMARY).alias("resolution_suggestion"), "create_date",
     )

@@ -22,8 +22,7 @@ CLUSTER_COLUMNS = [
 def run_files(ws: Workspace, issues_csv: str, out: str, model: BatchFunction | None = None) -> dict[str, str]:
     """Issues CSV to clusters CSV to both pattern tables; returns their folders."""
     paths = {name: f"{out}/{name}" for name in ("clusters", "patterns", "short_patterns")}
-    tickets = src.read_csv(ws.spark, issues_csv)
-    src.require_columns(tickets, "summary", "description")
+    tickets = src.read_csv(ws.spark, issues_csv, required=("summary", "description"))
     ordered = ws.save(src.with_row_order(ws, tickets), "tickets")
     clustered = ws.save(cl.file_clusters(ws, ordered), "clustered")
     sinks.write_csv(src.keep_columns(clustered, CLUSTER_COLUMNS), paths["clusters"])
@@ -41,7 +40,7 @@ def run_daily(
     ordered = ws.save(src.with_row_order(ws, recent.withColumn("completion_date", completed)), "tickets")
     clustered = ws.save(cl.daily_clusters(ws, ordered), "clustered")
     report = cl.daily_report(ws, clustered, model)
-    sinks.replace_table(report, out)
+    sinks.replace_table(report, out, order=["cluster_id", "part"])
     return ws.spark.read.schema(report.schema).parquet(out)
 
 

@@ -125,10 +125,11 @@ def _by_feature(spark, folder, *columns):
     return ws.save(rank_in_group(ws, tickets, "feature", ["seq"]), "ranked")
 
 
-@query("id_lists", f"WITH {ISSUES} SELECT feature, string_agg(id, ', ' ORDER BY seq) AS ids FROM issues GROUP BY feature")
+@query("id_lists", f"""WITH {ISSUES}, r AS (SELECT feature, id, seq, row_number() OVER (PARTITION BY feature ORDER BY seq) - 1 AS rank FROM issues)
+SELECT feature, CAST(rank // {ag.LIST_PART} AS BIGINT) AS part, string_agg(id, ', ' ORDER BY seq) AS ids FROM r GROUP BY feature, rank // {ag.LIST_PART}""")
 def id_lists(spark, folder):
     parts = ag.list_parts(_by_feature(spark, folder, "id"), "feature", "id")
-    return parts.where("part = 0").select("feature", F.col("id").alias("ids"))
+    return parts.select("feature", "part", F.col("id").alias("ids"))
 
 
 @query("id_lists_in_parts", f"""WITH {ISSUES}, r AS (SELECT feature, id, seq, row_number() OVER (PARTITION BY feature ORDER BY seq) - 1 AS rank FROM issues)
@@ -288,35 +289,51 @@ DAILY_PARTS = f"""{mode_sql('clustered', 'cluster_id', 'feature', 'mf')}, {mode_
 {mode_sql('clustered', 'cluster_id', 'status', 'ms')},
 nt AS (SELECT cluster_id, 'Grouped similar incidents. Representative notes: ' || left(string_agg(summary, ' ' ORDER BY seq), 240) || '...' AS recurring_summary
   FROM (SELECT *, row_number() OVER (PARTITION BY cluster_id ORDER BY seq) AS rn FROM clustered) WHERE rn <= 3 GROUP BY cluster_id),
-g AS (SELECT cluster_id, count(*) AS total_tickets, string_agg(id, ', ' ORDER BY seq) AS example_ids,
-  coalesce({day('min(completion_date)')}, '') AS create_date FROM clustered WHERE cluster_id IS NOT NULL GROUP BY cluster_id)"""
+gs AS (SELECT cluster_id, count(*) AS total_tickets, coalesce({day('min(completion_date)')}, '') AS create_date
+  FROM clustered WHERE cluster_id IS NOT NULL GROUP BY cluster_id)"""
+
+
+def parts_sql(size: int, ids: str) -> str:
+    """CTE with the id lists of clusters in parts."""
+    return f"""il AS (SELECT cluster_id, CAST(rank // {size} AS BIGINT) AS part, string_agg(id, ', ' ORDER BY seq) AS {ids}
+  FROM (SELECT *, row_number() OVER (PARTITION BY cluster_id ORDER BY seq) - 1 AS rank FROM clustered WHERE cluster_id IS NOT NULL) GROUP BY cluster_id, rank // {size})"""
+
+
+def daily_sql(size: int) -> str:
+    return DAILY + f""", {DAILY_PARTS}, {parts_sql(size, 'example_ids')}, {phrases_sql('clustered', 'cluster_id', 'combined')}, {phrase_crux_sql('cluster_id')}
+SELECT cluster_id, recurring_summary, coalesce(phrase, '{tx.NO_CRUX_TITLE}') AS crux, feature, error_type, total_tickets, example_ids, status, create_date, part
+FROM gs JOIN il USING (cluster_id) JOIN nt USING (cluster_id) JOIN mf USING (cluster_id) JOIN me USING (cluster_id) JOIN ms USING (cluster_id) LEFT JOIN cruxes USING (cluster_id)"""
 
 
-@query("daily_report", DAILY + f""", {DAILY_PARTS}, {phrases_sql('clustered', 'cluster_id', 'combined')}, {phrase_crux_sql('cluster_id')}
-SELECT cluster_id, recurring_summary, coalesce(phrase, '{tx.NO_CRUX_TITLE}') AS crux, feature, error_type, total_tickets, example_ids, status, create_date
-FROM g JOIN nt USING (cluster_id) JOIN mf USING (cluster_id) JOIN me USING (cluster_id) JOIN ms USING (cluster_id) LEFT JOIN cruxes USING (cluster_id)""")
+@query("daily_report", daily_sql(ag.LIST_PART))
 def daily_report(spark, folder):
     ws, clustered = daily(spark, folder)
     return cl.daily_report(ws, clustered)
 
 
-@query("board_report", DAILY + f""", {DAILY_PARTS} SELECT cluster_id, recurring_summary, '{tx.NO_CRUX_TITLE}' AS crux, feature, error_type, total_tickets, example_ids, status
-FROM g JOIN nt USING (cluster_id) JOIN mf USING (cluster_id) JOIN me USING (cluster_id) JOIN ms USING (cluster_id)""")
+@query("daily_report_in_parts", daily_sql(10))
+def daily_report_in_parts(spark, folder):
+    ws, clustered = daily(spark, folder)
+    return cl.daily_report(ws, clustered, list_part=10)
+
+
+@query("board_report", DAILY + f""", {DAILY_PARTS}, {parts_sql(ag.LIST_PART, 'example_ids')}
+SELECT cluster_id, recurring_summary, '{tx.NO_CRUX_TITLE}' AS crux, feature, error_type, total_tickets, example_ids, status, part
+FROM gs JOIN il USING (cluster_id) JOIN nt USING (cluster_id) JOIN mf USING (cluster_id) JOIN me USING (cluster_id) JOIN ms USING (cluster_id)""")
 def board_report(spark, folder):
     ws, clustered = daily(spark, folder)
     return cl.board_report(ws, clustered)
 
 
-@query("pattern_report", FILE + f""", g AS (SELECT cluster_id, count(*) AS n, string_agg(id, ', ' ORDER BY seq) AS tickets,
-  least(min(created), min(updated)) AS a, greatest(max(created), max(updated)) AS b, arg_min(combined, seq) AS opening
+@query("pattern_report", FILE + f""", {parts_sql(ag.LIST_PART, 'tickets')}, g AS (SELECT cluster_id, count(*) AS n, least(min(created), min(updated)) AS a, greatest(max(created), max(updated)) AS b, arg_min(combined, seq) AS opening
   FROM clustered WHERE cluster_id IS NOT NULL GROUP BY cluster_id),
 df AS (SELECT cluster_id, string_agg(feature, ', ' ORDER BY feature) AS features_impacted FROM (SELECT DISTINCT cluster_id, feature FROM clustered) GROUP BY cluster_id),
 de AS (SELECT cluster_id, string_agg(error_type, ', ' ORDER BY error_type) AS error_types FROM (SELECT DISTINCT cluster_id, error_type FROM clustered) GROUP BY cluster_id)
 SELECT cluster_id, 'Repeated issue pattern: ' || left(opening, 120) || '...' AS pattern_summary, '{pr.DETAILED_FALLBACK}' AS detailed_summary,
   '{pr.CAUSE_FALLBACK}' AS root_cause, '{pr.ADVICE_FALLBACK}' AS recommendation, n AS ticket_count, tickets, features_impacted, error_types,
   {day('a')} AS first_seen, {day('b')} AS last_seen, (greatest(0, (epoch_us(b) - epoch_us(a)) // 86400000000)) || 'd + ' || n AS frequency,
-  CASE WHEN n >= 5 THEN 'High' WHEN n >= 3 THEN 'Medium' ELSE 'Low' END AS severity
-FROM g JOIN df USING (cluster_id) JOIN de USING (cluster_id)""")
+  CASE WHEN n >= 5 THEN 'High' WHEN n >= 3 THEN 'Medium' ELSE 'Low' END AS severity, part
+FROM g JOIN il USING (cluster_id) JOIN df USING (cluster_id) JOIN de USING (cluster_id)""")
 def pattern_report(spark, folder):
     ws, clustered = by_file(spark, folder)
     return cl.pattern_report(ws, clustered)
@@ -375,13 +392,8 @@ def file_run(spark, folder):
     source = ws.path("issues-csv")
     sinks.write_csv(issues(spark, folder).select(*src.ISSUE_COLUMNS), source)
     paths = runs.run_files(ws, source, ws.path("out"))
-    schema = (
-        "cluster_id long, pattern_summary string, detailed_summary string, root_cause string, recommendation string, "
-        "ticket_count long, tickets string, features_impacted string, error_types string, first_seen string, last_seen string, "
-        "frequency string, severity string"
-    )
-    patterns = src.read_csv(spark, paths["patterns"], schema)
-    return patterns.select("cluster_id", "ticket_count", "tickets", "pattern_summary")
+    patterns = src.read_csv(spark, paths["patterns"], required=("cluster_id", "ticket_count", "tickets", "pattern_summary"))
+    return patterns.select(F.col("cluster_id").cast("long"), F.col("ticket_count").cast("long"), "tickets", "pattern_summary")
 
 
 RECENT = ISSUES.replace("issues AS (", "everything AS (", 1) + """,
@@ -393,7 +405,7 @@ def daily_run(spark, folder):
     """Recent tickets to the stored report; every ticket with a usable word is in exactly one row of it."""
     ws = Workspace(spark)
     report = runs.run_daily(ws, issues(spark, folder), F.lit("2024-02-01").cast("timestamp"), ws.path("report"), days=15)
-    return report.agg(F.sum("total_tickets").alias("tickets"))
+    return report.where("part = 0").agg(F.sum("total_tickets").alias("tickets"))
 
 
 @query("monthly_run_summary")

@@ -60,8 +60,8 @@ def new_root_causes(spark, folder):
 
 
 @query("causes_not_in_previous_month", f"""WITH {SNAPSHOT}, c AS (SELECT DISTINCT month_start, root_cause FROM snapshot)
-SELECT {day('c.month_start')} AS month_start, count(*) AS new_root_causes FROM c
-WHERE NOT EXISTS (SELECT 1 FROM c p WHERE p.root_cause = c.root_cause AND p.month_start = c.month_start - INTERVAL 1 MONTH) GROUP BY c.month_start""")
+SELECT {day('c.month_start')} AS month_start, count(*) FILTER (NOT EXISTS (SELECT 1 FROM c p WHERE p.root_cause = c.root_cause
+  AND p.month_start = c.month_start - INTERVAL 1 MONTH)) AS new_root_causes FROM c GROUP BY c.month_start""")
 def causes_not_in_previous_month(spark, folder):
     return _months_as_text(ma.causes_not_in_previous_month(snapshot(spark, folder)))
 

@@ -120,8 +120,8 @@ def replaced_table(spark, folder):
 
 
 @query("replaced_months", f"""WITH {SNAPSHOT} SELECT strftime(month_start, '%b-%Y') AS cluster_month, cluster_id,
-  CASE WHEN month(month_start) = 2 THEN total_tickets * 10 ELSE total_tickets END AS total_tickets
-  FROM snapshot WHERE month(month_start) <> 4""")
+  CASE WHEN month_start = DATE '1998-02-01' THEN total_tickets * 10 ELSE total_tickets END AS total_tickets
+  FROM snapshot WHERE month_start <> DATE '1998-04-01'""")
 def replaced_months(spark, folder):
     path = Workspace(spark).path("months")
     rows = snapshot(spark, folder).select("cluster_id", "total_tickets", dt.month_tag("month_start").alias(sinks.MONTH_COLUMN))

@@ -61,11 +61,11 @@ ISSUES = r"""issues AS (
 
 
 def snapshot(spark: SparkSession, folder: str) -> DataFrame:
-    """Monthly cluster rows from ``orders`` and ``customer``, first half of 1998."""
-    orders = table(spark, folder, "orders").where("o_orderdate >= '1998-01-01' AND o_orderdate < '1998-07-01'")
+    """Monthly cluster rows from all of ``orders`` and ``customer``; a cluster is a customer's orders of one priority."""
+    orders = table(spark, folder, "orders")
     joined = orders.join(table(spark, folder, "customer"), F.col("o_custkey") == F.col("c_custkey")).select(
         F.trunc("o_orderdate", "month").alias("month_start"),
-        (F.col("o_custkey") % 300).alias("cluster_id"),
+        (F.col("o_custkey") * 5 + F.substring("o_orderpriority", 1, 1).cast("int") - 1).alias("cluster_id"),
         "c_mktsegment",
         "o_orderpriority",
         "o_orderdate",
@@ -80,20 +80,19 @@ def snapshot(spark: SparkSession, folder: str) -> DataFrame:
     )
     return named.select(
         *key,
-        (F.month("month_start") * 1000 + F.col("cluster_id")).alias("pos"),
+        ((F.year("month_start") * 12 + F.month("month_start")) * 10_000_000_000 + F.col("cluster_id")).alias("pos"),
         "feature",
         F.col("o_orderpriority").alias("error_type"),
-        F.concat("feature", F.lit("/"), "o_orderpriority").alias("root_cause"),
+        F.concat("feature", F.lit("/"), "o_orderpriority", F.lit("/"), (F.col("cluster_id") % 97).cast("string")).alias("root_cause"),
         "total_tickets",
         "completion_date",
     )
 
 
 SNAPSHOT = r"""joined AS (
-  SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS month_start, o_custkey % 300 AS cluster_id,
+  SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS month_start, o_custkey * 5 + CAST(left(o_orderpriority, 1) AS INTEGER) - 1 AS cluster_id,
     c_mktsegment, o_orderpriority, o_orderdate
-  FROM orders JOIN customer ON o_custkey = c_custkey
-  WHERE o_orderdate >= TIMESTAMP '1998-01-01' AND o_orderdate < TIMESTAMP '1998-07-01'),
+  FROM orders JOIN customer ON o_custkey = c_custkey),
 seg AS (
   SELECT month_start, cluster_id, c_mktsegment,
     row_number() OVER (PARTITION BY month_start, cluster_id ORDER BY count(*) DESC, c_mktsegment) AS rn
@@ -106,9 +105,9 @@ base AS (
   SELECT month_start, cluster_id, count(*) AS total_tickets, min(o_orderdate) AS completion_date
   FROM joined GROUP BY month_start, cluster_id),
 snapshot AS (
-  SELECT b.month_start, b.cluster_id, month(b.month_start) * 1000 + b.cluster_id AS pos,
+  SELECT b.month_start, b.cluster_id, (year(b.month_start) * 12 + month(b.month_start)) * 10000000000 + b.cluster_id AS pos,
     c_mktsegment || '-' || (b.cluster_id % 12) AS feature, o_orderpriority AS error_type,
-    c_mktsegment || '-' || (b.cluster_id % 12) || '/' || o_orderpriority AS root_cause,
+    c_mktsegment || '-' || (b.cluster_id % 12) || '/' || o_orderpriority || '/' || (b.cluster_id % 97) AS root_cause,
     b.total_tickets, b.completion_date
   FROM base b
   JOIN seg s ON s.month_start = b.month_start AND s.cluster_id = b.cluster_id AND s.rn = 1

@@ -22,9 +22,14 @@ PAGE_SCHEMA = T.StructType([T.StructField("issues", T.ArrayType(T.StringType()))
 EXCLUDED_TABLES = ("Summary", "Config", "Sheet1")
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType = ISSUE_SCHEMA) -> DataFrame:
-    """CSV with a header; quoted texts may hold line breaks and doubled quotes."""
-    return spark.read.schema(schema).csv(path, header=True, multiLine=True, escape='"', nullValue="", emptyValue="")
+def read_csv(spark: SparkSession, path: str, required: tuple[str, ...] = ()) -> DataFrame:
+    """CSV by the names in its header, every column a string; quoted texts may hold line breaks and doubled quotes.
+
+    The ``required`` columns must be in the header. Missing ones of the usual columns are added as nulls, others stay.
+    """
+    held = spark.read.csv(path, header=True, inferSchema=False, multiLine=True, escape='"', nullValue="", emptyValue="")
+    require_columns(held, *required)
+    return held.withColumns({c: F.lit(None).cast("string") for c in ISSUE_COLUMNS if c not in held.columns})
 
 
 def require_columns(df: DataFrame, *names: str) -> DataFrame:
@@ -35,8 +40,8 @@ def require_columns(df: DataFrame, *names: str) -> DataFrame:
 
 
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
-    """One row per issue from landed result pages ({"issues": [...]}, one per line)."""
-    pages = spark.read.schema(PAGE_SCHEMA).json(path)
+    """One row per issue from landed result pages ({"issues": [...]}, one per line); a malformed page is an error."""
+    pages = spark.read.schema(PAGE_SCHEMA).json(path, mode="FAILFAST")
     return pages.select(F.explode("issues").alias("raw")).withColumn("issue", F.try_parse_json("raw"))
 
 
@@ -101,19 +106,16 @@ def completion_or_updated(completion: str | Column, updated: str | Column) -> Co
 
 def first_non_empty(sources: list[DataFrame]) -> DataFrame:
     """Rows of the first source that has any."""
-    tagged = [s.withColumn("_source", F.lit(i)) for i, s in enumerate(sources)]
-    both = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tagged)
-    first = both.agg(F.min("_source").alias("m")).scalar()
-    return both.where(F.col("_source") == first).drop("_source")
+    columns = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [s.limit(0) for s in sources])
+    first = next((s for s in sources if not s.isEmpty()), sources[0])
+    return columns.unionByName(first, allowMissingColumns=True)
 
 
 def append_sources(first: DataFrame, second: DataFrame, unique: bool = True) -> DataFrame:
-    """Rows of both sources; with ``unique``, a ticket in both is kept from the first."""
-    both = first.withColumn("_source", F.lit(0)).unionByName(second.withColumn("_source", F.lit(1)), allowMissingColumns=True)
+    """Rows of both sources; with ``unique``, those of the second whose id the first has are left out. Blank ids are no ids."""
     if unique:
-        row = F.struct(*[c for c in both.columns])
-        both = both.groupBy("id").agg(F.min_by(row, "_source").alias("r")).select("r.*")
-    return both.drop("_source")
+        second = second.join(first.where("id <> ''").select("id").distinct(), "id", "left_anti").select(second.columns)
+    return first.unionByName(second, allowMissingColumns=True)
 
 
 def with_defaults(df: DataFrame, defaults: dict[str, str]) -> DataFrame:
@@ -137,8 +139,9 @@ def newest(df: DataFrame, limit: int, column: str = "created") -> DataFrame:
 
 
 def with_row_order(ws: Workspace, df: DataFrame) -> DataFrame:
-    """Number the rows from the newest to the oldest as ``seq``."""
-    return with_position(ws, df.withColumn("_age", -F.unix_micros(dt.utc_time("created"))), ["_age", "id"], "seq").drop("_age")
+    """Number the rows from the newest to the oldest as ``seq``; those without a valid time come last."""
+    age = F.coalesce(-F.unix_micros(dt.utc_time("created")), F.lit((1 << 63) - 1))
+    return with_position(ws, df.withColumn("_age", age), ["_age", "id"], "seq").drop("_age")
 
 
 def month_tables(df: DataFrame, table: str = "month") -> DataFrame:
