@@ -8,14 +8,14 @@ shared, and a group is what links reach. The work is done on groups of similar d
 2. Documents with the same smallest token form a first group, cut into chunks of bounded size that also hold the
    group's leader. A task opens one chunk, compares its members and reports one edge per newly linked member, so a large
    group of near copies yields about one edge a document. The same is done once more for the smallest tokens in two other
-   orders, where groups hold more than one component yet. Connected components make the groups of similar documents.
-3. The matrix has the token union of each group (chunk of a component, or a single document). It finds what the first
-   groups have missed, so these only save work. By the prefix
-   principle only the first tokens in a common order, frequent ones last, need to be stored: two documents that link
-   share one of them. Groups that share tokens are candidates, and the number of shared tokens bounds their overlap:
-   what a prefix misses in the other's visible range is missing in the other set.
-4. Only qualifying pairs of groups of different components are opened. There each member's overlap with the other
-   group's whole union is bounded once more, and what remains is compared exactly.
+   orders, where groups hold more than one component yet. This only saves work later.
+3. Documents that share the smallest token in two of the three orders are similar and partitioned into groups of bounded size,
+   others stand alone. The matrix has the token union of each group. By the prefix principle only the first tokens in a common order,
+   frequent ones last, need to be stored: two documents that link share one of them. Groups that share tokens are
+   candidates, unless they are all of one component, and the number of shared tokens bounds the overlap of a document with
+   a group: what a prefix misses in the other's visible range is missing in the other set.
+4. Only qualifying groups, and pairs of them, are opened. There each member's overlap with the other group's whole union is
+   bounded once more, and what remains is compared exactly.
 
 The order of tokens only decides how much is compared, never the result. Sets are compared by 64-bit hashes of
 their tokens.
@@ -104,13 +104,14 @@ def _tokens(k: int, keep: list[str]):
     return run
 
 
-ENTRY = "token long, gid long, comp long, members long, n long, last long, p long, pos long, key long"
+FIRST_FREQUENT = 1 << 30  # keys of frequent tokens follow those of all others
 
 
-def _prefixes(k: int, num: int, den: int, frequent, special=None):
-    """Matrix entries of each document: its first tokens in the common order.
+def _prefixes(k: int, num: int, den: int, frequent, keep: list[str], special=None):
+    """Matrix entries of each document: its first tokens in the common order, with the columns ``keep``.
 
-    With ``special``, a bitmap, input is (doc_id, text), each document stands for itself, and marked ones are left out.
+    ``pos`` counts from 1, ``often`` is a frequent token's place or -1, ``last`` the key of the last token (see ``_key``).
+    With ``special``, a bitmap, documents marked in it are left out.
     """
 
     def run(batches):
@@ -118,125 +119,121 @@ def _prefixes(k: int, num: int, den: int, frequent, special=None):
         for batch in pieces(batches):
             if special is not None:
                 batch = batch.filter(pa.array(~marked(batch.column("doc_id").to_numpy(zero_copy_only=False), special.value)))
-                ids = batch.column("doc_id")
-                batch = pa.RecordBatch.from_arrays(
-                    [ids, ids, pa.array(np.ones(len(ids), np.int64)), batch.column("text")], names=["gid", "comp", "members", "text"]
-                )
             tokens, at = shingle_sets(batch.column("text"), k)
             place = np.full(len(tokens), -1, np.int64)
             if len(held[0]) and len(tokens):
                 i = np.minimum(np.searchsorted(held[0], tokens), len(held[0]) - 1)
                 same = held[0][i] == tokens
                 place[same] = held[1][i[same]]
-            out, last, size, keys = [], [], [], []
+            out, often, last, size = [], [], [], []
             for s, e in zip(at[:-1].tolist(), at[1:].tolist()):
                 n = e - s
-                p = n + num * n // -den + 1 if n else 0  # n - ceil(n num / den) + 1
+                p = n + num * n // -den + 1 if n else 0  # n - ceil(n num / den) + 1, what the principle needs
+                p = min(n, p + p // 2)  # and half as much again, which tightens the bounds
                 own, put = tokens[s:e], place[s:e]
                 rare = put < 0
-                if rare.all():
-                    own = own[:p]
-                    order = own >> 1
-                else:
-                    often = np.argsort(put[~rare], kind="stable")
-                    order = np.r_[own[rare] >> 1, (1 << 62) + put[~rare][often]][:p]
-                    own = np.r_[own[rare], own[~rare][often]][:p]
-                out.append(own)
-                keys.append(order)
-                last.append(int(order[-1]) if p else 0)
+                if not rare.all():
+                    order = np.r_[np.flatnonzero(rare), np.flatnonzero(~rare)[np.argsort(put[~rare], kind="stable")]]
+                    own, put = own[order], put[order]
+                out.append(own[:p])
+                often.append(put[:p])
+                last.append(0 if not p else FIRST_FREQUENT + put[p - 1] if put[p - 1] >= 0 else own[p - 1] >> 33)
                 size.append(p)
             size = np.array(size, np.int64)
-            rep = lambda x, size=size: np.repeat(np.asarray(x, np.int64), size)
+            rep = lambda x, size=size: np.repeat(np.asarray(x), size)
             yield pa.RecordBatch.from_pydict(
-                {
+                {c: rep(batch.column(c).to_numpy(zero_copy_only=False)) for c in keep}
+                | {
                     "token": np.concatenate(out) if out else np.zeros(0, np.int64),
-                    **{c: rep(batch.column(c).to_numpy(zero_copy_only=False)) for c in ("gid", "comp", "members")},
                     "n": rep(np.diff(at)),
-                    "last": rep(last),
-                    "p": rep(size),
-                    "pos": np.arange(size.sum()) - np.repeat(np.r_[0, np.cumsum(size)[:-1]], size) + 1 if len(size) else size,
-                    "key": np.concatenate(keys) if keys else np.zeros(0, np.int64),
+                    "last": rep(np.array(last, np.int32)),
+                    "pos": (np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size) + 1).astype(np.int32),
+                    "often": np.concatenate(often).astype(np.int32) if often else np.zeros(0, np.int32),
                 }
             )
 
     return run
 
 
-def _links(sets: list[np.ndarray], others: list[np.ndarray] | None, num: int, den: int) -> np.ndarray:
-    """Which sets link: within one list, or of one list with the other."""
-    lists = sets if others is None else [*sets, *others]
-    sizes = np.array([len(x) for x in lists])
-    values, where, counts = np.unique(np.concatenate(lists), return_inverse=True, return_counts=True)
-    shared = np.flatnonzero(counts > 1)
-    column = np.full(len(values), -1)
-    column[shared] = np.arange(len(shared))
-    column = column[where]
-    grid = np.zeros((len(lists), len(shared)), np.float32)  # whole numbers below 2^24 are exact in it
-    grid[np.repeat(np.arange(len(lists)), sizes)[column >= 0], column[column >= 0]] = 1
-    k = len(lists) if others is None else len(sets)
-    a, b = (grid, grid) if others is None else (grid[:k], grid[k:])
-    inter = np.rint(a @ b.T).astype(np.int64)
-    union = sizes[:k, None] + (sizes if others is None else sizes[k:])[None, :] - inter
-    return inter * den >= union * num
+def _entries(docs: DataFrame, keep: list[str], make) -> DataFrame:
+    schema = "".join(f"{c} long, " for c in keep) + "token long, n long, last int, pos int, often int"
+    return docs.select(*keep, "text").mapInArrow(make, schema)
 
 
-def _open_own(num: int, den: int):
-    """Chunks of a first group to edges: every member that has a link is tied to the smallest id of its part."""
-
-    def run(batches):
-        for batch in batches:
-            edges: tuple[list, list] = ([], [])
-            for members in batch.column("members"):
-                docs = members.values.field("doc_id").to_numpy()
-                lists = members.values.field("tokens")
-                bounds = lists.offsets.to_numpy()
-                flat = lists.values.to_numpy(zero_copy_only=False)
-                sets = [flat[s:e] for s, e in zip(bounds[:-1], bounds[1:])]
-                link = _links(sets, None, num, den)
-                open_to = np.ones(len(docs), bool)
-                for first in np.argsort(docs):
-                    if not open_to[first]:
-                        continue
-                    part = np.zeros(len(docs), bool)
-                    part[first] = True
-                    front = part
-                    while front.any():
-                        front = link[front].any(axis=0) & ~part
-                        part = part | front
-                    open_to &= ~part
-                    tied = docs[part]
-                    edges[0].extend([int(docs[first])] * len(tied))
-                    edges[1].extend(tied.tolist())
-            yield pa.RecordBatch.from_pydict({"a": pa.array(edges[0], pa.int64()), "b": pa.array(edges[1], pa.int64())})
-
-    return run
+def _key(token: Column, often: Column) -> Column:
+    """A token's place in the common order, coarsely: 31 bits of its hash, frequent ones behind."""
+    return F.when(often >= 0, often + FIRST_FREQUENT).otherwise(F.shiftright(token, 33).cast("int"))
 
 
-def _sets_of(scalar) -> list[np.ndarray]:
-    lists = scalar.values
+def _links(sets: list[np.ndarray], num: int, den: int) -> np.ndarray:
+    """Which of the sets link with which."""
+    sizes = np.array([len(x) for x in sets])
+    values, where, counts = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    shared = np.flatnonzero(counts > 1)
+    column = np.full(len(values), -1)
+    column[shared] = np.arange(len(shared))
+    column = column[where]
+    grid = np.zeros((len(sets), len(shared)), np.float32)  # whole numbers below 2^24 are exact in it
+    grid[np.repeat(np.arange(len(sets)), sizes)[column >= 0], column[column >= 0]] = 1
+    inter = np.rint(grid @ grid.T).astype(np.int64)
+    return inter * den >= (sizes[:, None] + sizes[None, :] - inter) * num
+
+
+def _ties(labels: np.ndarray, link: np.ndarray) -> tuple[list[int], list[int]]:
+    """Edges between labels that make each connected part one: every other label of a part to its smallest."""
+    ends: tuple[list, list] = ([], [])
+    link = link | (labels[:, None] == labels[None, :])
+    waiting = np.ones(len(labels), bool)
+    for first in np.argsort(labels, kind="stable"):
+        if waiting[first]:
+            part = front = np.arange(len(labels)) == first
+            while front.any():
+                front = link[front].any(axis=0) & ~part
+                part = part | front
+            waiting &= ~part
+            others = np.setdiff1d(labels[part], labels[first])
+            ends[0].extend([int(labels[first])] * len(others))
+            ends[1].extend(others.tolist())
+    return ends
+
+
+def _members(scalar) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Labels and token sets of a list of (label, tokens)."""
+    held = scalar.values
+    lists = held.field("tokens")
     bounds = lists.offsets.to_numpy()
     flat = lists.values.to_numpy(zero_copy_only=False)
-    return [flat[s:e] for s, e in zip(bounds[:-1], bounds[1:])]
+    return held.field("label").to_numpy(), [flat[s:e] for s, e in zip(bounds[:-1], bounds[1:])]
 
 
-def _open_pairs(num: int, den: int):
-    """Pairs of groups to one edge between their components, if any of their members link."""
+def _open(num: int, den: int):
+    """Groups (members), or pairs of groups (members and others), to edges between the labels of what links.
 
-    def within(sets, union):
-        return [x for x in sets if np.isin(x, union, assume_unique=True).sum() * den >= len(x) * num]
+    In a pair only documents whose overlap with the other group's union is large enough are compared.
+    """
+
+    def within(sets, others):
+        union = np.unique(np.concatenate(others))
+        return np.array([np.isin(x, union, assume_unique=True).sum() * den >= len(x) * num for x in sets], bool)
 
     def run(batches):
         for batch in batches:
-            hit = np.zeros(batch.num_rows, bool)
-            for i, (a, b) in enumerate(zip(batch.column("a_sets"), batch.column("b_sets"))):
-                left, right = _sets_of(a), _sets_of(b)
-                left = within(left, np.unique(np.concatenate(right)))
-                if left:
-                    right = within(right, np.unique(np.concatenate(left)))
-                if left and right:
-                    hit[i] = _links(left, right, num, den).any()
-            keep = pa.array(hit)
-            yield pa.RecordBatch.from_arrays([batch.column(c).filter(keep) for c in ("a", "b")], names=["a", "b"])
+            a: list[int] = []
+            b: list[int] = []
+            for row in range(batch.num_rows):
+                labels, sets = _members(batch.column("members")[row])
+                if batch.num_columns > 1 and batch.column("others")[row].is_valid:
+                    more, others = _members(batch.column("others")[row])
+                    left, right = within(sets, others), within(others, sets)
+                    if not left.any() or not right.any():
+                        continue
+                    labels = np.r_[labels[left], more[right]]
+                    sets = [x for x, w in zip([*sets, *others], np.r_[left, right]) if w]
+                if len(sets) > 1:
+                    ends = _ties(labels, _links(sets, num, den))
+                    a += ends[0]
+                    b += ends[1]
+            yield pa.RecordBatch.from_pydict({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
     return run
 
@@ -267,36 +264,38 @@ def _open_groups(ws: Workspace, docs: DataFrame, keyed: DataFrame, k: int, num:
     numbers = F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1))
     led = groups.where("chunks > 1").select("key", numbers.alias("chunk"), F.col("leader").alias("doc_id"))
     wanted = ws.save(own.union(led).distinct(), "members")
-    chunks = _fetch(docs, wanted, k).groupBy("key", "chunk").agg(F.collect_list(F.struct("doc_id", "tokens")).alias("members"))
-    return ws.save(chunks.select("members").mapInArrow(_open_own(num, den), "a long, b long").where("a <> b"), "near")
+    chunks = _fetch(docs, wanted, k).groupBy("key", "chunk").agg(F.collect_list(F.struct(F.col("doc_id").alias("label"), "tokens")).alias("members"))
+    return ws.save(chunks.select("members").mapInArrow(_open(num, den), "a long, b long"), "near")
 
 
 def _candidates(shared: DataFrame, num: int, den: int) -> DataFrame:
-    """Pairs of groups (a, b) with their components that may hold a link."""
+    """Pairs of groups (a, b) that may hold a link between different components."""
     side = lambda s: shared.select("token", *[F.col(c).alias(f"{s}_{c}") for c in shared.columns if c != "token"])
     met = side("a").join(side("b"), "token").where(
-        (F.col("a_gid") < F.col("b_gid")) & (F.col("a_comp") != F.col("b_comp"))
+        (F.col("a_gid") < F.col("b_gid"))
+        & ((F.col("a_c0") != F.col("b_c1")) | (F.col("a_c1") != F.col("b_c0")))
         & (F.col("a_most") * den >= F.col("b_least") * num) & (F.col("b_most") * den >= F.col("a_least") * num)
     )
-    # what lies below the end of both prefixes is seen from both sides
-    seen = F.col("a_key") <= F.least("a_last", "b_last")
-    pairs = met.groupBy("a_gid", "b_gid", "a_comp", "b_comp", "a_members", "b_members").agg(
+    # what lies surely below the end of both prefixes is seen from both sides
+    seen = _key(F.col("token"), F.col("a_often")) < F.least("a_last", "b_last")
+    pairs = met.groupBy("a_gid", "b_gid", "a_members", "b_members").agg(
+        F.count("*").alias("all"),
         F.count_if(seen).alias("c"),
         *[F.min(f"{s}_{c}").alias(f"{s}_{c}") for s in "ab" for c in ("least", "last")],
         *[F.max(F.when(seen, F.col(f"{s}_pos"))).alias(f"{s}_pos") for s in "ab"],
-        *[F.max(f"{s}_p").alias(f"{s}_p") for s in "ab"],
     )
     need = F.ceil((F.col("a_least") + F.col("b_least")) * num / F.lit(num + den))  # the least overlap of a link
 
     def fits(s: str, o: str) -> Column:
         """Not more of a single document's tokens are missing on the other side than a link allows."""
-        visible = F.when(F.col(f"{s}_last") <= F.col(f"{o}_last"), F.col(f"{s}_p")).otherwise(F.coalesce(f"{s}_pos", F.lit(0)))
-        return (F.col(f"{s}_members") > 1) | (visible - F.col("c") <= F.col(f"{s}_least") - need)
+        n = F.col(f"{s}_least")
+        needed = n - F.ceil(n * num / F.lit(den)) + 1
+        prefix = F.least(n, needed + F.floor(needed / 2))
+        whole = F.col(f"{s}_last") < F.col(f"{o}_last")
+        missing = F.when(whole, prefix - F.col("all")).otherwise(F.coalesce(f"{s}_pos", F.lit(0)) - F.col("c"))
+        return (F.col(f"{s}_members") > 1) | (missing <= n - need)
 
-    possible = fits("a", "b") & fits("b", "a")
-    return pairs.where(possible).select(
-        F.col("a_gid").alias("a"), F.col("b_gid").alias("b"), F.col("a_comp").alias("a_comp"), F.col("b_comp").alias("b_comp")
-    )
+    return pairs.where(fits("a", "b") & fits("b", "a")).select(F.col("a_gid").alias("a"), F.col("b_gid").alias("b"))
 
 
 def linked_groups(
@@ -322,62 +321,61 @@ def linked_groups(
     # 2. open the first groups
     keyed = reps.select("rep", "n", F.col("low").alias("key"), F.col("rep").alias("comp"))
     edges = _open_groups(ws, docs, keyed, k, num, den)
-    near = ws.save(components(ws, edges), "components")
+    near = components(ws, edges)
     keyed = (
         reps.join(near.withColumnRenamed("id", "rep"), "rep", "left")
-        .select("rep", "n", F.coalesce("component", "rep").alias("comp"), F.explode(F.array("low2", "low3")).alias("key"))
+        .select("rep", "n", F.coalesce("component", "rep").alias("comp"), F.explode(F.array(*LOWS[1:])).alias("key"))
     )
     edges = edges.union(_open_groups(ws, docs, keyed, k, num, den))
-    near = components(ws, edges)
+    near = ws.save(components(ws, edges), "components")
 
-    # groups of the matrix: chunks of components, and single documents
-    part = near.join(reps.select(F.col("rep").alias("id"), "n"), "id")
-    sizes = part.groupBy("component").agg(_chunks(F.count("*"), F.sum("n")).alias("chunks"))
-    part = part.join(sizes, "component").select("id", "component", _chunk_of("id", "chunks").alias("chunk"))
-    gids = part.groupBy("component", "chunk").agg(F.min("id").alias("gid"), F.count("*").alias("members"))
-    part = part.join(gids, ["component", "chunk"]).select(F.col("id").alias("rep"), "gid", F.col("component").alias("comp"), "members")
-    units = ws.save(
-        reps.select("rep").join(part, "rep", "left").select(
-            F.col("rep").alias("doc_id"),
-            F.coalesce("gid", "rep").alias("gid"),
-            F.coalesce("comp", "rep").alias("comp"),
-            F.coalesce("members", F.lit(1)).cast("long").alias("members"),
-        ),
-        "units",
+    # 3. groups of similar documents: all that share two of the three smallest tokens, by the smallest leader
+    two_of_three = F.array(*[F.xxhash64(F.lit(a + b), a, b) for a, b in zip(LOWS, (*LOWS[1:], LOWS[0]))])
+    keyed = (
+        reps.join(near.withColumnRenamed("id", "rep"), "rep", "left")
+        .select("rep", "n", F.coalesce("component", "rep").alias("comp"), F.explode(two_of_three).alias("key"))
     )
+    leaders = keyed.groupBy("key").agg(F.min("rep").alias("leader"))
+    similar = keyed.join(leaders, "key").groupBy("rep", "n", "comp").agg(F.min("leader").alias("leader"))
+    similar = ws.save(similar, "similar")
+    sizes = similar.groupBy("leader").agg(_chunks(F.count("*"), F.sum("n")).alias("chunks"))
+    part = similar.join(sizes, "leader").select("rep", "comp", "leader", _chunk_of("rep", "chunks").alias("chunk"))
+    gids = part.groupBy("leader", "chunk").agg(
+        F.min("rep").alias("gid"), F.count("*").alias("members"), F.min("comp").alias("c0"), F.max("comp").alias("c1")
+    )
+    units = ws.save(part.join(gids, ["leader", "chunk"]).select(F.col("rep").alias("doc_id"), "comp", "gid", "members", "c0", "c1"), "units")
 
-    # 3. the matrix, and pairs of groups its bounds leave; only copies and members of groups need the units, others stand alone
-    alone = units.where("members = 1").select("doc_id")
+    # the matrix; documents that stand alone need nothing of the units and are not moved for them
+    alone = units.where("members = 1 AND comp = doc_id").select("doc_id")
     grouped = rows.where("n > 0").select("doc_id").join(alone, "doc_id", "left_anti")
     special = spark.sparkContext.broadcast(bitmap(grouped, "doc_id"))
-    direct = docs.mapInArrow(_prefixes(k, num, den, frequent, special), ENTRY)
-    joined = (
-        units.join(docs.mapInArrow(only_marked("doc_id", special), docs.schema), "doc_id")
-        .select("gid", "comp", "members", "text").mapInArrow(_prefixes(k, num, den, frequent), ENTRY)
+    direct = _entries(docs, ["doc_id"], _prefixes(k, num, den, frequent, ["doc_id"], special))
+    keep = ["gid", "members", "c0", "c1"]
+    joined = _entries(units.join(docs.mapInArrow(only_marked("doc_id", special), docs.schema), "doc_id"), keep, _prefixes(k, num, den, frequent, keep))
+    one, own = F.lit(1).cast("long").alias("members"), F.col("doc_id")
+    single = direct.select(
+        "token", own.alias("gid"), one, own.alias("c0"), own.alias("c1"), "often", F.col("n").alias("least"), F.col("n").alias("most"), "last", "pos"
     )
-    named = ("token", "gid", "comp", "members", "key")
-    single = direct.select(*named, F.col("n").alias("least"), F.col("n").alias("most"), "last", "p", "pos")
-    union = joined.groupBy(*named).agg(
-        F.min("n").alias("least"), F.max("n").alias("most"), F.min("last").alias("last"), F.max("p").alias("p"), F.max("pos").alias("pos")
+    union = joined.groupBy("token", *keep, "often").agg(
+        F.min("n").alias("least"), F.max("n").alias("most"), F.min("last").alias("last"), F.max("pos").alias("pos")
     )
     of_token = Window.partitionBy("token")
-    shared = ws.save(
-        single.unionByName(union)
-        .withColumn("c0", F.min("comp").over(of_token)).withColumn("c1", F.max("comp").over(of_token))
-        .where("c0 <> c1").drop("c0", "c1"),
-        "matrix",
-    )
+    over = {"g0": F.min("gid"), "g1": F.max("gid"), "k0": F.min("c0"), "k1": F.max("c1")}
+    shared = single.unionByName(union).select("*", *[f.over(of_token).alias(c) for c, f in over.items()])
+    shared = ws.save(shared.where("g0 <> g1 AND k0 <> k1").drop(*over), "matrix")
     pairs = ws.save(_candidates(shared, num, den), "candidates")
 
-    # 4. open what qualifies
-    called = pairs.select(F.col("a").alias("gid")).union(pairs.select("b")).distinct()
-    wanted = units.join(called, "gid").select("doc_id", "gid")
-    sets = ws.save(_fetch(docs, wanted, k).groupBy("gid").agg(F.collect_list("tokens").alias("sets")), "opened")
-    side = lambda s: sets.select(F.col("gid").alias(s), F.col("sets").alias(f"{s}_sets"))
-    met = pairs.join(side("a"), "a").join(side("b"), "b").select(
-        F.col("a_comp").alias("a"), F.col("b_comp").alias("b"), "a_sets", "b_sets"
-    )
-    joined = components(ws, met.mapInArrow(_open_pairs(num, den), "a long, b long"))
+    # 4. open what qualifies: pairs, and groups of more than one component
+    mixed_groups = units.where("c0 <> c1").select("gid").distinct()
+    called = pairs.select(F.col("a").alias("gid")).union(pairs.select("b")).union(mixed_groups).distinct()
+    wanted = units.join(called, "gid").select("doc_id", F.col("comp").alias("label"), "gid")
+    sets = _fetch(docs, wanted, k).groupBy("gid").agg(F.collect_list(F.struct("label", "tokens")).alias("members"))
+    sets = ws.save(sets, "opened")
+    other = sets.select(F.col("gid").alias("b"), F.col("members").alias("others"))
+    met = pairs.join(sets.withColumnRenamed("gid", "a"), "a").join(other, "b").select("members", "others")
+    within = sets.join(mixed_groups, "gid", "left_semi").select("members")
+    links = met.mapInArrow(_open(num, den), "a long, b long").union(within.mapInArrow(_open(num, den), "a long, b long"))
+    joined = components(ws, links)
 
     # labels go back from components to sets, to the documents that carry them, to all documents
     label = units.join(joined.withColumnRenamed("id", "comp"), "comp", "left").select(
