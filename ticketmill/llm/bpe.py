@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from ticketmill.llm.hashing import pieces
 
 # words kept per Python worker
-CACHE = 250_000
+CACHE = 600_000
 ENDLESS = 1 << 60
 
 
@@ -72,6 +72,14 @@ class Merges:
         self.spines: dict[str, tuple[list, list]] = {}
         self.stood: dict[tuple[str, str], bool] = {}
         self.tokens -= {t for t in self.tokens if t in self.parts and not self._itself(t)}
+        # tokens by their symbols from the last to the first; "" holds the token itself
+        self.endings: dict = {word_end: {}} if word_end else {}
+        for t in self.tokens:
+            ends = bool(word_end) and t.endswith(word_end) and t != word_end
+            node = self.endings[word_end] if ends else self.endings
+            for c in reversed(t.removesuffix(word_end) if ends else t):
+                node = node.setdefault(c, {})
+            node[""] = t
 
     def _made(self, token: str) -> int:
         return self.rank[self.parts[token]] if token in self.parts else -1
@@ -119,7 +127,7 @@ class Merges:
         """The two tokens stay as they are beside each other."""
         key = (a, b)
         if key not in self.stood:
-            if len(self.stood) > 4 * CACHE:
+            if len(self.stood) > CACHE:
                 self.stood.clear()
             self.stood[key] = self._stands(a, b, ENDLESS)
         return self.stood[key]
@@ -164,24 +172,30 @@ class Transducer:
     def short(self, symbols: str) -> list[str]:
         """A whole word that fits the window: the same steps as feeding and closing, in one loop."""
         m, text = self.m, symbols
-        tokens, stood, n = m.tokens, m.stood, len(symbols)
+        stood, n = m.stood, len(symbols)
         last: list[str | None] = [""] * (n + 1)
         starts = [0] * (n + 1)
         for end in range(1, n + 1):
             suffix = m.word_end if end == n else ""
             last[end] = None
-            for start in range(max(0, end - m.lookahead), end):
+            # tokens that end here are met from the shortest on, as long as anything ends like this; one of them is right
+            node = m.endings
+            if suffix:
+                node = node[suffix]
+            for start in range(end - 1, max(-1, end - m.lookahead - 1), -1):
+                node = node.get(text[start])
+                if node is None:
+                    break
                 held = last[start]
-                if held is None:
+                if held is None or "" not in node:
                     continue
-                token = text[start:end] + suffix
-                if token in tokens:
-                    if start:
-                        good = stood.get((held, token))
-                        if not (m.stands(held, token) if good is None else good):
-                            continue
-                    last[end], starts[end] = token, start
-                    break
+                token = node[""]
+                if start:
+                    good = stood.get((held, token))
+                    if not (m.stands(held, token) if good is None else good):
+                        continue
+                last[end], starts[end] = token, start
+                break
         if last[n] is None:
             raise ValueError("a symbol is not in the vocabulary")
         out, end = [], n
@@ -310,7 +324,7 @@ class Decoder:
     def __init__(self, coder: Coder, library: bool = False):
         self.coder, self.library = coder, library
         self.first = True
-        self.utf8 = codecs.getincrementaldecoder("utf-8")("replace")
+        self.utf8 = None if library else codecs.getincrementaldecoder("utf-8")("replace")
 
     def feed(self, token_id: int) -> str:
         name = self.coder.names.get(token_id)
