@@ -36,7 +36,7 @@ MAGIC = b"TOKBITS1"
 HEADER = "<8sIIIIQ"  # magic, bits, block size, documents, blocks, tokens
 HEADER_SIZE = struct.calcsize(HEADER)
 BLOCK = 1 << 16  # ids of a block, a multiple of 64
-PIECES = 400_000  # pieces kept per Python worker
+PIECES = 700_000  # pieces kept per Python worker
 FILE_TOKENS = 1 << 26  # a longer partition goes on in another file
 
 
