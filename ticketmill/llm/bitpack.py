@@ -23,6 +23,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
 import regex
 from pyspark.sql import DataFrame
@@ -30,13 +31,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ticketmill.llm.bpe import worker_state
+from ticketmill.llm.hashing import pieces
 from ticketmill.session import Workspace
 
 MAGIC = b"TOKBITS1"
 HEADER = "<8sIIIIQ"  # magic, bits, block size, documents, blocks, tokens
 HEADER_SIZE = struct.calcsize(HEADER)
 BLOCK = 1 << 16  # ids of a block, a multiple of 64
-PIECES = 700_000  # pieces kept per Python worker
+PIECES = 400_000  # pieces kept per Python worker, twice
 FILE_TOKENS = 1 << 26  # a longer partition goes on in another file
 
 
@@ -157,7 +159,10 @@ class Encoder:
     """Whole texts to ids of a byte-level vocabulary, each distinct piece through the library once."""
 
     cut = regex.compile(r"(?<=\S) (?=\S)")
-    gap = regex.compile(r"\s\s|^\s|\s$")
+    # texts in which a blank may stand beside other white space; too many of them only cost time
+    gap = r"[\s\x0b\x1c-\x1f\x{85}\p{Z}]{2}|^[\s\x0b\x1c-\x1f\x{85}\p{Z}]|[\s\x0b\x1c-\x1f\x{85}\p{Z}]$"
+    # letters, then a run of other characters: never one pre-token
+    ended = regex.compile(r"(\p{L}+)([^\s\p{L}\p{N}]+)")
 
     def __init__(self, path: str):
         import os
@@ -168,33 +173,89 @@ class Encoder:
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
-        self.known: dict[str, bytes] = {}  # ids as 32-bit numbers
+        blank = self.library.encode(" ", add_special_tokens=False).tokens[0]
+        names = sorted(self.library.get_vocab().items(), key=lambda x: x[1])
+        self.opens = np.zeros(names[-1][1] + 1, bool)  # tokens that start with a blank
+        self.opens[[i for t, i in names if t.startswith(blank)]] = True
+        # ids, as 32-bit numbers, of pieces after a blank: those met lately, and those met before them
+        self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     @property
     def size(self) -> int:
         return self.library.get_vocab_size()
 
-    def pieces(self, text: str) -> list[str]:
-        """Parts of the text that are encoded on their own: cut before single blanks between other characters."""
-        parts = self.cut.split(text) if self.gap.search(text) else text.split(" ")
-        return [parts[0], *[" " + p for p in parts[1:]]]
-
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        cut = [self.pieces(t) if t else [] for t in texts]
+    def _each(self, pieces: list[str]) -> list[bytes]:
+        return [np.array(e.ids, "<u4").tobytes() for e in self.library.encode_batch(pieces, add_special_tokens=False)]
+
+    def _after_blank(self, pieces: list[str]) -> list[bytes]:
+        """Ids of each piece with a blank before it.
+
+        Those without white space and special tokens go through the library as one text, as only their first tokens start with a blank.
+        """
+        plain = [p for p in pieces if p.split() == [p] and "<|" not in p]
+        found = {}
+        for s in range(0, len(plain), 2000):
+            some = plain[s : s + 2000]
+            ids = np.array(self.library.encode(" " + " ".join(some), add_special_tokens=False).ids, "<u4")
+            at = np.flatnonzero(self.opens[ids])
+            if len(at) == len(some):
+                held, at = ids.tobytes(), [*(4 * at).tolist(), 4 * len(ids)]
+                found.update(zip(some, [held[i:j] for i, j in zip(at[:-1], at[1:])]))
+        rest = [p for p in pieces if p not in found]
+        found.update(zip(rest, self._each([" " + p for p in rest])))
+        return [found[p] for p in pieces]
+
+    def _learn(self, new: list[str]) -> None:
+        """Put new pieces into ``known``; of one that ends in other characters than letters, both parts."""
+        split = {p: m.groups() for p in new if (m := self.ended.fullmatch(p))}
+        words = {w for w, _ in split.values() if w not in self.known}
+        words.update(p for p in new if p not in split)
+        ends = list({e for _, e in split.values()})
+        todo = []
+        for w in words:
+            if w in self.older:
+                self.known[w] = self.older[w]
+            else:
+                todo.append(w)
+        self.known.update(zip(todo, self._after_blank(todo)))
+        tails = dict(zip(ends, self._each(ends)))
+        for p, (w, e) in split.items():
+            self.known[p] = self.known[w] + tails[e]
+
+    def encode(self, texts) -> list[np.ndarray]:
+        """Ids of each text of a list or string column."""
+        texts = pa.array(texts, pa.large_string()) if isinstance(texts, list) else texts.cast(pa.large_string())
+        texts = texts.fill_null("")
+        gaps = pc.match_substring_regex(texts, self.gap)
+        lists = pc.split_pattern(texts.filter(pc.invert(gaps)), " ")
+        odd = [self.cut.split(t) for t in texts.filter(gaps).to_pylist()]
+        flat = pa.concat_arrays([lists.flatten(), pa.array([p for c in odd for p in c], pa.large_string())])
+        counts = np.r_[pc.list_value_length(lists).to_numpy(zero_copy_only=False), [len(c) for c in odd]].astype(np.int64)
+        starts = np.cumsum(counts) - counts
+        distinct = flat.dictionary_encode()
+        codes = distinct.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        pieces = distinct.dictionary.to_numpy(zero_copy_only=False).tolist()
         if len(self.known) > PIECES:
-            self.known = {}
-        known = self.known
-        new = {p for c in cut for p in c if p not in known}
-        # a letter and a stop or comma after it are never one pre-token
-        ended = [p for p in new if len(p) > 1 and p[-1] in ".," and p[-2].isalpha()]
-        new.difference_update(ended)
-        new.update(x for p in ended for x in (p[:-1], p[-1]) if x not in known)
-        todo = list(new)
-        for p, e in zip(todo, self.library.encode_batch(todo, add_special_tokens=False)):
-            known[p] = np.array(e.ids, "<u4").tobytes()
-        for p in ended:
-            known[p] = known[p[:-1]] + known[p[-1]]
-        return [np.frombuffer(b"".join([known[p] for p in c]), "<u4") for c in cut]
+            self.older, self.known = self.known, {}
+        found = list(map(self.known.get, pieces))
+        new = [p for p, f in zip(pieces, found) if f is None]
+        if new:
+            again = {p: self.older[p] for p in new if p in self.older}
+            self.known.update(again)
+            self._learn([p for p in new if p not in again])
+            found = list(map(self.known.get, pieces))
+        # the first piece of a text has no blank before it
+        codes[starts] = len(pieces) + np.arange(len(starts))
+        found += self._each(flat.take(pa.array(starts)).to_numpy(zero_copy_only=False).tolist())
+        size = np.array(list(map(len, found)), np.int64) >> 2
+        ids = np.frombuffer(b"".join(found), "<u4")
+        begin, long = (np.cumsum(size) - size)[codes], size[codes]
+        ends = np.cumsum(long)
+        ids = ids[np.repeat(begin - ends + long, long) + np.arange(long.sum())]
+        bounds = np.r_[0, ends][np.r_[starts, len(codes)]]
+        place = np.argsort(np.r_[np.flatnonzero(~(g := gaps.to_numpy(zero_copy_only=False).astype(bool))), np.flatnonzero(g)])
+        return [ids[bounds[i] : bounds[i + 1]] for i in place.tolist()]
 
 
 def _open(uri: str):
@@ -211,20 +272,18 @@ def _encode_partition(folder: str, tokenizer: str, end_id: int, vocabulary: int)
             writer.close()
             return pa.RecordBatch.from_pydict({"file": [name], "first_id": pa.array([first], pa.int64()), "docs": [len(writer.docs)], "tokens": [writer.tokens]})
 
-        for batch in batches:
+        for batch in pieces(batches):
             ids = batch.column("id").fill_null(-(1 << 63)).to_pylist()
-            texts = batch.column("text").to_pylist()
-            for s in range(0, len(ids), 1000):
-                for i, tokens in zip(ids[s : s + 1000], encoder.encode(texts[s : s + 1000])):
-                    if writer is None:
-                        fs, base = _open(folder)
-                        fs.create_dir(base, recursive=True)
-                        name, first = f"{folder}/{uuid.uuid4().hex}.tok", i
-                        writer = Writer(fs.open_output_stream(_open(name)[1], compression=None), bits_for(vocabulary))
-                    writer.add(i, np.r_[tokens, np.uint32(end_id)].astype(np.uint32))
-                    if writer.tokens >= FILE_TOKENS:
-                        yield done()
-                        writer = None
+            for i, tokens in zip(ids, encoder.encode(batch.column("text"))):
+                if writer is None:
+                    fs, base = _open(folder)
+                    fs.create_dir(base, recursive=True)
+                    name, first = f"{folder}/{uuid.uuid4().hex}.tok", i
+                    writer = Writer(fs.open_output_stream(_open(name)[1], compression=None), bits_for(vocabulary))
+                writer.add(i, np.r_[tokens, np.uint32(end_id)].astype(np.uint32))
+                if writer.tokens >= FILE_TOKENS:
+                    yield done()
+                    writer = None
         if writer is not None:
             yield done()
 
@@ -261,5 +320,6 @@ def read_index(manifest: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """Read the files back: rows of the id, start (tokens of all documents before it), n_tokens and ids_crc32 (all long)."""
     order = Window.orderBy(F.col("first_id"), F.col("file")).rowsBetween(Window.unboundedPreceding, -1)  # a row per file
     based = manifest.select("file", F.coalesce(F.sum("tokens").over(order), F.lit(0)).alias("base"))
-    files = based.repartition(F.col("file"))
+    # a number of partitions that stays: the manifest is small, what it names is not
+    files = based.repartition(max(1, manifest.count()), "file")
     return files.mapInArrow(_read_files, "id long, start long, n_tokens long, ids_crc32 long").withColumnRenamed("id", id_col)
