@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ticketmill.llm import bitpack, bpe, chat, decontaminate, jaccard, licences, mainhtml, toxicity, voronoi, warc
+from ticketmill.llm import bitpack, bpe, chat, collocations, decontaminate, jaccard, licences, mainhtml, periodic, tokencount, toxicity, voronoi, warc
 from ticketmill.session import Workspace
 
 try:
@@ -90,3 +90,19 @@ def voronoi_top_k(spark, folder):
 @query("op10_minimum_cut_text", mainhtml.article_sql())
 def minimum_cut_text(spark, folder):
     return mainhtml.extract(table(spark, folder, "pages"))
+
+
+@query("op11_whole_token_counts")
+def whole_token_counts(spark, folder):
+    return tokencount.token_counts(table(spark, folder, "documents"), tokenizer_path("byte_bpe_50k.json"))
+
+
+@query("op12_periodic_runs")
+def periodic_runs(spark, folder):
+    return periodic.run_rows(table(spark, folder, "documents"), change=periodic.repeated_tail)
+
+
+@query("op13_collocations", collocations.collocation_sql())
+def phrase_collocations(spark, folder):
+    ws = Workspace(spark)
+    return collocations.collocations(ws, collocations.frequent_ngrams(ws, table(spark, folder, "documents")))
