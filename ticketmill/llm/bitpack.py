@@ -272,7 +272,7 @@ def _encode_partition(folder: str, tokenizer: str, end_id: int, vocabulary: int)
             writer.close()
             return pa.RecordBatch.from_pydict({"file": [name], "first_id": pa.array([first], pa.int64()), "docs": [len(writer.docs)], "tokens": [writer.tokens]})
 
-        for batch in pieces(batches):
+        for batch in pieces(batches, 4 << 20):
             ids = batch.column("id").fill_null(-(1 << 63)).to_pylist()
             for i, tokens in zip(ids, encoder.encode(batch.column("text"))):
                 if writer is None:

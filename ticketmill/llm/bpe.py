@@ -32,8 +32,10 @@ from pyspark.sql import functions as F
 
 from ticketmill.llm.hashing import pieces
 
-# words kept per Python worker
-CACHE = 600_000
+# words kept by a task, of at most so many characters, and pairs of tokens kept; freed when the task ends
+CACHE = 200_000
+CACHED_LENGTH = 48
+STOOD = 200_000
 ENDLESS = 1 << 60
 
 
@@ -127,7 +129,7 @@ class Merges:
         """The two tokens stay as they are beside each other."""
         key = (a, b)
         if key not in self.stood:
-            if len(self.stood) > CACHE:
+            if len(self.stood) > STOOD:
                 self.stood.clear()
             self.stood[key] = self._stands(a, b, ENDLESS)
         return self.stood[key]
@@ -288,12 +290,19 @@ class Coder:
         """Number of tokens, decimal ids and decoded text of one word; kept."""
         tokens = self.word(word)
         ids = [self.merges.ids[t] for t in tokens]
-        if len(self.cache) > CACHE:
-            self.cache.clear()
         got = len(ids), b" ".join([b"%d" % i for i in ids]), decode(self, ids, library=True).encode()
-        self.cache[word] = got
+        if len(word) <= CACHED_LENGTH:
+            if len(self.cache) >= CACHE:
+                self.cache.clear()
+            self.cache[word] = got
         return got
 
+    def free(self) -> None:
+        """Give up what was kept while texts were coded; a worker outlives its tasks."""
+        self.cache.clear()
+        self.merges.stood.clear()
+        pa.default_memory_pool().release_unused()
+
     def of_run(self, run: str) -> tuple[int, bytes, bytes]:
         """The same for what stands between white space."""
         if run[0] == "\0" and run[1:] in self.specials:
@@ -359,12 +368,15 @@ def encode_texts(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
 
     def run(batches):
         coder = _coder(path)
-        for batch in pieces(batches):
-            coded = [coder.coded(t.as_py() or "") for t in batch.column("text")]
-            n = [c[0] for c in coded]
-            flat = np.fromstring(b" ".join([c[1] for c in coded if c[0]]).decode(), np.int32, sep=" ")
-            ids = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(n)], pa.int32()), pa.array(flat, pa.int32()))
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(n, pa.int64()), ids], names=[id_col, "n_tokens", "ids"])
+        try:
+            for batch in pieces(batches):
+                coded = [coder.coded(t.as_py() or "") for t in batch.column("text")]
+                n = [c[0] for c in coded]
+                flat = np.fromstring(b" ".join([c[1] for c in coded if c[0]]).decode(), np.int32, sep=" ")
+                ids = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(n)], pa.int32()), pa.array(flat, pa.int32()))
+                yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(n, pa.int64()), ids], names=[id_col, "n_tokens", "ids"])
+        finally:
+            coder.free()
 
     picked = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     return picked.mapInArrow(run, f"`{id_col}` {dict(picked.dtypes)['id']}, n_tokens long, ids array<int>")
@@ -379,14 +391,17 @@ def digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
 
     def run(batches):
         coder = _coder(path)
-        for batch in pieces(batches):
-            n, a, b = [], [], []
-            for t in batch.column("text"):
-                count, ids, names = coder.coded(t.as_py() or "")
-                n.append(count)
-                a.append(hashlib.sha256(ids).hexdigest())
-                b.append(hashlib.sha256(names).hexdigest())
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(n, pa.int64()), pa.array(a), pa.array(b)], names=[id_col, "n_tokens", "ids_sha256", "decoded_sha256"])
+        try:
+            for batch in pieces(batches):
+                n, a, b = [], [], []
+                for t in batch.column("text"):
+                    count, ids, names = coder.coded(t.as_py() or "")
+                    n.append(count)
+                    a.append(hashlib.sha256(ids).hexdigest())
+                    b.append(hashlib.sha256(names).hexdigest())
+                yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(n, pa.int64()), pa.array(a), pa.array(b)], names=[id_col, "n_tokens", "ids_sha256", "decoded_sha256"])
+        finally:
+            coder.free()
 
     picked = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     schema = f"`{id_col}` {dict(picked.dtypes)['id']}, n_tokens long, ids_sha256 string, decoded_sha256 string"

@@ -34,7 +34,7 @@ def _powers(base: U64, n: int) -> np.ndarray:
     return np.multiply.accumulate(out)
 
 
-def pieces(batches, limit: int = 4 << 20):
+def pieces(batches, limit: int = 1 << 20):
     """Arrow batches as smaller ones of about ``limit`` bytes, so that the arrays a task derives from them stay small."""
     for batch in batches:
         rows = max(1, batch.num_rows * limit // max(batch.nbytes, 1))
