@@ -30,11 +30,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from ticketmill.llm.components import components
 from ticketmill.llm.hashing import mixed, pieces, shingle_sets
 from ticketmill.llm.marks import bitmap, few, marked, only_marked
+from ticketmill.operators.ranking import join_by_key
 from ticketmill.session import Workspace
 
 # members and tokens of a group that is opened in one task
@@ -48,6 +48,10 @@ TOKENS_COUNTED = 3_000_000
 # digests a task remembers; forgetting some only means more documents that stand for themselves
 SEEN = 500_000
 
+# matrix entries a task packs at once, and those of a part of the matrix, about
+PACKED = 1_000_000
+PART_CELLS = 1_000_000
+
 LOWS = ("low", "low2", "low3")
 SIGNATURE = "kind int, doc_id long, carrier long, n long, k1 long, k2 long, low long, low2 long, low3 long"
 
@@ -155,9 +159,7 @@ def _prefixes(k: int, num: int, den: int, frequent, keep: list[str], special=Non
     return run
 
 
-def _entries(docs: DataFrame, keep: list[str], make) -> DataFrame:
-    schema = "".join(f"{c} long, " for c in keep) + "token long, n long, last int, pos int, often int"
-    return docs.select(*keep, "text").mapInArrow(make, schema)
+ENTRY = "token long, n long, last int, pos int, often int"
 
 
 def _key(token: Column, often: Column) -> Column:
@@ -258,9 +260,9 @@ def _open_groups(ws: Workspace, docs: DataFrame, keyed: DataFrame, k: int, num:
     groups = keyed.groupBy("key").agg(
         F.count("*").alias("m"), F.sum("n").alias("tokens"), F.min("rep").alias("leader"), F.min("comp").alias("c0"), F.max("comp").alias("c1")
     )
-    groups = groups.where("c0 <> c1").select("key", "leader", _chunks(F.col("m"), F.col("tokens")).alias("chunks"))
+    groups = groups.where("c0 <> c1").select("key", "leader", "m", _chunks(F.col("m"), F.col("tokens")).alias("chunks"))
     groups = ws.save(groups, "groups")
-    own = keyed.join(groups, "key").select("key", _chunk_of("rep", "chunks").alias("chunk"), F.col("rep").alias("doc_id"))
+    own = join_by_key(keyed, groups, "key", "m").where("chunks IS NOT NULL").select("key", _chunk_of("rep", "chunks").alias("chunk"), F.col("rep").alias("doc_id"))
     numbers = F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1))
     led = groups.where("chunks > 1").select("key", numbers.alias("chunk"), F.col("leader").alias("doc_id"))
     wanted = ws.save(own.union(led).distinct(), "members")
@@ -268,6 +270,80 @@ def _open_groups(ws: Workspace, docs: DataFrame, keyed: DataFrame, k: int, num:
     return ws.save(chunks.select("members").mapInArrow(_open(num, den), "a long, b long"), "near")
 
 
+# columns of a matrix entry of a document that stands alone, and those of a group beyond them
+CELL = ("token", "gid", "least", "last", "pos", "often")
+GROUP_CELL = (*CELL, "most", "members", "c0", "c1")
+PACKED_ROWS = "part int, columns int, cells binary"
+MATRIX = "token long, gid long, members long, c0 long, c1 long, least long, most long, last int, pos int, often int"
+
+
+def _packed(names: tuple[str, ...], bits: int):
+    """Matrix entries to rows (part, columns, cells): those whose tokens have the same leading bits, column by column.
+
+    Bytes of equal weight stand together, so what is equal or zero in most entries takes little room when it is shuffled.
+    """
+
+    def flush(held):
+        columns = [np.concatenate(c) for c in zip(*held)]
+        held.clear()
+        order = np.argsort(columns[0].view(np.uint64))
+        columns = [c[order] for c in columns]
+        part = (columns[0].view(np.uint64) >> np.uint64(64 - bits)).astype(np.int64)
+        at = np.flatnonzero(np.r_[True, part[1:] != part[:-1]])
+        for s, e in zip(at.tolist(), [*at[1:].tolist(), len(part)]):
+            cells = b"".join([np.ascontiguousarray(c[s:e].view(np.uint8).reshape(-1, 8).T).tobytes() for c in columns])
+            yield pa.RecordBatch.from_pydict({"part": pa.array([part[s]], pa.int32()), "columns": pa.array([len(columns)], pa.int32()), "cells": [cells]})
+
+    def run(batches):
+        held, size = [], 0
+        for batch in batches:
+            if batch.num_rows:
+                held.append([batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in names])
+                size += batch.num_rows
+            if size >= PACKED:
+                yield from flush(held)
+                size = 0
+        if size:
+            yield from flush(held)
+
+    return run
+
+
+def _meeting(batches):
+    """Matrix entries of the tokens that meet in groups of different components; rows come sorted by part."""
+
+    def finish(held):
+        columns: dict[str, list] = {c: [] for c in GROUP_CELL}
+        for count, cells in held:
+            own = np.frombuffer(cells, np.uint8).reshape(count, 8, -1)
+            own = dict(zip(GROUP_CELL, [np.ascontiguousarray(c.T).view(np.int64).reshape(-1) for c in own]))
+            if count == len(CELL):
+                own |= {"most": own["least"], "members": np.ones(len(own["gid"]), np.int64), "c0": own["gid"], "c1": own["gid"]}
+            for c, values in own.items():
+                columns[c].append(values)
+        every = {c: np.concatenate(v) for c, v in columns.items()}
+        order = np.argsort(every["token"], kind="stable")
+        token = every["token"][order]
+        first = np.r_[True, token[1:] != token[:-1]]
+        at, which = np.flatnonzero(first), np.cumsum(first) - 1
+        over = lambda f, c: f.reduceat(every[c][order], at)
+        meets = (over(np.minimum, "gid") != over(np.maximum, "gid")) & (over(np.minimum, "c0") != over(np.maximum, "c1"))
+        kept = order[meets[which]]
+        kind = dict(f.split(" ") for f in MATRIX.split(", "))
+        return pa.RecordBatch.from_pydict({c: pa.array(every[c][kept], pa.int32() if kind[c] == "int" else pa.int64()) for c in kind})
+
+    now, held = None, []
+    for batch in batches:
+        for part, count, cells in zip(*[batch.column(c).to_pylist() for c in ("part", "columns", "cells")]):
+            if part != now and held:
+                yield finish(held)
+                held = []
+            now = part
+            held.append((count, cells))
+    if held:
+        yield finish(held)
+
+
 def _candidates(shared: DataFrame, num: int, den: int) -> DataFrame:
     """Pairs of groups (a, b) that may hold a link between different components."""
     side = lambda s: shared.select("token", *[F.col(c).alias(f"{s}_{c}") for c in shared.columns if c != "token"])
@@ -338,8 +414,8 @@ def linked_groups(
     leaders = keyed.groupBy("key").agg(F.min("rep").alias("leader"))
     similar = keyed.join(leaders, "key").groupBy("rep", "n", "comp").agg(F.min("leader").alias("leader"))
     similar = ws.save(similar, "similar")
-    sizes = similar.groupBy("leader").agg(_chunks(F.count("*"), F.sum("n")).alias("chunks"))
-    part = similar.join(sizes, "leader").select("rep", "comp", "leader", _chunk_of("rep", "chunks").alias("chunk"))
+    sizes = similar.groupBy("leader").agg(F.count("*").alias("m"), _chunks(F.count("*"), F.sum("n")).alias("chunks"))
+    part = join_by_key(similar, sizes, "leader", "m").select("rep", "comp", "leader", _chunk_of("rep", "chunks").alias("chunk"))
     gids = part.groupBy("leader", "chunk").agg(
         F.min("rep").alias("gid"), F.count("*").alias("members"), F.min("comp").alias("c0"), F.max("comp").alias("c1")
     )
@@ -349,20 +425,20 @@ def linked_groups(
     alone = units.where("members = 1 AND comp = doc_id").select("doc_id")
     grouped = rows.where("n > 0").select("doc_id").join(alone, "doc_id", "left_anti")
     special = spark.sparkContext.broadcast(bitmap(grouped, "doc_id"))
-    direct = _entries(docs, ["doc_id"], _prefixes(k, num, den, frequent, ["doc_id"], special))
+    total = rows.agg(F.sum(F.col("n") * (1.5 * (den - num) / den) + 1.5).alias("cells")).first()["cells"] or 0
+    bits = max(1, int(total // PART_CELLS).bit_length())
+    alone_of = _prefixes(k, num, den, frequent, ["doc_id"], special)
+    names = ("token", "doc_id", "n", "last", "pos", "often")
+    single = docs.mapInArrow(lambda batches: _packed(names, bits)(alone_of(batches)), PACKED_ROWS)
     keep = ["gid", "members", "c0", "c1"]
-    joined = _entries(units.join(docs.mapInArrow(only_marked("doc_id", special), docs.schema), "doc_id"), keep, _prefixes(k, num, den, frequent, keep))
-    one, own = F.lit(1).cast("long").alias("members"), F.col("doc_id")
-    single = direct.select(
-        "token", own.alias("gid"), one, own.alias("c0"), own.alias("c1"), "often", F.col("n").alias("least"), F.col("n").alias("most"), "last", "pos"
-    )
+    mine = units.join(docs.mapInArrow(only_marked("doc_id", special), docs.schema), "doc_id").select(*keep, "text")
+    joined = mine.mapInArrow(_prefixes(k, num, den, frequent, keep), "".join(f"{c} long, " for c in keep) + ENTRY)
     union = joined.groupBy("token", *keep, "often").agg(
         F.min("n").alias("least"), F.max("n").alias("most"), F.min("last").alias("last"), F.max("pos").alias("pos")
     )
-    of_token = Window.partitionBy("token")
-    over = {"g0": F.min("gid"), "g1": F.max("gid"), "k0": F.min("c0"), "k1": F.max("c1")}
-    shared = single.unionByName(union).select("*", *[f.over(of_token).alias(c) for c, f in over.items()])
-    shared = ws.save(shared.where("g0 <> g1 AND k0 <> k1").drop(*over), "matrix")
+    packed = single.unionByName(union.mapInArrow(_packed(GROUP_CELL, bits), PACKED_ROWS))
+    dealt = packed.repartitionById(1 << bits, "part").sortWithinPartitions("part")
+    shared = ws.save(dealt.mapInArrow(_meeting, MATRIX), "matrix")
     pairs = ws.save(_candidates(shared, num, den), "candidates")
 
     # 4. open what qualifies: pairs, and groups of more than one component
