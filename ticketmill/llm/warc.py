@@ -249,7 +249,8 @@ def _read(batches):
 def read_archives(manifest: DataFrame) -> DataFrame:
     """Every record of the bundles the manifest names, with its place; payloads are checked against their digests."""
     bundles = manifest.select("bundle").distinct()
-    return bundles.repartition("bundle").mapInArrow(_read, RECORD)
+    # a number of partitions that stays: the names are few bytes, what they name is not
+    return bundles.repartition(max(1, bundles.count()), "bundle").mapInArrow(_read, RECORD)
 
 
 def archive_sql() -> str:
