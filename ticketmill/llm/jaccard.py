@@ -44,13 +44,13 @@ GROUP_TOKENS = 200_000
 FREQUENT = 100_000
 # a token can be one of them if it comes so often in a stretch of so many tokens
 FREQUENT_TIMES = 2
-TOKENS_COUNTED = 3_000_000
+TOKENS_COUNTED = 2_000_000
 # digests a task remembers; forgetting some only means more documents that stand for themselves
-SEEN = 500_000
+SEEN = 100_000
 
 # matrix entries a task packs at once, and those of a part of the matrix, about
-PACKED = 1_000_000
-PART_CELLS = 1_000_000
+PACKED = 400_000
+PART_CELLS = 150_000
 
 LOWS = ("low", "low2", "low3")
 SIGNATURE = "kind int, doc_id long, carrier long, n long, k1 long, k2 long, low long, low2 long, low3 long"
