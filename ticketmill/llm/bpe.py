@@ -17,6 +17,7 @@ Null and empty texts have no tokens. Null ids are kept as they are; rows repeat
 from __future__ import annotations
 
 import codecs
+import gc
 import hashlib
 import json
 import sys
@@ -298,9 +299,9 @@ class Coder:
         return got
 
     def free(self) -> None:
-        """Give up what was kept while texts were coded; a worker outlives its tasks."""
-        self.cache.clear()
-        self.merges.stood.clear()
+        """Give up all that was built and kept; a worker outlives its tasks."""
+        self.__dict__.clear()
+        gc.collect()
         pa.default_memory_pool().release_unused()
 
     def of_run(self, run: str) -> tuple[int, bytes, bytes]:
@@ -359,15 +360,11 @@ def decode(coder: Coder, ids: list[int], library: bool = False) -> str:
     return "".join([machine.feed(i) for i in ids]) + machine.close()
 
 
-def _coder(path: str) -> Coder:
-    return worker_state(f"bpe {path}", lambda: Coder(path))
-
-
 def encode_texts(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Rows of the id, n_tokens (long) and ids (array of int)."""
 
     def run(batches):
-        coder = _coder(path)
+        coder = Coder(path)  # built in half a second, and gone with the task
         try:
             for batch in pieces(batches):
                 coded = [coder.coded(t.as_py() or "") for t in batch.column("text")]
@@ -390,7 +387,7 @@ def digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
     """
 
     def run(batches):
-        coder = _coder(path)
+        coder = Coder(path)  # built in half a second, and gone with the task
         try:
             for batch in pieces(batches):
                 n, a, b = [], [], []
