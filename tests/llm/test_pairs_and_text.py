@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
 import pyarrow as pa
 import pytest
 
@@ -168,3 +169,22 @@ def test_licences(spark):
 def test_every_licence_sentence_has_an_anchor():
     assert all(any(a in s for a in licences.ANCHORS) for s in licences.SENTENCES.values())
     assert set(licences.SENTENCES) == {i for _, _, ids in licences.RULES for i in ids}
+
+
+def test_sketches_bound_the_overlap():
+    r = np.random.default_rng(7)
+    for _ in range(200):
+        n, m = r.integers(1, 400, 2)
+        pool = r.integers(-(1 << 63), (1 << 63) - 1, 500)
+        a, b = (np.unique(r.choice(pool, x)) for x in (n, m))
+        if r.random() < 0.2:
+            b = np.unique(np.r_[b, np.arange(600)])  # many in one bucket
+        kind = pa.list_(pa.struct([("label", pa.int64()), ("tokens", pa.list_(pa.int64()))]))
+        rows = pa.RecordBatch.from_arrays([pa.array([1, 2]), pa.array([[{"label": 1, "tokens": a.tolist()}], [{"label": 2, "tokens": b.tolist()}]], kind)], names=["gid", "members"])
+        (out,) = jaccard._sketches([rows])
+        assert out["least"].to_pylist() == [len(a), len(b)]
+        assert jaccard._most_shared(*out["sketch"].to_pylist()) >= len(np.intersect1d(a, b))
+    half = np.unique(r.integers(-(1 << 63), (1 << 63) - 1, 1000))
+    rows = pa.RecordBatch.from_arrays([pa.array([1, 2]), pa.array([[{"label": 1, "tokens": x.tolist()}] for x in (half[:500], half[500:])], kind)], names=["gid", "members"])
+    (out,) = jaccard._sketches([rows])
+    assert jaccard._most_shared(*out["sketch"].to_pylist()) < 350  # nothing is shared, and a link needs 460

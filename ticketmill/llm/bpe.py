@@ -31,7 +31,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ticketmill.llm.hashing import pieces
+from ticketmill.llm.hashing import give_back, pieces
 
 # words kept by a task, of at most so many characters, and pairs of tokens kept; freed when the task ends
 CACHE = 200_000
@@ -302,7 +302,7 @@ class Coder:
         """Give up all that was built and kept; a worker outlives its tasks."""
         self.__dict__.clear()
         gc.collect()
-        pa.default_memory_pool().release_unused()
+        give_back()
 
     def of_run(self, run: str) -> tuple[int, bytes, bytes]:
         """The same for what stands between white space."""

@@ -6,6 +6,8 @@ modulo 2^64, taken from running sums over the column's bytes and then mixed; a s
 
 from __future__ import annotations
 
+import ctypes
+
 import numpy as np
 import pyarrow as pa
 
@@ -34,15 +36,26 @@ def _powers(base: U64, n: int) -> np.ndarray:
     return np.multiply.accumulate(out)
 
 
+def give_back() -> None:
+    """Memory that is free goes back to the system, as a worker outlives its task and others need room."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def pieces(batches, limit: int = 1 << 20):
     """Arrow batches as smaller ones of about ``limit`` bytes, so that the arrays a task derives from them stay small."""
-    for batch in batches:
-        rows = max(1, batch.num_rows * limit // max(batch.nbytes, 1))
-        if rows >= batch.num_rows:
-            yield batch
-            continue
-        for s in range(0, batch.num_rows, rows):
-            yield batch.slice(s, rows)
+    try:
+        for batch in batches:
+            rows = max(1, batch.num_rows * limit // max(batch.nbytes, 1))
+            if rows >= batch.num_rows:
+                yield batch
+                continue
+            for s in range(0, batch.num_rows, rows):
+                yield batch.slice(s, rows)
+    finally:
+        give_back()
 
 
 def flat_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -14,7 +14,8 @@ shared, and a group is what links reach. The work is done on groups of similar d
    frequent ones last, need to be stored: two documents that link share one of them. Groups that share tokens are
    candidates, unless they are all of one component, and the number of shared tokens bounds the overlap of a document with
    a group: what a prefix misses in the other's visible range is missing in the other set.
-4. Only qualifying groups, and pairs of them, are opened. There each member's overlap with the other group's whole union is
+4. Only qualifying groups, and pairs of them, are opened. First counts of the unions' tokens by buckets bound what two groups share,
+   so most pairs end without their sets being moved. In what is opened each member's overlap with the other group's whole union is
    bounded once more, and what remains is compared exactly.
 
 The order of tokens only decides how much is compared, never the result. Sets are compared by 64-bit hashes of
@@ -240,6 +241,40 @@ def _open(num: int, den: int):
     return run
 
 
+def _sketches(batches):
+    """Groups (gid, members) to (gid, least, sketch): the size of the smallest member, and how many tokens of the union fall into each of about as many buckets."""
+    for batch in batches:
+        least, sketches = [], []
+        for row in range(batch.num_rows):
+            _, sets = _members(batch.column("members")[row])
+            union = np.unique(np.concatenate(sets)).view(np.uint64)
+            log = max(4, (len(union) - 1).bit_length())
+            count = np.bincount((union >> np.uint64(64 - log)).astype(np.int64), minlength=1 << log)
+            least.append(min([len(x) for x in sets]))
+            sketches.append(np.minimum(count, 255).astype(np.uint8).tobytes())
+        yield pa.RecordBatch.from_pydict({"gid": batch.column("gid"), "least": pa.array(least, pa.int64()), "sketch": pa.array(sketches, pa.binary())})
+
+
+def _most_shared(a: bytes, b: bytes) -> int:
+    """No two members share more tokens than this."""
+    x, y = (np.frombuffer(s, np.uint8).astype(np.int64) for s in (a, b))
+    x, y = (np.where(s == 255, 1 << 40, s) for s in (x, y))  # 255 or more
+    size = min(len(x), len(y))
+    x, y = (s.reshape(size, -1).sum(axis=1) for s in (x, y))  # neighbouring buckets are those of fewer leading bits
+    return int(np.minimum(x, y).sum())
+
+
+def _may_link(num: int, den: int):
+    """Pairs of groups whose sketches leave room for a link."""
+
+    def run(batches):
+        for batch in batches:
+            columns = [batch.column(c).to_pylist() for c in ("a_least", "b_least", "a_sketch", "b_sketch")]
+            yield batch.select(["a", "b"]).filter(pa.array([_most_shared(x, y) * (num + den) >= (la + lb) * num for la, lb, x, y in zip(*columns)], pa.bool_()))
+
+    return run
+
+
 def _chunks(count: Column, tokens: Column) -> Column:
     return F.greatest(F.ceil(count / GROUP_DOCS), F.ceil(tokens / GROUP_TOKENS)).cast("long")
 
@@ -447,6 +482,9 @@ def linked_groups(
     wanted = units.join(called, "gid").select("doc_id", F.col("comp").alias("label"), "gid")
     sets = _fetch(docs, wanted, k).groupBy("gid").agg(F.collect_list(F.struct("label", "tokens")).alias("members"))
     sets = ws.save(sets, "opened")
+    sketches = ws.save(sets.mapInArrow(_sketches, "gid long, least long, sketch binary"), "sketches")
+    side = lambda x: sketches.select(F.col("gid").alias(x), F.col("least").alias(f"{x}_least"), F.col("sketch").alias(f"{x}_sketch"))
+    pairs = ws.save(pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(_may_link(num, den), "a long, b long"), "likely")
     other = sets.select(F.col("gid").alias("b"), F.col("members").alias("others"))
     met = pairs.join(sets.withColumnRenamed("gid", "a"), "a").join(other, "b").select("members", "others")
     within = sets.join(mixed_groups, "gid", "left_semi").select("members")
