@@ -53,9 +53,19 @@ STAGES = [
 ORACLE_SQL = None
 
 
+# rows of whole texts that go to a Python worker at once; the usual 10,000 take room in the JVM and in the worker
+BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+BATCH_ROWS = 2_000
+
+
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     ws = Workspace(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES:
-        docs = ws.save(stage(spark, docs, sf_dir), name)
+    usual = spark.conf.get(BATCH)
+    spark.conf.set(BATCH, str(BATCH_ROWS))
+    try:
+        for name, stage in STAGES:
+            docs = ws.save(stage(spark, docs, sf_dir), name)
+    finally:
+        spark.conf.set(BATCH, usual)
     return docs
