@@ -221,7 +221,26 @@ def _reachable_cells(pivots: np.ndarray, radius: np.ndarray, reach: float):
     return assign
 
 
-def _compare_blocks(t: float, width: int, self_join: bool, best_only: bool, half: bool):
+def _stars(l: np.ndarray, r: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Edges that connect what the given ones connect: each id, but for the smallest of its component, to the smallest."""
+    ids, at = np.unique(np.r_[l, r], return_inverse=True)
+    a, b = at[: len(l)], at[len(l) :]
+    low = np.arange(len(ids))
+    while True:
+        least = np.minimum(low[a], low[b])
+        new = low.copy()
+        np.minimum.at(new, low[a], least)
+        np.minimum.at(new, low[b], least)
+        while (new[new] != new).any():
+            new = new[new]
+        if (new == low).all():
+            break
+        low = new
+    moved = np.flatnonzero(low != np.arange(len(ids)))
+    return ids[low[moved]], ids[moved]
+
+
+def _compare_blocks(t: float, width: int, self_join: bool, best_only: bool, half: bool, connect: bool = False):
     """``half``: block pairs come in one order only, so a pair of different blocks is put in order here."""
 
     def compare(left: pa.Table, right: pa.Table) -> pa.Table:
@@ -239,6 +258,10 @@ def _compare_blocks(t: float, width: int, self_join: bool, best_only: bool, half
             best = sims.argmax(axis=1)
             row = np.flatnonzero(sims[np.arange(len(l_pos)), best] > t)
             col = best[row]
+        elif connect:
+            row, col = np.nonzero(sims > t)
+            l, r = _stars(l_pos[row], r_pos[col])
+            return pa.table({"l": l, "r": r, "sim": np.full(len(l), t)})
         else:
             hit = sims >= t
             if self_join and same:
@@ -260,9 +283,13 @@ def cell_join(
     width: int,
     best_only: bool = False,
     group: str | None = None,
+    connect: bool = False,
 ) -> DataFrame:
     """All pairs with similarity at least ``t`` > 0, or only the best partner above ``t`` of each left row.
 
+    With ``connect``, edges that connect the rows that pairs above ``t`` connect: fewer from a pair of blocks than
+    it has rows, however many pairs there are.
+
     Left rows live in the cell of their nearest pivot. Right rows are copied only to the cells that can
     hold a partner. A cell is split into blocks of about BLOCK_ROWS rows, so no task grows with a hot cell,
     and a task emits matches (or one best partner per row), never all its pairs. With ``group``, only
@@ -308,7 +335,7 @@ def cell_join(
         spread(homes, "blocks_l", "blocks_r", "block_l", "block_r")
         .groupBy(*tasks)
         .cogroup(spread(visits, "blocks_r", "blocks_l", "block_r", "block_l").groupBy(*tasks))
-        .applyInArrow(_compare_blocks(t, width, self_join, best_only, half), "l long, r long, sim double")
+        .applyInArrow(_compare_blocks(t, width, self_join, best_only, half, connect), "l long, r long, sim double")
     )
     if not best_only:
         return found
