@@ -9,6 +9,7 @@ from ticketmill.functions import text as tx
 from ticketmill.operators import aggregates as ag
 from ticketmill.operators import keyphrases as kp
 from ticketmill.operators import leaders as ld
+from ticketmill.operators import linkage as lk
 from ticketmill.operators import similarity as sm
 from ticketmill.operators import vectors as vx
 from ticketmill.operators.ranking import rank_in_group, with_position
@@ -359,6 +360,48 @@ def joined_text_parts(spark, folder):
     return cl.text_parts(ws, clustered, sep="\n\n")
 
 
+COMBINED_LABELS = "summary || ' ' || description || ' ' || feature || ' ' || error_type"
+
+
+def monthly_sql(only: str = "true") -> str:
+    """CTEs to ``clustered``: average linkage by months as rounds of mutual nearest neighbours, with mean distances from all pairs of tickets."""
+    every = ISSUES.replace("issues AS (", "everything AS (", 1)
+    return f"""WITH RECURSIVE {every},
+issues AS MATERIALIZED (SELECT *, {COMBINED_LABELS} AS combined, coalesce(completion_date, updated) AS completed,
+  date_trunc('month', coalesce(completion_date, updated)) AS month_start FROM everything WHERE {only}),
+{tfidf_sql(norm_sql('combined'))},
+keys AS (SELECT seq, list(term || ':' || round(w, 9) ORDER BY term) AS k FROM v GROUP BY seq),
+start AS MATERIALIZED (SELECT i.seq, month_start, CASE WHEN k IS NULL THEN i.seq ELSE min(i.seq) OVER (PARTITION BY month_start, k) END AS root
+  FROM issues i LEFT JOIN keys USING (seq)),
+mv AS MATERIALIZED (SELECT v.*, month_start FROM v JOIN issues USING (seq)),
+sims AS MATERIALIZED (SELECT a.seq AS l, b.seq AS r, sum(a.w * b.w) AS s FROM mv a JOIN mv b ON a.term = b.term AND a.month_start = b.month_start
+  WHERE a.seq <> b.seq GROUP BY a.seq, b.seq),
+rounds(it, seq, month_start, root) AS (SELECT 0, seq, month_start, root FROM start UNION ALL (
+  WITH sized AS (SELECT root, count(*) AS n FROM rounds GROUP BY root),
+  total AS (SELECT x.root AS a, y.root AS b, sum(s) AS s FROM sims JOIN rounds x ON x.seq = l JOIN rounds y ON y.seq = r WHERE x.root <> y.root GROUP BY x.root, y.root),
+  mean AS (SELECT a, b, round(s / (p.n * q.n), 12) AS m FROM total JOIN sized p ON p.root = a JOIN sized q ON q.root = b),
+  best AS (SELECT a, b FROM mean WHERE m > {1 - lk.CUT} QUALIFY row_number() OVER (PARTITION BY a ORDER BY m DESC, b) = 1),
+  merges AS (SELECT x.a AS keep, x.b AS gone FROM best x JOIN best y ON x.a = y.b AND x.b = y.a WHERE x.a < x.b)
+  SELECT it + 1, seq, month_start, coalesce(keep, root) FROM rounds LEFT JOIN merges ON gone = root WHERE EXISTS (SELECT 1 FROM merges))),
+clustered AS MATERIALIZED (SELECT i.*, strftime(i.month_start, '%b-%Y') AS cluster_month,
+  dense_rank() OVER (PARTITION BY i.month_start ORDER BY root) - 1 AS cluster_id
+  FROM issues i JOIN rounds USING (seq) WHERE it = (SELECT max(it) FROM rounds))"""
+
+
+def monthly_report_sql(only: str = "true") -> str:
+    """CTEs to ``report``."""
+    modes = ",\n".join(mode_sql("named", "k", field, f"m_{field}") for field in ("feature", "error_type", "status"))
+    return f"""{monthly_sql(only)},
+named AS (SELECT *, cluster_month || '/' || cluster_id AS k, row_number() OVER (PARTITION BY month_start, cluster_id ORDER BY seq) AS rn FROM clustered),
+{modes},
+told AS (SELECT k, 'Grouped similar incidents. Representative notes: ' || left(string_agg(summary, ' ' ORDER BY seq), {pr.NOTE_LENGTH}) || '...' AS recurring_summary FROM named WHERE rn <= 3 GROUP BY k),
+listed AS (SELECT k, string_agg(id, ', ' ORDER BY seq) AS example_ids FROM named WHERE rn <= {mo.EXAMPLES} GROUP BY k),
+report AS (SELECT cluster_month, month_start, cluster_id, recurring_summary, '{tx.NO_CRUX_TITLE}' AS crux, m_feature.feature, m_error_type.error_type, total_tickets, example_ids,
+  m_status.status, '{pr.SEE_SUMMARY}' AS resolution_suggestion, create_date
+FROM (SELECT k, cluster_month, month_start, cluster_id, count(*) AS total_tickets, {day('min(completed)')} AS create_date FROM named GROUP BY ALL)
+JOIN told USING (k) JOIN listed USING (k) JOIN m_feature USING (k) JOIN m_error_type USING (k) JOIN m_status USING (k))"""
+
+
 def _monthly(spark, folder):
     ws = Workspace(spark)
     tickets = issues(spark, folder)
@@ -368,13 +411,13 @@ def _monthly(spark, folder):
     return ws, ws.save(mo.monthly_clusters(ws, dated), "monthly")
 
 
-@query("monthly_clusters")
+@query("monthly_clusters", monthly_sql() + " SELECT cluster_month, seq, cluster_id FROM clustered")
 def monthly_clusters(spark, folder):
     _, clustered = _monthly(spark, folder)
     return clustered.select("cluster_month", "seq", "cluster_id")
 
 
-@query("monthly_report")
+@query("monthly_report", monthly_report_sql() + " SELECT * EXCLUDE (month_start) FROM report")
 def monthly_report(spark, folder):
     ws, clustered = _monthly(spark, folder)
     return mo.monthly_report(ws, clustered).drop("month_start")
@@ -408,7 +451,19 @@ def daily_run(spark, folder):
     return report.where("part = 0").agg(F.sum("total_tickets").alias("tickets"))
 
 
-@query("monthly_run_summary")
+def _first_listed(field: str) -> str:
+    return f"""(SELECT month_start, {field} FROM report GROUP BY month_start, {field}
+  QUALIFY row_number() OVER (PARTITION BY month_start ORDER BY count(*) DESC, min(cluster_id)) = 1)"""
+
+
+LAST_MONTHS = "coalesce(completion_date, updated) >= TIMESTAMP '2024-01-01' AND coalesce(completion_date, updated) < TIMESTAMP '2024-04-01'"
+
+
+@query("monthly_run_summary", f"""{monthly_report_sql(LAST_MONTHS)}
+SELECT any_value(cluster_month) AS month, count(*) AS total_clusters, CAST(sum(total_tickets) AS BIGINT) AS total_tickets, any_value(f.feature) AS top_feature,
+  any_value(c.recurring_summary) AS top_root_cause, round(avg(date_diff('day', CAST(create_date AS DATE), DATE '2024-03-10')), 1) AS avg_ticket_age
+FROM report r JOIN {_first_listed('feature')} f ON f.month_start = r.month_start JOIN {_first_listed('recurring_summary')} c ON c.month_start = r.month_start
+GROUP BY r.month_start""")
 def monthly_run_summary(spark, folder):
     ws = Workspace(spark)
     tickets = issues(spark, folder)
