@@ -10,6 +10,7 @@ from ticketmill.functions import prompts as pr
 from ticketmill.functions import text as tx
 from ticketmill.operators import aggregates as ag
 from ticketmill.operators import linkage as lk
+from ticketmill.operators import tracking as tr
 from ticketmill.operators import vectors as vx
 from ticketmill.operators.enrich import BatchFunction, label_tickets, reply_column
 from ticketmill.operators.ranking import first_rows, rank_in_group
@@ -42,18 +43,40 @@ def month_counts(tickets: DataFrame, as_of: Column, months: int = 3) -> DataFram
     )
 
 
+def monthly_vectors(ws: Workspace, tickets: DataFrame, width: int = vx.MAX_FEATURES) -> DataFrame:
+    """TF-IDF vectors of the tickets' texts with labels, over all months given."""
+    return vx.tfidf_vectors(ws, tickets, tx.normalize_text(tx.combined_text_with_labels()), max_features=width)
+
+
 def monthly_clusters(
     ws: Workspace, tickets: DataFrame, vectors: DataFrame | None = None, width: int = vx.MAX_FEATURES, cut: float = lk.CUT
 ) -> DataFrame:
     """Add ``combined`` and the month's ``cluster_id`` to dated tickets with a ``seq``."""
     combined = tickets.withColumn("combined", tx.combined_text_with_labels())
     if vectors is None:
-        vectors = vx.tfidf_vectors(ws, combined, tx.normalize_text("combined"), max_features=width)
+        vectors = monthly_vectors(ws, tickets, width)
     months = combined.select("seq", F.col("cluster_month").alias("grp"))
     ids = lk.average_linkage(ws, vectors, width, months, cut)
     return combined.join(ids.select("seq", "cluster_id"), "seq")
 
 
+def month_centroids(ws: Workspace, clustered: DataFrame, vectors: DataFrame) -> DataFrame:
+    """Each monthly cluster's centroid, to be stored if later months are to be tracked from here on."""
+    return tr.centroids(ws, clustered.select("seq", F.col("month_start").alias("period"), F.col("cluster_id").alias("group")), vectors)
+
+
+def tracked_clusters(
+    ws: Workspace, centroids: DataFrame, width: int = vx.MAX_FEATURES, match: float = tr.MATCH, known: DataFrame | None = None
+) -> DataFrame:
+    """A key for each monthly cluster that it shares with the clusters it goes on from: (month_start, cluster_id, track_id).
+
+    The key names the month and the number of the first cluster, such as ``Jan-2024/3``.
+    """
+    tracks = tr.track_groups(ws, centroids, width, match, known)
+    key = F.concat_ws("/", dt.month_tag("first_period"), F.col("first_group").cast("string"))
+    return tracks.select(F.col("period").alias("month_start"), F.col("group").alias("cluster_id"), key.alias("track_id"))
+
+
 def monthly_report(
     ws: Workspace, clustered: DataFrame, labels: BatchFunction | None = None, model: BatchFunction | None = None,
     override: str = "always",

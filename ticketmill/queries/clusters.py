@@ -11,13 +11,15 @@ from ticketmill.operators import keyphrases as kp
 from ticketmill.operators import leaders as ld
 from ticketmill.operators import linkage as lk
 from ticketmill.operators import similarity as sm
+from ticketmill.operators import tracking as tr
 from ticketmill.operators import vectors as vx
 from ticketmill.operators.ranking import rank_in_group, with_position
 from ticketmill.plans import clusters as cl
+from ticketmill.plans import marts as ma
 from ticketmill.plans import monthly as mo
 from ticketmill.plans import runs
 from ticketmill.queries.tables import query
-from ticketmill.queries.views import ISSUES, TOKEN_SQL, crux_sql, day, issues, mode_sql, norm_sql, table
+from ticketmill.queries.views import ISSUES, TOKEN_SQL, crux_sql, day, issues, mode_sql, month_text, norm_sql, table
 from ticketmill.session import Workspace
 from ticketmill.sources import issues as src
 from ticketmill.sources import sinks
@@ -423,6 +425,70 @@ def monthly_report(spark, folder):
     return mo.monthly_report(ws, clustered).drop("month_start")
 
 
+def tracks_sql(match: float) -> str:
+    """CTEs from ``members`` (period, grp, seq) and unit weights ``mw`` (seq, term, w) to ``tracks`` (period, grp, n, first_period, first_group)."""
+    side = lambda own, other: f"(SELECT a, b FROM near QUALIFY row_number() OVER (PARTITION BY {own} ORDER BY s DESC, {other}) = 1)"
+    return f"""cent AS (SELECT period, grp, term, sum(w) AS w FROM members JOIN mw USING (seq) GROUP BY ALL),
+groups AS MATERIALIZED (SELECT period, grp, count(*) AS n, row_number() OVER (ORDER BY period, grp) AS pos, dense_rank() OVER (ORDER BY period) AS number FROM members GROUP BY period, grp),
+unit AS MATERIALIZED (SELECT pos, number, term, w / sqrt(sum(w * w) OVER (PARTITION BY pos)) AS w FROM cent JOIN groups USING (period, grp) WHERE w <> 0),
+near AS MATERIALIZED (SELECT x.pos AS a, y.pos AS b, round(sum(x.w * y.w), 12) AS s FROM unit x JOIN unit y ON x.term = y.term AND y.number = x.number + 1
+  GROUP BY x.pos, y.pos HAVING round(sum(x.w * y.w), 12) > {match}),
+links AS MATERIALIZED (SELECT a, b FROM {side('a', 'b')} JOIN {side('b', 'a')} USING (a, b)),
+chain(pos, head) AS (SELECT pos, pos FROM groups WHERE pos NOT IN (SELECT b FROM links) UNION ALL SELECT b, head FROM chain JOIN links ON a = chain.pos),
+tracks AS MATERIALIZED (SELECT g.period, g.grp, g.n, f.period AS first_period, f.grp AS first_group FROM chain JOIN groups g ON g.pos = chain.pos JOIN groups f ON f.pos = head)"""
+
+
+VECTOR_MATCH = 0.1  # the supplied vectors are drawn at random, so no two means are near each other
+
+
+@query("tracked_vector_groups", f"""WITH RECURSIVE e AS (SELECT vec_id AS seq, vec_id % 6 AS period, label AS grp, CAST(embedding AS DOUBLE[]) AS x FROM embeddings),
+members AS (SELECT seq, period, grp FROM e),
+mw AS (SELECT seq, unnest(range(len(x))) AS term, unnest(list_transform(x, lambda z: z / sqrt(list_dot_product(x, x)))) AS w FROM e),
+{tracks_sql(VECTOR_MATCH)} SELECT period, grp, n, first_period, first_group FROM tracks""")
+def tracked_vector_groups(spark, folder):
+    """The labels' groups in six periods, each matched with the next period's."""
+    ws = Workspace(spark)
+    members = table(spark, folder, "embeddings").select(F.col("vec_id").alias("seq"), (F.col("vec_id") % 6).alias("period"), F.col("label").alias("group"))
+    groups = tr.centroids(ws, members, _embeddings(ws, spark, folder))
+    return tr.track_groups(ws, groups, DENSE_WIDTH, VECTOR_MATCH).withColumnRenamed("group", "grp")
+
+
+TRACKED = f"""{monthly_sql()},
+members AS (SELECT month_start AS period, cluster_id AS grp, seq FROM clustered), mw AS (SELECT seq, term, w FROM v),
+{tracks_sql(tr.MATCH)},
+named_tracks AS (SELECT period AS month_start, grp AS cluster_id, strftime(first_period, '%b-%Y') || '/' || first_group AS track_id FROM tracks)"""
+
+
+def _tracked(spark, folder):
+    ws = Workspace(spark)
+    dated = ws.save(mo.with_month(issues(spark, folder).withColumn("completion_date", src.completion_or_updated("completion_date", "updated"))), "dated")
+    vectors = mo.monthly_vectors(ws, dated)
+    clustered = ws.save(mo.monthly_clusters(ws, dated, vectors), "monthly")
+    return ws, clustered, ws.save(mo.tracked_clusters(ws, mo.month_centroids(ws, clustered, vectors)), "tracks")
+
+
+@query("tracked_clusters", f"{TRACKED} SELECT {day('month_start')} AS month_start, cluster_id, track_id FROM named_tracks")
+def tracked_clusters(spark, folder):
+    """Monthly clusters of tickets with a key that outlives the month."""
+    _, _, tracks = _tracked(spark, folder)
+    return tracks.withColumn("month_start", month_text("month_start"))
+
+
+@query("tracked_recurrence", f"""{TRACKED},
+sized AS (SELECT month_start, cluster_id, count(*) AS total_tickets, min(feature) AS feature, min(error_type) AS root_cause FROM clustered GROUP BY month_start, cluster_id),
+g AS (SELECT track_id, arg_min(feature, month_start) AS feature, arg_min(root_cause, month_start) AS recurring_summary, CAST(sum(total_tickets) AS BIGINT) AS ticket_count,
+  min(month_start) AS a, max(month_start) AS b, count(DISTINCT month_start) AS frequency FROM sized JOIN named_tracks USING (month_start, cluster_id) GROUP BY track_id)
+SELECT track_id, feature, recurring_summary, ticket_count, {day('a')} AS first_seen, {day('b')} AS last_seen, frequency,
+  CASE WHEN frequency > 2 THEN 'Chronic' WHEN frequency = 2 THEN 'Reappeared' ELSE 'Fixed' END AS status FROM g""")
+def tracked_recurrence(spark, folder):
+    """The recurrence tracker by that key."""
+    _, clustered, tracks = _tracked(spark, folder)
+    key = ["month_start", "cluster_id"]
+    sized = clustered.groupBy(*key).agg(F.count("*").alias("total_tickets"), F.min("feature").alias("feature"), F.min("error_type").alias("root_cause"))
+    tracker = ma.recurrence_tracker(sized.join(tracks, key), "track_id")
+    return tracker.withColumns({c: month_text(c) for c in ("first_seen", "last_seen")})
+
+
 RUN = FILE.replace("d.doc_id AS seq,", "row_number() OVER (ORDER BY d.doc_id DESC) - 1 AS seq,")
 
 
