@@ -162,3 +162,38 @@ def test_missing_vectors_are_found(spark, ws):
     df = spark.createDataFrame([(0, [1.0]), (1, [1.0])], "seq long, v array<double>")
     vectors = vx.given_vectors(ws, df.where("seq = 0"), "seq", "v")
     assert [r["seq"] for r in vx.missing_vectors(df, vectors).collect()] == [1]
+
+
+@pytest.mark.parametrize("width", [60, None])
+def test_one_link_for_each_row_and_batch(spark, ws, width):
+    x = sparse_vectors(9, 90)
+    rows = as_table(spark, ws, x).withColumnRenamed("seq", "pos")
+    near = ld.dense_near(ws, 0.4, width) if width else ld.sparse_near(ws, 0.4)
+    leaders, links = ld.leader_links(ws, rows, near, first_batch=20)
+    found = [(r["l"], r["r"]) for r in links.collect()]
+    batches = 3  # 20, 40 and 30 rows
+    assert len(found) <= len(x) * (batches + 1)
+    similar = np.round(x @ x.T, 12) >= 0.4
+    heads = sorted(r["pos"] for r in leaders.collect())
+    last = {i: max(h for h in heads if similar[i, h]) for i in range(len(x))}
+    assert {i: max(r for l, r in found if l == i) for i in range(len(x))} == last
+    assert all(similar[l, r] and r in heads for l, r in found)
+    assert similar[:, heads].sum() > len(x)  # rows with several leaders
+
+
+def test_connecting_edges_connect_the_same(spark, ws):
+    x = random_vectors(12, 60, dims=4)
+    rows = as_table(spark, ws, x).withColumnRenamed("seq", "pos")
+    edges = [(r["l"], r["r"]) for r in sm.cell_join(ws, rows, None, 0.8, 4, connect=True).collect()]
+    assert len(edges) < len(x)
+    low = list(range(len(x)))
+    want = {tuple(p) for p in np.argwhere(np.round(x @ x.T, 12) > 0.8) if p[0] < p[1]}
+
+    def parts(pairs):
+        low = list(range(len(x)))
+        for _ in range(len(x)):
+            for a, b in pairs:
+                low[a] = low[b] = min(low[a], low[b])
+        return low
+
+    assert parts(edges) == parts(want) != low

@@ -4,13 +4,15 @@ Rows are taken in order; a row no earlier leader is similar to becomes a leader,
 similar to it, also rows that already have a group. Later groups win. So the leaders are the first maximal
 independent set (in row order) of the graph {similarity >= t}, and a row belongs to its last similar leader.
 
-Only row-to-leader pairs matter. Rows are handled in batches of growing size: those similar to an earlier leader
-are set aside first, and only the rest of the batch is compared with itself. A large group of near copies thus
-meets its leader once, instead of meeting itself.
+Only row-to-leader pairs matter, and of these only a row's last one. Rows are handled in batches of growing size: those similar to
+an earlier leader are set aside first, and only the rest of the batch is compared with itself. A large group of near copies thus
+meets its leader once, instead of meeting itself. Each comparison with leaders stores one link a row, to the last leader it
+found, so there are at most as many links as rows times batches, however many leaders a row is similar to.
 """
 
 from __future__ import annotations
 
+import logging
 import math
 from collections.abc import Callable
 
@@ -28,16 +30,26 @@ FIRST_BATCH = 4_096
 PAIR_BUDGET = 200_000_000
 PAIRS_PER_ROW = 20
 SAMPLE_ROWS = 20_000
+MAX_ROUNDS = 10_000
+
+log = logging.getLogger(__name__)
 
 Near = Callable[[DataFrame, DataFrame | None], DataFrame]
 
 
 def sparse_near(ws: Workspace, t: float) -> Near:
-    return lambda left, right: sm.term_join(ws, left, right, t)
+    """All pairs of rows without a right side; else each left row's last similar right row."""
+
+    def near(left: DataFrame, right: DataFrame | None) -> DataFrame:
+        pairs = sm.term_join(ws, left, right, t)
+        return pairs if right is None else pairs.groupBy("l").agg(F.max("r").alias("r"))
+
+    return near
 
 
 def dense_near(ws: Workspace, t: float, width: int) -> Near:
-    return lambda left, right: sm.cell_join(ws, left, right, t, width)
+    """All pairs of rows without a right side; else each left row's last similar right row."""
+    return lambda left, right: sm.cell_join(ws, left, right, t, width, last_only=right is not None)
 
 
 def covered_rows(ws: Workspace, pairs: DataFrame) -> DataFrame:
@@ -48,7 +60,11 @@ def covered_rows(ws: Workspace, pairs: DataFrame) -> DataFrame:
     decisions, not the number of rows.
     """
     found = None
-    while not pairs.isEmpty():
+    for number in range(MAX_ROUNDS):
+        if pairs.isEmpty():
+            break
+        if log.isEnabledFor(logging.INFO):
+            log.info("round %d: %d open pairs", number, pairs.count())
         later = pairs.select(F.col("r").alias("l")).distinct()
         heads = pairs.select("l").distinct().join(later, "l", "left_anti")
         covered = ws.save(pairs.join(heads, "l").select("r").distinct(), "covered")
@@ -58,6 +74,8 @@ def covered_rows(ws: Workspace, pairs: DataFrame) -> DataFrame:
             covered.withColumnRenamed("r", "l"), "l", "left_anti"
         )
         pairs = ws.save(open_pairs.select("l", "r"), "open-pairs")
+    else:
+        raise RuntimeError(f"leaders are not settled after {MAX_ROUNDS} rounds")
     return found if found is not None else pairs.select("r")
 
 
@@ -93,7 +111,10 @@ def leader_links(
     first_batch: int = FIRST_BATCH,
     budget: int | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """Leaders (``pos``) among ``rows`` (pos, idx, val; all non-zero), and each row's similar leaders (``l``, ``r``)."""
+    """Leaders (``pos``) among ``rows`` (pos, idx, val; all non-zero), and links (``l``, ``r``) of rows to similar leaders.
+
+    A row's last leader is among its links; it has at most one link for each batch and side.
+    """
     total = (rows.agg(F.max("pos")).first()[0] or 0) + 1 if not rows.isEmpty() else 0
     budget = budget or max(PAIR_BUDGET, PAIRS_PER_ROW * total)
     leaders: DataFrame | None = None
@@ -125,12 +146,15 @@ def leader_links(
         # inside the batch: a pair's earlier row leads, and also its later row may lead for the earlier one
         forward = pairs.join(ids, "l").select(F.col("r").alias("l"), F.col("l").alias("r"))
         backward = pairs.join(ids.withColumnRenamed("l", "r"), "r").select("l", "r")
-        links = add(links, ws.save(own.unionByName(forward).unionByName(backward), "links"))
+        inside = own.unionByName(forward).unionByName(backward).groupBy("l").agg(F.max("r").alias("r"))
+        links = add(links, ws.save(inside, "links"))
         # rows decided before these leaders were known
         decided = rows.where(F.col("pos") < end).join(rest.select("pos"), "pos", "left_anti")
         if start > 0 or leaders is not None:
             links = add(links, ws.save(near(decided, new).select("l", "r"), "links"))
         leaders = add(leaders, new)
+        if log.isEnabledFor(logging.INFO):
+            log.info("rows %d to %d: %d undecided, %d leaders, %d links so far", start, end, rest.count(), leaders.count(), links.count())
         start, size = end, size * 2
     empty = rows.select(F.col("pos").alias("l"), F.col("pos").alias("r")).limit(0)
     return (leaders if leaders is not None else rows.limit(0)).select("pos"), links if links is not None else empty

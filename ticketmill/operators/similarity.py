@@ -240,7 +240,7 @@ def _stars(l: np.ndarray, r: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return ids[low[moved]], ids[moved]
 
 
-def _compare_blocks(t: float, width: int, self_join: bool, best_only: bool, half: bool, connect: bool = False):
+def _compare_blocks(t: float, width: int, self_join: bool, best_only: bool, half: bool, connect: bool = False, last_only: bool = False):
     """``half``: block pairs come in one order only, so a pair of different blocks is put in order here."""
 
     def compare(left: pa.Table, right: pa.Table) -> pa.Table:
@@ -258,6 +258,10 @@ def _compare_blocks(t: float, width: int, self_join: bool, best_only: bool, half
             best = sims.argmax(axis=1)
             row = np.flatnonzero(sims[np.arange(len(l_pos)), best] > t)
             col = best[row]
+        elif last_only:
+            hit = sims >= t
+            row = np.flatnonzero(hit.any(axis=1))
+            col = hit.shape[1] - 1 - hit[row, ::-1].argmax(axis=1)
         elif connect:
             row, col = np.nonzero(sims > t)
             l, r = _stars(l_pos[row], r_pos[col])
@@ -284,9 +288,13 @@ def cell_join(
     best_only: bool = False,
     group: str | None = None,
     connect: bool = False,
+    last_only: bool = False,
 ) -> DataFrame:
     """All pairs with similarity at least ``t`` > 0, or only the best partner above ``t`` of each left row.
 
+    With ``last_only``, of each left row's partners the one with the greatest ``pos``, in (l, r): a block of partners
+    sends one row for each left row, however many are similar.
+
     With ``connect``, edges that connect the rows that pairs above ``t`` connect: fewer from a pair of blocks than
     it has rows, however many pairs there are.
 
@@ -335,8 +343,10 @@ def cell_join(
         spread(homes, "blocks_l", "blocks_r", "block_l", "block_r")
         .groupBy(*tasks)
         .cogroup(spread(visits, "blocks_r", "blocks_l", "block_r", "block_l").groupBy(*tasks))
-        .applyInArrow(_compare_blocks(t, width, self_join, best_only, half, connect), "l long, r long, sim double")
+        .applyInArrow(_compare_blocks(t, width, self_join, best_only, half, connect, last_only), "l long, r long, sim double")
     )
+    if last_only:
+        return found.groupBy("l").agg(F.max("r").alias("r"))
     if not best_only:
         return found
     best = F.max_by(F.struct("r", "sim"), F.struct(F.col("sim"), -F.col("r")))

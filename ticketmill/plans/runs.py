@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ticketmill.functions import dates as dt
+from ticketmill.operators import tracking as tr
 from ticketmill.operators.enrich import BatchFunction
 from ticketmill.plans import clusters as cl
 from ticketmill.plans import marts as ma
@@ -60,3 +62,29 @@ def run_monthly(
     stored = sinks.read_months(ws.spark, out, report.schema)
     snapshot = stored.withColumnRenamed("recurring_summary", "root_cause").withColumn("completion_date", F.col("create_date").cast("date"))
     return stored, ma.report_summary(snapshot, as_of.cast("date"))
+
+
+def run_tracks(ws: Workspace, clustered: DataFrame, vectors: DataFrame, out: str, width: int, match: float = tr.MATCH) -> DataFrame:
+    """Track the clusters of some months on from the months stored below ``out``, and store them there; returns all stored tracks.
+
+    Rows (period, group, n, idx, val, first_period, first_group, cluster_month). Months that are tracked again replace what was stored
+    of them; those after them are to be tracked again too. The vectors must mean the same in every run, as a model's do; TF-IDF
+    weights depend on the texts of the run, so with them all months belong into one run.
+    """
+    centroids = mo.month_centroids(ws, clustered, vectors)
+    months = centroids.select("period", dt.month_tag("period").alias(sinks.MONTH_COLUMN)).distinct()
+    names = [r[sinks.MONTH_COLUMN] for r in months.collect()]  # one row per month
+    schema = T.StructType(
+        [*centroids.schema.fields, T.StructField("first_period", T.DateType()), T.StructField("first_group", centroids.schema["group"].dataType),
+         T.StructField(sinks.MONTH_COLUMN, T.StringType())]
+    )
+    known = None
+    if sinks.has_months(ws.spark, out):
+        stored = sinks.read_months(ws.spark, out, schema)
+        before = stored.join(F.broadcast(months.agg(F.min("period").alias("start"))), F.col("period") < F.col("start")).drop("start")
+        last = before.agg(F.max("period").alias("last"))
+        known = ws.save(before.join(F.broadcast(last), F.col("period") == F.col("last")).drop("last"), "known")
+    tracks = tr.track_groups(ws, centroids, width, match, known).drop("n")
+    rows = centroids.join(tracks, ["period", "group"]).withColumn(sinks.MONTH_COLUMN, dt.month_tag("period"))
+    sinks.replace_months(ws.save(rows.select(schema.names), "tracks"), out, names)
+    return sinks.read_months(ws.spark, out, schema)
