@@ -6,6 +6,11 @@ a unit vector). Rows without a single term have empty arrays: the zero vector.
 
 from __future__ import annotations
 
+import math
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -72,31 +77,43 @@ def _unit(entries: Column) -> tuple[Column, Column]:
     return F.transform(entries, lambda e: e["idx"]), F.flatten(F.transform(F.array(norm), scaled))
 
 
+def _weigh(terms: list[str], idf: list[float]):
+    """(seq, terms) to unit vectors: a batch's words are looked up in the vocabulary at once, nothing leaves its row."""
+
+    def run(batches):
+        names, weight = pa.array(terms, pa.string()), np.array(idf, float)
+        for batch in batches:
+            rows = batch.num_rows
+            held = batch.column("terms")
+            row = np.repeat(np.arange(rows), held.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
+            entries = held.flatten()
+            at = pc.index_in(entries.field("term").cast(pa.string()), value_set=names).fill_null(-1).to_numpy(zero_copy_only=False)
+            known = np.flatnonzero(at >= 0)
+            known = known[np.lexsort((at[known], row[known]))]
+            row, at = row[known], at[known]
+            w = entries.field("n").to_numpy(zero_copy_only=False)[known] * weight[at]
+            w = w / np.sqrt(np.bincount(row, w * w, minlength=rows))[row]
+            offsets = pa.array(np.r_[0, np.cumsum(np.bincount(row, minlength=rows))], pa.int32())
+            lists = [pa.ListArray.from_arrays(offsets, x) for x in (pa.array(at, pa.int32()), pa.array(w, pa.float64()))]
+            yield pa.RecordBatch.from_arrays([batch.column("seq"), *lists], names=["seq", "idx", "val"])
+
+    return run
+
+
 def tfidf_vectors(
     ws: Workspace, df: DataFrame, text: str | Column, seq: str = "seq", max_features: int = MAX_FEATURES
 ) -> DataFrame:
     """Unit TF-IDF vectors with idf = ln((1 + rows) / (1 + df)) + 1.
 
-    The vocabulary is broadcast (at most ``max_features`` rows). The one large shuffle is keyed by the
-    unique ``seq``, after the words of a row were packed on the map side.
+    Only the counting of the vocabulary shuffles. Its at most ``max_features`` terms go to the tasks, which number and
+    weigh the words inside each row.
     """
     terms = row_terms(ws, df, text, seq)
-    vocab = ws.save(vocabulary(terms, max_features), "vocabulary")
-    rows = terms.agg(F.count("*").alias("rows")).scalar()
-    idf = F.log((rows + 1) / (F.col("df") + 1)) + 1
-    weights = ws.save(vocab.select("term", "idx", idf.alias("idf")), "idf")
-    entry = F.when(
-        F.col("idx").isNotNull(), F.struct(F.col("idx"), (F.col("n") * F.col("idf")).alias("w"))
-    )
-    packed = (
-        terms.select("seq", F.explode_outer("terms").alias("t"))
-        .select("seq", "t.term", "t.n")
-        .join(F.broadcast(weights), "term", "left")
-        .groupBy("seq")
-        .agg(F.sort_array(F.collect_list(entry)).alias("entries"))
-    )
-    idx, val = _unit(F.col("entries"))
-    return ws.save(packed.select("seq", idx.alias("idx"), val.alias("val")), "vectors")
+    vocab = vocabulary(terms, max_features).orderBy("idx").collect()  # at most max_features rows
+    rows = terms.count()
+    weigh = _weigh([v["term"] for v in vocab], [math.log((rows + 1) / (v["df"] + 1)) + 1 for v in vocab])
+    schema = f"seq {dict(terms.dtypes)['seq']}, idx array<int>, val array<double>"
+    return ws.save(terms.select("seq", "terms").mapInArrow(weigh, schema), "vectors")
 
 
 def tfidf_long(vectors: DataFrame) -> DataFrame:

@@ -45,6 +45,12 @@ def file_clusters(ws: Workspace, tickets: DataFrame, t: float = FILE_THRESHOLD,
     return cluster_tickets(ws, tickets, tx.combined_text(), t, vectors, width, guard=False)
 
 
+def board_clusters(ws: Workspace, tickets: DataFrame, t: float = TEXT_THRESHOLD, vectors: DataFrame | None = None,
+                   width: int | None = vx.MAX_FEATURES) -> DataFrame:
+    """Clusters of the board run: normalised text, no guard against equal vectors."""
+    return cluster_tickets(ws, tickets, tx.normalize_text(tx.combined_text()), t, vectors, width, guard=False)
+
+
 def daily_clusters(ws: Workspace, tickets: DataFrame, t: float = TEXT_THRESHOLD, vectors: DataFrame | None = None,
                    width: int | None = vx.MAX_FEATURES, strip_ticket_keys: bool = False) -> DataFrame:
     """Clusters of the daily run: normalised text, with the guard."""
@@ -77,13 +83,25 @@ def cluster_context(ranks: DataFrame, clustered: DataFrame) -> DataFrame:
     return ag.head_text(texts, "cluster_id", "combined", "context")
 
 
-def told_in_parts(texts: DataFrame, keys: list[str], prompt, model: BatchFunction, alias: str) -> DataFrame:
-    """What the model says of each group's whole text (keys, part, combined): its replies to the parts, joined in order."""
-    asked = reply_column(texts, prompt(F.col("combined")), model, "told")
-    said = F.nullif(tx.stripped("told"), F.lit(""))
-    ordered = F.array_sort(F.collect_list(F.when(said.isNotNull(), F.struct("part", said.alias("s")))))
-    joined = F.array_join(F.transform(ordered, lambda e: e["s"]), "\n")
-    return asked.groupBy(*keys).agg(F.nullif(joined, F.lit("")).alias(alias))
+def told_of_all(ws: Workspace, texts: DataFrame, key: str, prompt, model: BatchFunction, alias: str, sep: str = "\n", part: int = ag.TEXT_PART) -> DataFrame:
+    """What the model says of each group's whole text (key, rank, combined): one reply a group, null if it has none.
+
+    Texts are told in parts of ``part`` in their order; the replies are texts again, told in parts in the next round, until one is left.
+    A group of at most ``part`` texts is asked once; the rule is the same for any number, and rounds grow with its logarithm.
+    """
+    done = None
+    while True:
+        parts = ag.list_parts(texts, key, "combined", sep=sep, size=part)
+        asked = reply_column(parts, prompt(F.col("combined")), model, "told")
+        said = ws.save(asked.select(key, "part", F.nullif(tx.stripped("told"), F.lit("")).alias("combined")), "told")
+        several = ws.save(said.groupBy(key).agg(F.max("part").alias("last")).where("last > 0").select(key), "several")
+        single = said.join(several, key, "left_anti").select(key, F.col("combined").alias(alias))
+        done = single if done is None else done.unionByName(single)
+        if several.isEmpty():
+            return done
+        texts = said.join(several, key, "left_semi").select(key, F.col("part").alias("rank"), "combined")
+        if part < 2:
+            raise ValueError("a part holds at least two texts")
 
 
 def notes(clustered: DataFrame) -> DataFrame:
@@ -104,8 +122,7 @@ def _summaries(ws: Workspace, clustered: DataFrame, ranks: DataFrame, model: Bat
         return base.select("cluster_id", F.col("note").alias("recurring_summary"), F.lit(None).cast("string").alias("reply"))
     if whole:
         texts = ranks.select("cluster_id", "seq", "rank").join(clustered.select("seq", "combined"), "seq")
-        texts = ag.list_parts(texts, "cluster_id", "combined", sep="\n", size=ag.TEXT_PART)
-        told = base.join(told_in_parts(texts, ["cluster_id"], pr.summary_prompt, model, "told"), "cluster_id", "left")
+        told = base.join(told_of_all(ws, texts, "cluster_id", pr.summary_prompt, model, "told"), "cluster_id", "left")
     else:
         asked = base.join(cluster_context(ranks, clustered), "cluster_id")
         told = reply_column(asked, pr.summary_prompt(F.col("context")), model, "told")
@@ -205,8 +222,7 @@ def short_patterns(ws: Workspace, clustered: DataFrame, model: BatchFunction | N
         texts = clustered.where(F.col("combined").isNotNull())
         texts = texts.select(F.coalesce("cluster_id", F.lit(-1)).cast("long").alias("k"), "seq", "combined")
         ranked = ws.save(rank_in_group(ws, texts, "k", ["seq"]), "ranked")
-        parts = ag.list_parts(ranked, "k", "combined", sep="\n\n", size=ag.TEXT_PART)
-        told = told_in_parts(parts, ["k"], pr.summary_prompt, model, "reply")
+        told = told_of_all(ws, ranked, "k", pr.summary_prompt, model, "reply", sep="\n\n")
         joined = joined.join(told, F.coalesce("cluster_id", F.lit(-1)) == F.col("k"), "left").drop("k")
     else:
         joined = joined.withColumn("reply", F.lit(None).cast("string"))

@@ -14,7 +14,7 @@ from ticketmill.operators import tracking as tr
 from ticketmill.operators import vectors as vx
 from ticketmill.operators.enrich import BatchFunction, label_tickets, reply_column
 from ticketmill.operators.ranking import first_rows, rank_in_group
-from ticketmill.plans.clusters import told_in_parts
+from ticketmill.plans.clusters import told_of_all
 from ticketmill.session import Workspace
 
 EXAMPLES = 5
@@ -104,8 +104,7 @@ def monthly_report(
         # all texts of a cluster, in parts: clusters of a month are one group for the ranks
         named = tickets.select(*key, F.concat_ws("/", "cluster_month", "cluster_id").alias("k"), "seq", "combined")
         ranked = ws.save(rank_in_group(ws, named.select("k", "seq", "combined"), "k", ["seq"]), "ranked")
-        texts = ag.list_parts(ranked, "k", "combined", sep="\n", size=ag.TEXT_PART)
-        told = told_in_parts(texts, ["k"], pr.summary_prompt, model, "told")
+        told = told_of_all(ws, ranked, "k", pr.summary_prompt, model, "told")
         replied = joined.withColumn("k", F.concat_ws("/", "cluster_month", "cluster_id")).join(told, "k", "left").drop("k")
     summary = F.coalesce(F.nullif(tx.stripped("told"), F.lit("")), F.col("note"))
     cruxed = reply_column(replied.withColumn("recurring_summary", summary), pr.crux_prompt(F.col("recurring_summary")), model, "reply")

@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ticketmill.functions import dates as dt
+from ticketmill.functions import text as tx
 from ticketmill.operators import tracking as tr
-from ticketmill.operators.enrich import BatchFunction
+from ticketmill.operators.enrich import BatchFunction, label_tickets, model_vectors
 from ticketmill.plans import clusters as cl
 from ticketmill.plans import marts as ma
 from ticketmill.plans import monthly as mo
-from ticketmill.session import Workspace
+from ticketmill.session import Workspace, stored
 from ticketmill.sources import issues as src
 from ticketmill.sources import sinks
 
@@ -33,15 +36,60 @@ def run_files(ws: Workspace, issues_csv: str, out: str, model: BatchFunction | N
     return paths
 
 
+class Models(NamedTuple):
+    """A user's batch functions: replies to prompts (frames with ``prompt``) and vectors of texts (frames with ``text``)."""
+
+    labels: BatchFunction | None = None
+    texts: BatchFunction | None = None
+    vectors: BatchFunction | None = None
+    vector_size: int = 0
+    memo: str | None = None  # a folder for vectors that were asked for already
+
+
+DEFAULTS = {"feature": "Unknown", "error_type": "Unknown", "status": "Unknown", "created": "", "updated": "", "completion_date": ""}
+
+
+def _prepared(ws: Workspace, tickets: DataFrame) -> DataFrame:
+    """Tickets with all columns of a report, numbered from the newest; dates of completion fall back to the last update."""
+    tickets = src.with_defaults(tickets, DEFAULTS)
+    completed = src.completion_or_updated("completion_date", "updated")
+    return ws.save(src.with_row_order(ws, tickets.withColumn("completion_date", completed)), "tickets")
+
+
+def _labelled(ws: Workspace, tickets: DataFrame, models: Models) -> DataFrame:
+    return tickets if models.labels is None else ws.save(label_tickets(tickets, models.labels), "labelled")
+
+
+def _vectors(ws: Workspace, tickets: DataFrame, models: Models) -> tuple[DataFrame, int]:
+    text = tx.normalize_text(tx.combined_text())
+    return model_vectors(ws, tickets, text, models.vectors, models.vector_size, memo=models.memo)
+
+
 def run_daily(
-    ws: Workspace, tickets: DataFrame, as_of: Column, out: str, days: int = 1, model: BatchFunction | None = None
+    ws: Workspace, tickets: DataFrame, as_of: Column, out: str, days: int = 1, models: Models = Models(), export: str | None = None
 ) -> DataFrame:
-    """Recent tickets to the report table at ``out``, replaced as a whole."""
+    """Recent tickets, labelled and clustered, to the report table at ``out``, replaced as a whole; ``export`` gets every ticket with its cluster as CSV."""
+    tickets = src.with_defaults(tickets, DEFAULTS)
     recent = src.created_within(tickets.withColumn("_created", dt.utc_time("created")), as_of, days, "_created").drop("_created")
-    completed = src.completion_or_updated("completion_date", "updated")
-    ordered = ws.save(src.with_row_order(ws, recent.withColumn("completion_date", completed)), "tickets")
-    clustered = ws.save(cl.daily_clusters(ws, ordered), "clustered")
-    report = cl.daily_report(ws, clustered, model)
+    ordered = _labelled(ws, _prepared(ws, recent), models)
+    vectors, width = _vectors(ws, ordered, models)
+    clustered = ws.save(cl.daily_clusters(ws, ordered, vectors=vectors, width=width), "clustered")
+    if export is not None:
+        sinks.write_csv(src.keep_columns(clustered, CLUSTER_COLUMNS).orderBy("cluster_id", "id"), export)
+    report = cl.daily_report(ws, clustered, models.texts)
+    sinks.replace_table(report, out, order=["cluster_id", "part"])
+    return ws.spark.read.schema(report.schema).parquet(out)
+
+
+def run_board(ws: Workspace, tickets: DataFrame, out: str, models: Models = Models(), cap: int | None = None) -> DataFrame:
+    """A board's tickets, at most the ``cap`` newest, to its report at ``out``: no guard, and the model sees whole clusters."""
+    ordered = _prepared(ws, tickets)
+    if cap is not None:
+        ordered = ordered.where(F.col("seq") < cap)
+    ordered = _labelled(ws, ordered, models)
+    vectors, width = _vectors(ws, ordered, models)
+    clustered = ws.save(cl.board_clusters(ws, ordered, vectors=vectors, width=width), "clustered")
+    report = cl.board_report(ws, clustered, models.texts)
     sinks.replace_table(report, out, order=["cluster_id", "part"])
     return ws.spark.read.schema(report.schema).parquet(out)
 
@@ -57,11 +105,11 @@ def run_monthly(
     report = mo.monthly_report(ws, mo.monthly_clusters(ws, wanted), labels, model)
     names = [r["cluster_month"] for r in mo.month_counts(wanted, as_of, months).collect()]  # one row per month
     columns = [c for c in report.columns if c != sinks.MONTH_COLUMN] + [sinks.MONTH_COLUMN]
-    report = ws.save(report.select(columns), "report")
+    report = ws.save(report.select(columns), "report").repartition(sinks.MONTH_COLUMN).sortWithinPartitions(sinks.MONTH_COLUMN, "cluster_id")
     sinks.replace_months(report, out, names)
-    stored = sinks.read_months(ws.spark, out, report.schema)
-    snapshot = stored.withColumnRenamed("recurring_summary", "root_cause").withColumn("completion_date", F.col("create_date").cast("date"))
-    return stored, ma.report_summary(snapshot, as_of.cast("date"))
+    months_held = sinks.read_months(ws.spark, out, report.schema)
+    snapshot = months_held.withColumnRenamed("recurring_summary", "root_cause").withColumn("completion_date", F.col("create_date").cast("date"))
+    return months_held, ma.report_summary(snapshot, as_of.cast("date"))
 
 
 def run_tracks(ws: Workspace, clustered: DataFrame, vectors: DataFrame, out: str, width: int, match: float = tr.MATCH) -> DataFrame:
@@ -79,9 +127,9 @@ def run_tracks(ws: Workspace, clustered: DataFrame, vectors: DataFrame, out: str
          T.StructField(sinks.MONTH_COLUMN, T.StringType())]
     )
     known = None
-    if sinks.has_months(ws.spark, out):
-        stored = sinks.read_months(ws.spark, out, schema)
-        before = stored.join(F.broadcast(months.agg(F.min("period").alias("start"))), F.col("period") < F.col("start")).drop("start")
+    if stored(ws.spark, out):
+        earlier = sinks.read_months(ws.spark, out, schema)
+        before = earlier.join(F.broadcast(months.agg(F.min("period").alias("start"))), F.col("period") < F.col("start")).drop("start")
         last = before.agg(F.max("period").alias("last"))
         known = ws.save(before.join(F.broadcast(last), F.col("period") == F.col("last")).drop("last"), "known")
     tracks = tr.track_groups(ws, centroids, width, match, known).drop("n")

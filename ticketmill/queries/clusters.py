@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import functions as F
 
 from ticketmill.functions import prompts as pr
@@ -505,16 +506,61 @@ def file_run(spark, folder):
     return patterns.select(F.col("cluster_id").cast("long"), F.col("ticket_count").cast("long"), "tickets", "pattern_summary")
 
 
-RECENT = ISSUES.replace("issues AS (", "everything AS (", 1) + """,
-issues AS (SELECT * FROM everything WHERE created >= TIMESTAMP '2024-02-01' - to_days(15))"""
+def _stand_in(frame: pd.DataFrame) -> pd.DataFrame:
+    """A model whose replies follow from the length of what it is asked."""
+    asked = frame["prompt"].str.len()
+    label = '{{"feature": "F{}", "error_type": "E{}"}}'.format
+    is_label = frame["prompt"].str.startswith(pr.LABEL_PROMPT)
+    return pd.DataFrame({"reply": [label(n % 3, n % 2) if x else f"Gist {n}" for n, x in zip(asked, is_label)]})
 
 
-@query("daily_run", f"WITH {RECENT}, {tfidf_sql(norm_sql(COMBINED))} SELECT count(DISTINCT seq) AS tickets FROM v")
+MODELS = runs.Models(labels=_stand_in, texts=_stand_in)
+LABEL_CHARACTERS = f"({len(pr.LABEL_PROMPT) + len(chr(10) * 2 + 'Text:' + chr(10))} + length(left({COMBINED}, {pr.LABEL_TEXT_LENGTH})))"
+
+
+def run_sql(only: str, context: str) -> str:
+    """CTEs of a run with the stand-in model to its reports' parts; ``context`` is what the model sees of a cluster."""
+    every = ISSUES.replace("issues AS (", "everything AS (", 1)
+    return f"""WITH RECURSIVE {every},
+issues AS MATERIALIZED (SELECT * REPLACE (row_number() OVER (ORDER BY created DESC, id) - 1 AS seq, coalesce(completion_date, updated) AS completion_date)
+  FROM everything WHERE {only}),
+{tfidf_sql(norm_sql(COMBINED))}, {SPARSE_PAIRS.format(t=cl.TEXT_THRESHOLD)}, {leaders_sql('issues')},
+clustered AS MATERIALIZED (SELECT i.* REPLACE ('F' || ({LABEL_CHARACTERS} % 3) AS feature, 'E' || ({LABEL_CHARACTERS} % 2) AS error_type), {COMBINED} AS combined, cluster_id
+  FROM issues i JOIN ids USING (seq)),
+{mode_sql('clustered', 'cluster_id', 'feature', 'mf')}, {mode_sql('clustered', 'cluster_id', 'error_type', 'me')}, {mode_sql('clustered', 'cluster_id', 'status', 'ms')},
+{parts_sql(ag.LIST_PART, 'example_ids')},
+told AS (SELECT cluster_id, 'Gist ' || ({len(pr.SUMMARY_PROMPT)} + length({context})) AS recurring_summary, count(*) AS total_tickets, {day('min(completion_date)')} AS create_date
+  FROM clustered WHERE cluster_id IS NOT NULL GROUP BY cluster_id),
+report AS (SELECT cluster_id, recurring_summary, 'Gist ' || ({len(pr.CRUX_PROMPT)} + length(recurring_summary)) AS crux, feature, error_type, total_tickets, example_ids, status, create_date, part
+  FROM told JOIN il USING (cluster_id) JOIN mf USING (cluster_id) JOIN me USING (cluster_id) JOIN ms USING (cluster_id))"""
+
+
+ALL_TEXT = "string_agg(combined, chr(10) ORDER BY seq)"
+RECENT = "created >= TIMESTAMP '2024-02-01' - to_days(15)"
+
+
+@query("daily_run", run_sql(RECENT, f"left({ALL_TEXT}, {pr.CLUSTER_TEXT_LENGTH})") + " SELECT * REPLACE (lower(crux) AS crux) FROM report")
 def daily_run(spark, folder):
-    """Recent tickets to the stored report; every ticket with a usable word is in exactly one row of it."""
+    """Recent tickets, labelled and told by a stand-in model, to the stored report: all its columns."""
+    ws = Workspace(spark)
+    return runs.run_daily(ws, issues(spark, folder), F.lit("2024-02-01").cast("timestamp"), ws.path("report"), days=15, models=MODELS)
+
+
+@query("board_run", run_sql("true", ALL_TEXT) + " SELECT * EXCLUDE (create_date) FROM report")
+def board_run(spark, folder):
+    """All tickets of a board to its report; the model sees whole clusters."""
+    ws = Workspace(spark)
+    return runs.run_board(ws, issues(spark, folder), ws.path("report"), MODELS)
+
+
+@query("exported_tickets", run_sql(RECENT, "''") + " SELECT coalesce(cluster_id, -1) AS cluster_id, id, summary, feature, error_type FROM clustered")
+def exported_tickets(spark, folder):
+    """The ticket-level CSV of the daily run, read back."""
     ws = Workspace(spark)
-    report = runs.run_daily(ws, issues(spark, folder), F.lit("2024-02-01").cast("timestamp"), ws.path("report"), days=15)
-    return report.where("part = 0").agg(F.sum("total_tickets").alias("tickets"))
+    path = ws.path("tickets-csv")
+    runs.run_daily(ws, issues(spark, folder), F.lit("2024-02-01").cast("timestamp"), ws.path("report"), days=15, models=MODELS, export=path)
+    rows = src.read_csv(spark, path, required=("cluster_id", "id", "combined"))
+    return rows.select(F.coalesce(F.col("cluster_id").cast("long"), F.lit(-1)).alias("cluster_id"), "id", F.coalesce("summary", F.lit("")).alias("summary"), "feature", "error_type")
 
 
 def _first_listed(field: str) -> str:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
@@ -42,6 +43,17 @@ def checkpoint_root(spark: SparkSession) -> str:
     return _local_roots[context.applicationId]
 
 
+def stored(spark: SparkSession, path: str) -> bool:
+    """Whether a parquet table is stored at ``path``."""
+    try:
+        spark.read.parquet(path)
+    except AnalysisException as missing:
+        if missing.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return False
+        raise
+    return True
+
+
 class Workspace:
     """Writes intermediate results as parquet tables in the shared folder and reads them back.
 
