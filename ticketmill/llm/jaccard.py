@@ -241,36 +241,54 @@ def _open(num: int, den: int):
     return run
 
 
+SKETCH = "gid long, least long, sketch binary, members array<struct<n: long, sketch: binary>>"
+
+
+def _sketch(tokens: np.ndarray) -> bytes:
+    """How many tokens fall into each of about as many buckets, by their leading bits; 255 stands for more too."""
+    log = max(4, (len(tokens) - 1).bit_length())
+    count = np.bincount((tokens.view(np.uint64) >> np.uint64(64 - log)).astype(np.int64), minlength=1 << log)
+    return np.minimum(count, 255).astype(np.uint8).tobytes()
+
+
 def _sketches(batches):
-    """Groups (gid, members) to (gid, least, sketch): the size of the smallest member, and how many tokens of the union fall into each of about as many buckets."""
+    """Groups (gid, members) to the size of the smallest member, the sketch of the union, and size and sketch of each member of several."""
     for batch in batches:
-        least, sketches = [], []
+        least, sketches, members = [], [], []
         for row in range(batch.num_rows):
             _, sets = _members(batch.column("members")[row])
-            union = np.unique(np.concatenate(sets)).view(np.uint64)
-            log = max(4, (len(union) - 1).bit_length())
-            count = np.bincount((union >> np.uint64(64 - log)).astype(np.int64), minlength=1 << log)
             least.append(min([len(x) for x in sets]))
-            sketches.append(np.minimum(count, 255).astype(np.uint8).tobytes())
-        yield pa.RecordBatch.from_pydict({"gid": batch.column("gid"), "least": pa.array(least, pa.int64()), "sketch": pa.array(sketches, pa.binary())})
+            sketches.append(_sketch(np.unique(np.concatenate(sets))))
+            members.append([{"n": len(x), "sketch": _sketch(x)} for x in sets] if len(sets) > 1 else [])
+        kind = pa.list_(pa.struct([("n", pa.int64()), ("sketch", pa.binary())]))
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("gid"), pa.array(least, pa.int64()), pa.array(sketches, pa.binary()), pa.array(members, kind)], names=["gid", "least", "sketch", "members"]
+        )
 
 
 def _most_shared(a: bytes, b: bytes) -> int:
-    """No two members share more tokens than this."""
+    """Sets with these sketches share at most so many tokens."""
     x, y = (np.frombuffer(s, np.uint8).astype(np.int64) for s in (a, b))
-    x, y = (np.where(s == 255, 1 << 40, s) for s in (x, y))  # 255 or more
+    x, y = (np.where(s == 255, 1 << 40, s) for s in (x, y))
     size = min(len(x), len(y))
     x, y = (s.reshape(size, -1).sum(axis=1) for s in (x, y))  # neighbouring buckets are those of fewer leading bits
     return int(np.minimum(x, y).sum())
 
 
 def _may_link(num: int, den: int):
-    """Pairs of groups whose sketches leave room for a link."""
+    """Pairs of groups whose sketches leave room for a link: between the unions, and of a member of each with the other's union."""
+
+    def fits(members, union) -> bool:
+        return not members or any([_most_shared(m["sketch"], union) * den >= m["n"] * num for m in members])
 
     def run(batches):
+        names = ("a_least", "b_least", "a_sketch", "b_sketch", "a_members", "b_members")
         for batch in batches:
-            columns = [batch.column(c).to_pylist() for c in ("a_least", "b_least", "a_sketch", "b_sketch")]
-            yield batch.select(["a", "b"]).filter(pa.array([_most_shared(x, y) * (num + den) >= (la + lb) * num for la, lb, x, y in zip(*columns)], pa.bool_()))
+            keep = [
+                _most_shared(x, y) * (num + den) >= (la + lb) * num and fits(mx, y) and fits(my, x)
+                for la, lb, x, y, mx, my in zip(*[batch.column(c).to_pylist() for c in names])
+            ]
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return run
 
@@ -482,8 +500,8 @@ def linked_groups(
     wanted = units.join(called, "gid").select("doc_id", F.col("comp").alias("label"), "gid")
     sets = _fetch(docs, wanted, k).groupBy("gid").agg(F.collect_list(F.struct("label", "tokens")).alias("members"))
     sets = ws.save(sets, "opened")
-    sketches = ws.save(sets.mapInArrow(_sketches, "gid long, least long, sketch binary"), "sketches")
-    side = lambda x: sketches.select(F.col("gid").alias(x), F.col("least").alias(f"{x}_least"), F.col("sketch").alias(f"{x}_sketch"))
+    sketches = ws.save(sets.mapInArrow(_sketches, SKETCH), "sketches")
+    side = lambda x: sketches.select(F.col("gid").alias(x), F.col("least").alias(f"{x}_least"), F.col("sketch").alias(f"{x}_sketch"), F.col("members").alias(f"{x}_members"))
     pairs = ws.save(pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(_may_link(num, den), "a long, b long"), "likely")
     other = sets.select(F.col("gid").alias("b"), F.col("members").alias("others"))
     met = pairs.join(sets.withColumnRenamed("gid", "a"), "a").join(other, "b").select("members", "others")
