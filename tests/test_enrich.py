@@ -104,7 +104,7 @@ def test_a_part_without_reply_is_left_out(spark, ws):
     texts = spark.createDataFrame(rows, "k long, rank long, combined string")
     model = lambda f: pd.DataFrame({"reply": [None if "lost" in p else f"({p})" for p in f["prompt"]]})
     (row,) = cl.told_of_all(ws, texts, "k", lambda c: c, model, "told", sep="+", part=2).collect()
-    assert row.told == "((c+d)+(e))"  # the first part of two held the lost one
+    assert row.told == "(((c+d))+((e)))"  # its place in the next round stays empty
 
 
 def test_terms_are_weighed_inside_the_row(spark, ws):
