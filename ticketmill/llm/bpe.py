@@ -33,10 +33,12 @@ from pyspark.sql import functions as F
 
 from ticketmill.llm.hashing import give_back, pieces
 
-# words kept by a task, of at most so many characters, and pairs of tokens kept; freed when the task ends
-CACHE = 200_000
+# words kept, of at most so many characters, and pairs of tokens kept
+CACHE = 600_000
 CACHED_LENGTH = 48
-STOOD = 200_000
+STOOD = 600_000
+# words a task keeps that frees its coder at the end, as other work follows in the same workers
+TASK_CACHE = 200_000
 ENDLESS = 1 << 60
 
 
@@ -250,7 +252,8 @@ class Coder:
 
     SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+"
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, cache: int = CACHE):
+        self.cached = cache
         held = json.loads(Path(path).read_text(encoding="utf-8"))
         model = held["model"]
         self.merges = Merges(model["vocab"], [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in model["merges"]], model["end_of_word_suffix"] or "")
@@ -293,7 +296,7 @@ class Coder:
         ids = [self.merges.ids[t] for t in tokens]
         got = len(ids), b" ".join([b"%d" % i for i in ids]), decode(self, ids, library=True).encode()
         if len(word) <= CACHED_LENGTH:
-            if len(self.cache) >= CACHE:
+            if len(self.cache) >= self.cached:
                 self.cache.clear()
             self.cache[word] = got
         return got
@@ -364,7 +367,7 @@ def encode_texts(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
     """Rows of the id, n_tokens (long) and ids (array of int)."""
 
     def run(batches):
-        coder = Coder(path)  # built in half a second, and gone with the task
+        coder = Coder(path, TASK_CACHE)  # built in half a second, and gone with the task
         try:
             for batch in pieces(batches):
                 coded = [coder.coded(t.as_py() or "") for t in batch.column("text")]
@@ -383,22 +386,20 @@ def digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
     """Encode and decode: rows of the id, n_tokens (long), ids_sha256 and decoded_sha256.
 
     The first hash is of the decimal ids joined by one space, the second of the decoded text as the library gives it.
+    The coder and the words it met, up to the bounds above, stay with the worker for its next tasks.
     A run between white space is decoded once per worker; the runs' texts are then joined as the machine does it.
     """
 
     def run(batches):
-        coder = Coder(path)  # built in half a second, and gone with the task
-        try:
-            for batch in pieces(batches):
-                n, a, b = [], [], []
-                for t in batch.column("text"):
-                    count, ids, names = coder.coded(t.as_py() or "")
-                    n.append(count)
-                    a.append(hashlib.sha256(ids).hexdigest())
-                    b.append(hashlib.sha256(names).hexdigest())
-                yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(n, pa.int64()), pa.array(a), pa.array(b)], names=[id_col, "n_tokens", "ids_sha256", "decoded_sha256"])
-        finally:
-            coder.free()
+        coder = worker_state(f"bpe {path}", lambda: Coder(path))
+        for batch in pieces(batches):
+            n, a, b = [], [], []
+            for t in batch.column("text"):
+                count, ids, names = coder.coded(t.as_py() or "")
+                n.append(count)
+                a.append(hashlib.sha256(ids).hexdigest())
+                b.append(hashlib.sha256(names).hexdigest())
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(n, pa.int64()), pa.array(a), pa.array(b)], names=[id_col, "n_tokens", "ids_sha256", "decoded_sha256"])
 
     picked = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     schema = f"`{id_col}` {dict(picked.dtypes)['id']}, n_tokens long, ids_sha256 string, decoded_sha256 string"
