@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from ticketmill.functions import dates as dt
 from ticketmill.functions.prompts import CLUSTER_TEXT_LENGTH
+from ticketmill.operators.ranking import rank_in_group
+from ticketmill.session import Workspace
 
 UNKNOWN = "Unknown"
 # ids or texts per part of a cluster's list
@@ -74,6 +76,20 @@ def distinct_sorted(df: DataFrame, group: list[str], field: str, sep: str = ", "
     return distinct.groupBy(*group).agg(F.array_join(F.array_sort(F.collect_list(field)), sep).alias(field))
 
 
+def distinct_parts(
+    ws: Workspace, df: DataFrame, group: str, field: str, sep: str = ", ", size: int = LIST_PART
+) -> DataFrame:
+    """Distinct values in order, joined, without blanks and "nan", in parts of ``size`` values: (group, part, field).
+
+    For value sets of any size: values are made distinct and ranked by sorted ranges, and no row or task holds more
+    than a part. The parts, joined by ``sep``, are what ``distinct_sorted`` gives. Groups without a value have no row.
+    """
+    value = F.col(field).cast("string")
+    distinct = df.select(group, value.alias(field)).where((F.col(field) != "") & (F.col(field) != "nan")).distinct()
+    ranked = ws.save(rank_in_group(ws, ws.save(distinct, "distinct"), group, [field]), "ranked")
+    return list_parts(ranked, group, field, sep=sep, size=size)
+
+
 def _in_order(value: str, rank: str, sep: str) -> Column:
     ordered = F.array_sort(F.collect_list(F.struct(F.col(rank), F.col(value).alias("v"))))
     return F.array_join(F.transform(ordered, lambda e: e["v"]), sep)

@@ -126,6 +126,19 @@ def error_mix_wide(snapshot: DataFrame, error_types: list[str]) -> DataFrame:
     return wide.fillna(0)
 
 
+def error_mix_map(snapshot: DataFrame) -> DataFrame:
+    """Feature by error type without a list of types: (feature, clusters, error_types, counts), both arrays in order of the types.
+
+    Whatever types there are appear; a missing type is the empty text. Counts are summed before they meet, so a row is as
+    long as the feature has types.
+    """
+    pairs = snapshot.groupBy("feature", F.coalesce("error_type", F.lit("")).alias("error_type")).agg(F.count("*").alias("n"))
+    mix = pairs.groupBy("feature").agg(F.sum("n").alias("clusters"), F.array_sort(F.collect_list(F.struct("error_type", "n"))).alias("mix"))
+    return mix.select(
+        "feature", "clusters", F.transform("mix", lambda e: e["error_type"]).alias("error_types"), F.transform("mix", lambda e: e["n"]).alias("counts")
+    )
+
+
 def error_insights(snapshot: DataFrame, order: Column | str, position: str = "pos") -> DataFrame:
     """Per error type: clusters, share of all, top features, first root cause."""
     base = snapshot.groupBy("error_type").agg(

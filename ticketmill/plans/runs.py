@@ -13,6 +13,7 @@ from ticketmill.functions import text as tx
 from ticketmill.operators import tracking as tr
 from ticketmill.operators.enrich import BatchFunction, label_tickets, model_vectors
 from ticketmill.plans import clusters as cl
+from ticketmill.plans import firsts as fi
 from ticketmill.plans import marts as ma
 from ticketmill.plans import monthly as mo
 from ticketmill.session import Workspace, stored
@@ -136,3 +137,28 @@ def run_tracks(ws: Workspace, clustered: DataFrame, vectors: DataFrame, out: str
     rows = centroids.join(tracks, ["period", "group"]).withColumn(sinks.MONTH_COLUMN, dt.month_tag("period"))
     sinks.replace_months(ws.save(rows.select(schema.names), "tracks"), out, names)
     return sinks.read_months(ws.spark, out, schema)
+
+
+def run_dashboards(ws: Workspace, snapshot: DataFrame, out: str, since: Column | None = None) -> dict[str, DataFrame]:
+    """The dashboard tables over stored months, each replaced below ``out`` and sorted by its key; returns them as read back.
+
+    ``snapshot`` holds all stored months. New causes come from first months that are stored below ``out`` too: with ``since``, only rows of
+    that month and later are compared with them, as a monthly run needs; without, all months are. Months are
+    listed even if nothing in them is new.
+    """
+    placed = ws.save(snapshot.withColumn("pos", F.struct("month_start", "cluster_id")), "snapshot")
+    recent = placed if since is None else placed.where(F.col("month_start") >= since)
+    firsts = fi.update_first_months(ws, recent, f"{out}/first_causes", "root_cause")
+    fresh = fi.fresh_values(firsts, placed).withColumnRenamed("new_values", "new_root_causes")
+    tables = {
+        "month_health": (ma.month_health(placed).drop("new_root_causes").join(fresh, "month_start"), ["month_start"]),
+        "month_trend": (ma.month_trend(placed), ["month_start"]),
+        "error_types_by_month": (ma.error_types_by_month(placed), ["error_type", "month_start"]),
+        "feature_insights": (ma.feature_insights(placed, "pos"), ["feature"]),
+        "error_mix": (ma.error_mix_map(placed), ["feature"]),
+        "error_insights": (ma.error_insights(placed, "pos"), ["error_type"]),
+        "recurrence_tracker": (ma.recurrence_tracker(placed), ["cluster_id"]),
+    }
+    for name, (rows, order) in tables.items():
+        sinks.replace_table(rows, f"{out}/{name}", order)
+    return {name: ws.spark.read.parquet(f"{out}/{name}") for name in tables}

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ticketmill.functions import prompts as pr
 from ticketmill.functions import text as tx
 from ticketmill.operators import aggregates as ag
+from ticketmill.operators import hyperplanes as hy
 from ticketmill.operators import keyphrases as kp
 from ticketmill.operators import leaders as ld
 from ticketmill.operators import linkage as lk
@@ -236,6 +237,17 @@ def dense_similar_pairs(spark, folder):
     return sm.cell_join(ws, rows, None, DENSE_THRESHOLD, DENSE_WIDTH).withColumn("sim", F.round("sim", 5))
 
 
+@query("approximate_similar_pairs", f"""WITH e AS (SELECT vec_id AS seq, CAST(embedding AS DOUBLE[]) AS x FROM embeddings),
+p AS (SELECT a.seq AS l, b.seq AS r FROM e a, e b WHERE a.seq % 10 = 0 AND a.seq <> b.seq AND list_cosine_similarity(a.x, b.x) >= {DENSE_THRESHOLD})
+SELECT count(DISTINCT (least(l, r), greatest(l, r))) AS pairs, TRUE AS enough FROM p""")
+def approximate_similar_pairs(spark, folder):
+    """Candidates by hyperplane signatures, held against the exact join for a tenth of the left rows: is recall at least 0.9?"""
+    ws = Workspace(spark)
+    rows = ws.save(_embeddings(ws, spark, folder).withColumnRenamed("seq", "pos"), "rows")
+    found = ws.save(hy.approximate_pairs(ws, rows, DENSE_THRESHOLD, DENSE_WIDTH), "found")
+    return hy.recall(ws, rows, found, DENSE_THRESHOLD, DENSE_WIDTH).select("pairs", (F.col("recall") >= 0.9).alias("enough"))
+
+
 @query("sparse_similar_pairs", f"""WITH {ISSUES}, {tfidf_sql(norm_sql(COMBINED))},
 f AS (SELECT min(seq) AS seq FROM (SELECT seq, list(term || ':' || round(w, 9) ORDER BY term) AS k FROM v GROUP BY seq) GROUP BY k)
 SELECT a.seq AS l, b.seq AS r, round(sum(a.w * b.w), 5) AS sim FROM v a JOIN v b USING (term)

@@ -5,9 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ticketmill.functions import dates as dt
+from ticketmill.operators import aggregates as ag
+from ticketmill.plans import firsts as fi
 from ticketmill.plans import marts as ma
+from ticketmill.plans import runs
 from ticketmill.queries.tables import query
 from ticketmill.queries.views import SNAPSHOT, day, month_text, snapshot
+from ticketmill.session import Workspace
 
 ERROR_TYPES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
 
@@ -160,3 +164,74 @@ def top_features_by_month(spark, folder):
 @query("common_error_type_by_month", f"WITH {SNAPSHOT}, {COMMON_ERROR} SELECT {day('month_start')} AS month_start, common_error_type FROM commone")
 def common_error_type_by_month(spark, folder):
     return _months_as_text(ma.common_error_type(snapshot(spark, folder)))
+
+
+def _last_years(ws, rows):
+    """The months in three runs one after the other: up to 1995, 1996, from 1997 on."""
+    year = F.year("month_start")
+    return [ws.save(rows.where(part), "months") for part in (year <= 1995, year == 1996, year >= 1997)]
+
+
+@query("first_months_by_run", f"""WITH {SNAPSHOT}, f AS (SELECT root_cause, min(month_start) AS first_month FROM snapshot GROUP BY root_cause)
+SELECT {day('s.month_start')} AS month_start, count(DISTINCT s.root_cause) FILTER (first_month = s.month_start) AS new_values,
+  count(*) FILTER (first_month < s.month_start) AS seen_rows FROM snapshot s JOIN f USING (root_cause) GROUP BY s.month_start""")
+def first_months_by_run(spark, folder):
+    """New causes and rows of known causes, told by three runs that each read their own months and the stored first months."""
+    ws = Workspace(spark)
+    path = ws.path("first_causes")
+    told = []
+    for rows in _last_years(ws, snapshot(spark, folder)):
+        firsts = fi.update_first_months(ws, rows, path, "root_cause")
+        flags = fi.flag_seen(rows, firsts, "root_cause").groupBy("month_start").agg(F.count_if("seen_before").alias("seen_rows"))
+        told.append(ws.save(fi.fresh_values(firsts, rows).join(flags, "month_start"), "told"))
+    return _months_as_text(told[0].unionByName(told[1]).unionByName(told[2]))
+
+
+@query("error_mix_map", f"""WITH {SNAPSHOT}, n AS (SELECT feature, error_type, count(*) AS n FROM snapshot GROUP BY feature, error_type)
+SELECT feature, CAST(sum(n) AS BIGINT) AS clusters, string_agg(error_type, '|' ORDER BY error_type) AS error_types,
+  string_agg(n::VARCHAR, '|' ORDER BY error_type) AS counts FROM n GROUP BY feature""")
+def error_mix_map(spark, folder):
+    mix = ma.error_mix_map(snapshot(spark, folder))
+    return mix.withColumns({"error_types": F.array_join("error_types", "|"), "counts": F.array_join(F.col("counts").cast("array<string>"), "|")})
+
+
+CAUSES_PART = 25
+
+
+@query("cause_parts", f"""WITH {SNAPSHOT}, d AS (SELECT DISTINCT feature, root_cause FROM snapshot),
+r AS (SELECT *, (row_number() OVER (PARTITION BY feature ORDER BY root_cause) - 1) // {CAUSES_PART} AS part FROM d)
+SELECT feature, part, string_agg(root_cause, ', ' ORDER BY root_cause) AS root_cause FROM r GROUP BY feature, part""")
+def cause_parts(spark, folder):
+    """All distinct causes of each feature, in parts of bounded size."""
+    return ag.distinct_parts(Workspace(spark), snapshot(spark, folder), "feature", "root_cause", size=CAUSES_PART)
+
+
+@query("stored_dashboards", f"""WITH {SNAPSHOT}, {NEW_CAUSES}, {TRACKER}
+SELECT 'month_health' AS dashboard, count(DISTINCT month_start) AS rows, CAST(sum(total_tickets) AS BIGINT) AS tickets, (SELECT CAST(sum(new_root_causes) AS BIGINT) FROM fresh) AS extra FROM snapshot
+UNION ALL SELECT 'month_trend', count(DISTINCT month_start), CAST(sum(total_tickets) AS BIGINT), count(*) FROM snapshot
+UNION ALL SELECT 'error_types_by_month', count(DISTINCT (error_type, month_start)), CAST(sum(total_tickets) AS BIGINT), count(*) FROM snapshot
+UNION ALL SELECT 'feature_insights', count(DISTINCT feature), CAST(sum(total_tickets) AS BIGINT), count(*) FROM snapshot
+UNION ALL SELECT 'recurrence_tracker', count(*), CAST(sum(ticket_count) AS BIGINT), CAST(sum(frequency) AS BIGINT) FROM tracker""")
+def stored_dashboards(spark, folder):
+    """The dashboards of two runs over stored months, the second with the months from 1997 on only compared with stored first months."""
+    ws = Workspace(spark)
+    rows = ws.save(snapshot(spark, folder), "months")
+    out = ws.path("dashboards")
+    start = F.lit("1997-01-01").cast("date")
+    runs.run_dashboards(ws, rows.where(F.col("month_start") < start), out)
+    tables = runs.run_dashboards(ws, rows, out, start)
+    sums = {
+        "month_health": ("total_tickets", "new_root_causes"),
+        "month_trend": ("tickets", "clusters"),
+        "error_types_by_month": ("tickets", "clusters"),
+        "feature_insights": ("tickets", "clusters"),
+        "recurrence_tracker": ("ticket_count", "frequency"),
+    }
+    told = [
+        tables[name].agg(F.lit(name).alias("dashboard"), F.count("*").alias("rows"), F.sum(tickets).alias("tickets"), F.sum(extra).alias("extra"))
+        for name, (tickets, extra) in sums.items()
+    ]
+    whole = told[0]
+    for part in told[1:]:
+        whole = whole.unionByName(part)
+    return whole
