@@ -162,10 +162,11 @@ def test_top_k_equals_brute_force(spark, ws, monkeypatch, pivots):
     r = np.random.default_rng(5)
     vectors = [(i, (r.normal(size=6) + 5 * (i % 3)).tolist()) for i in range(150)]
     vectors += [(200 + i, [1.0] * 6) for i in range(40)]  # one vector many times
-    odd = [(300, None), (301, [None] * 6), (302, [float("nan")] * 6), (303, [float("inf")] * 6), (None, [1.0] * 6), (304, [1.0] * 3)]
+    odd = [(300, None), (301, [None] * 6), (302, [float("nan")] * 6), (303, [float("inf")] * 6), (None, [1.0] * 6)]
+    vectors += [(304, [1.0] * 3), (310, [])]  # filled up with zeros
     df = spark.createDataFrame([(*v, 1) for v in vectors + odd], "vec_id long, embedding array<double>, score int")
     got = voronoi.top_k(ws, df, df.where("vec_id % 10 = 0"), k=10, pivots=pivots).collect()
-    whole = {i: np.floor(np.array(v) * 1024).astype(int) for i, v in vectors}
+    whole = {i: np.floor(np.array(v + [0.0] * (6 - len(v))) * 1024).astype(int) for i, v in vectors}
     want = []
     for q in whole:
         if q % 10 == 0:
@@ -181,6 +182,19 @@ def test_top_k_of_few_rows(spark, ws):
     assert voronoi.top_k(ws, df, df.limit(0)).count() == 0
 
 
+def test_queries_go_to_few_cells_of_clustered_vectors(spark, ws):
+    r = np.random.default_rng(6)
+    centres = 20 * r.normal(size=(12, 8))
+    rows = [(i, (centres[i % 12] + r.normal(size=8)).tolist()) for i in range(2400)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = voronoi.top_k(ws, df, df.where("vec_id % 20 = 0"), k=5, pivots=24).collect()
+    whole = np.floor(np.array([v for _, v in rows]) * 1024).astype(int)
+    for q in range(0, 2400, 400):
+        best = sorted((-int(s), i) for i, s in enumerate(whole @ whole[q]) if i != q)[:5]
+        assert [(x.vec_id, x.score) for x in sorted(got, key=lambda x: x["rank"]) if x.query_id == q] == [(i, -s) for s, i in best]
+    assert spark.read.parquet(f"{ws.base}/*-sent").count() < 120 * 24 / 2
+
+
 def test_minimum_cut_equals_all_labellings():
     r = random.Random(2)
     for _ in range(60):

@@ -1,21 +1,21 @@
 """Exact top-k by inner product as a Voronoi kNN join.
 
-Vectors become whole numbers. Data and queries go to the cell of their nearest pivot. Each data cell is summarised by its
-size, its radius and the numbers of vectors within a few distances of the pivot; each query cell by its radius and longest query.
-For a query q of cell i and a vector x of cell j with pivots p, inner products obey
+Vectors become whole numbers. Data and queries go to the cell of their nearest pivot p. A data cell j is summarised by its size, its
+radius r, its longest vector m and a few of its vectors (seeds). For a query q and a vector x of the cell
 
-    q.p_j - |q| r_j  <=  q.x  <=  q.p_j + |q| r_j
+    q.x  <=  q.p_j + |q| r_j      and      q.x  <=  |q| m_j,
 
-and q.p_j differs from p_i.p_j by at most s_i |p_j|, with s_i the radius of the query cell. So each query cell has a score
-that k vectors are certain to reach, and only the data cells (shells of them, by distance to the pivot) whose bound
-comes up to it are sent to it. Cells are cut into blocks of bounded size, a task solves one block for one block of
-queries and returns k rows per query at most, and the blocks' results are merged in two steps.
+while the k-th best of the seeds is a score that q is certain to reach. So q is sent only to the cells whose bound comes up
+to that score. Queries are what is copied, since they are few; the data are shuffled once, into (cell, block) of bounded
+size, and again only for every further ``QUERY_BLOCK`` queries that come to a cell. A task solves one block for one block of
+queries and returns k rows per query at most; the blocks' results are merged in two steps.
 
 Of equal vectors only the k + 1 with the smallest ids can be in a result (one may be the query itself); further copies
-stay behind before anything is replicated.
+stay behind before anything is sent.
 
-Vectors that are null, hold null or non-finite numbers, or differ in length from most others take no part. Ties go to the smaller
-id. Null ids take no part; rows that repeat an id are one row.
+Vectors that are null or hold null or non-finite numbers take no part. Shorter vectors count as filled up with zeros, empty ones as zeros
+throughout. Ties go to the smaller id. Null ids take no part; rows that repeat an id are one row, with the smallest of its vectors.
+No data or no queries give no rows.
 """
 
 from __future__ import annotations
@@ -29,10 +29,12 @@ from pyspark.sql.window import Window
 from ticketmill.session import Workspace
 
 PIVOTS = 64
-SHELLS = 4
-BLOCK = 4096
-QUERY_BLOCK = 1024
+SEEDS = 64
+BLOCK = 16_384
+QUERY_BLOCK = 16_384
 SALTS = 64
+# scores that a task holds at once
+SCORES = 1 << 21
 
 
 def whole(vectors: DataFrame, id_col: str, vector_col: str, scale: int) -> DataFrame:
@@ -70,6 +72,31 @@ def _homes(pivots: np.ndarray):
     return run
 
 
+def _visits(centres: np.ndarray, cells: list[tuple], seeds: np.ndarray, seed_ids: np.ndarray, k: int):
+    """Queries (id, v, norm) to one row per cell they have to be sent to; ``cells`` are (cell, radius, longest)."""
+    number, radius, longest = (np.array(c) for c in zip(*cells))
+    pivots = centres[number]
+
+    def run(batches):
+        for batch in batches:
+            q, ids = _matrix(batch.column("v")).astype(np.float64), batch.column("id").to_numpy()
+            if not len(ids):
+                continue
+            size = np.sqrt((q * q).sum(1))
+            reached = q @ seeds.T
+            reached[ids[:, None] == seed_ids[None, :]] = -np.inf
+            certain = np.partition(reached, len(seed_ids) - k, axis=1)[:, len(seed_ids) - k] if len(seed_ids) >= k else np.full(len(ids), -np.inf)
+            bound = np.minimum(q @ pivots.T + size[:, None] * radius, size[:, None] * longest)
+            slack = 1 + 1e-6 * size[:, None] * longest  # rounding of the bounds; scores are whole numbers
+            row, col = np.nonzero(bound + slack >= certain[:, None])
+            take = pa.array(row)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("id").take(take), batch.column("v").take(take), pa.array(number[col].astype(np.int32))], names=["id", "v", "cell"]
+            )
+
+    return run
+
+
 def _solve(k: int):
     """A block of queries against a block of data: at most k rows per query."""
 
@@ -82,22 +109,28 @@ def _solve(k: int):
         q, x = (_matrix(t["v"].combine_chunks()) for t in (left, right))
         x = x[order]
         most = float(np.abs(q).max(initial=0)) * float(np.abs(x).max(initial=0)) * q.shape[1]
-        scores = np.rint(q.astype(np.float64) @ x.T.astype(np.float64)).astype(np.int64) if most < 2**52 else q @ x.T  # exact either way
-        own = queries[:, None] == ids[None, :]
-        scores = np.where(own, np.iinfo(np.int64).min, scores)
+        fits = most < 2**52  # products in doubles are exact then
+        if fits:
+            q, x = q.astype(np.float64), x.astype(np.float64)
         out_q, out_v, out_s = [], [], []
-        for i in range(len(queries)):
-            row = scores[i]
-            if len(row) > k:
-                least = np.partition(row, len(row) - k)[len(row) - k]
-                above = np.flatnonzero(row > least)
-                pick = np.r_[above, np.flatnonzero(row == least)[: k - len(above)]]
-            else:
-                pick = np.arange(len(row))
-            pick = pick[~own[i][pick]]
-            out_q.append(np.full(len(pick), queries[i]))
-            out_v.append(ids[pick])
-            out_s.append(row[pick])
+        step = max(1, SCORES // len(ids))
+        for start in range(0, len(queries), step):
+            scores = q[start : start + step] @ x.T
+            if fits:
+                scores = np.rint(scores).astype(np.int64)
+            own = queries[start : start + step, None] == ids[None, :]
+            scores[own] = np.iinfo(np.int64).min
+            for i, row in enumerate(scores):
+                if len(row) > k:
+                    least = np.partition(row, len(row) - k)[len(row) - k]
+                    above = np.flatnonzero(row > least)
+                    pick = np.r_[above, np.flatnonzero(row == least)[: k - len(above)]]
+                else:
+                    pick = np.arange(len(row))
+                pick = pick[~own[i][pick]]
+                out_q.append(np.full(len(pick), queries[start + i]))
+                out_v.append(ids[pick])
+                out_s.append(row[pick])
         return pa.table({"query_id": np.concatenate(out_q), "vec_id": np.concatenate(out_v), "score": np.concatenate(out_s)})
 
     return run
@@ -122,61 +155,45 @@ def top_k(
     spark = ws.spark
     data = whole(vectors, id_col, vector_col, scale).groupBy("id").agg(F.min("v").alias("v"))
     asked = whole(queries, id_col, vector_col, scale).groupBy("id").agg(F.min("v").alias("v"))
-    sizes = data.groupBy(F.size("v").alias("n")).agg(F.count("*").alias("rows")).orderBy(F.desc("rows"), "n").limit(1).collect()
-    if not sizes or sizes[0]["n"] == 0:
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
-    width = sizes[0]["n"]
+    width = max(df.agg(F.max(F.size("v"))).head()[0] or 0 for df in (data, asked)) or 1
+    filled = F.concat("v", F.array_repeat(F.lit(0).cast("long"), F.lit(width) - F.size("v"))).alias("v")
+    data, asked = data.select("id", filled), asked.select("id", filled)
     # copies beyond the k + 1 smallest ids, first within salts, so that no group of copies meets in one task
-    alike = data.where(F.size("v") == width).withColumn("h", F.xxhash64("v")).withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)))
+    alike = data.withColumn("h", F.xxhash64("v")).withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)))
     for keys in (("h", "v", "salt"), ("h", "v")):
         order = Window.partitionBy(*keys).orderBy("id")
         alike = alike.withColumn("copy", F.row_number().over(order)).where(F.col("copy") <= k + 1).drop("copy")
     data = ws.save(alike.select("id", "v"), "vectors")
-    asked = asked.where(F.size("v") == width)
-
     chosen = data.orderBy(F.xxhash64("id"), "id").limit(pivots).select("v").toArrow()["v"].combine_chunks()  # at most ``pivots`` rows
+    if not len(chosen):
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
     centres = _matrix(chosen).astype(np.float64)
     schema = "id long, v array<long>, cell int, gap double, norm double"
     homes = ws.save(data.mapInArrow(_homes(centres), schema), "homes")
-    asked = ws.save(asked.mapInArrow(_homes(centres), schema), "queries")
 
-    # summaries: shells of each data cell by quarter of its radius; at most pivots * SHELLS rows
-    radius = homes.groupBy("cell").agg(F.max("gap").alias("radius"))
-    shelled = homes.join(F.broadcast(radius), "cell").withColumn(
-        "shell", F.least(F.floor(F.col("gap") * SHELLS / F.greatest("radius", F.lit(1e-9))), F.lit(SHELLS - 1)).cast("int")
-    )
-    shells = shelled.groupBy("cell", "shell").agg(F.count("*").alias("n"), F.max("gap").alias("r")).collect()
-    groups = asked.groupBy("cell").agg(F.max("gap").alias("r"), F.max("norm").alias("norm")).collect()  # at most ``pivots`` rows
-    inner = centres @ centres.T
-    lengths = np.sqrt(np.diag(inner))
-    plan = []
-    for g in groups:
-        middle = [inner[g["cell"], s["cell"]] for s in shells]
-        slack = [g["r"] * lengths[s["cell"]] + g["norm"] * s["r"] for s in shells]
-        certain, have = -np.inf, 0
-        for low, n in sorted(((m - e, s["n"]) for m, e, s in zip(middle, slack, shells)), reverse=True):
-            have += n
-            if have >= k + 1:  # one of them may be the query itself
-                certain = low
-                break
-        for m, e, s in zip(middle, slack, shells):
-            if m + e + 1 + 1e-6 * abs(m) >= certain:
-                plan.append((g["cell"], s["cell"], s["shell"], -(-s["n"] // BLOCK)))
-    sent = spark.createDataFrame(plan or [], "qcell int, cell int, shell int, blocks long")  # at most pivots^2 * SHELLS rows
-    sent = F.broadcast(sent)
-    per_cell = F.broadcast(asked.groupBy("cell").agg(F.ceil(F.count("*") / QUERY_BLOCK).alias("qblocks")))
-
-    left = (
-        asked.join(per_cell, "cell").withColumn("qblock", F.pmod(F.xxhash64("id"), F.col("qblocks"))).withColumnRenamed("cell", "qcell")
-        .join(sent, "qcell").withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    )
-    right = (
-        shelled.join(sent, ["cell", "shell"]).withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")))
-        .join(per_cell.withColumnRenamed("cell", "qcell"), "qcell")
-        .withColumn("qblock", F.explode(F.sequence(F.lit(0).cast("long"), F.col("qblocks") - 1)))
+    # summaries: a row per cell, and at most pivots * SEEDS vectors
+    cells = homes.groupBy("cell").agg(F.max("gap").alias("radius"), F.max("norm").alias("longest"), F.count("*").alias("n"))
+    cells = ws.save(cells.withColumn("blocks", F.ceil(F.col("n") / BLOCK)), "cells")
+    by_hash = Window.partitionBy("cell").orderBy(F.xxhash64("id"), "id")
+    salted = Window.partitionBy("cell", "salt").orderBy(F.xxhash64("id"), "id")
+    few = homes.select("cell", "id", F.pmod(F.hash("id"), F.lit(SALTS)).alias("salt")).withColumn("n", F.row_number().over(salted)).where(F.col("n") <= SEEDS)
+    few = few.withColumn("n", F.row_number().over(by_hash)).where(F.col("n") <= SEEDS).select("id")
+    seeds = homes.join(F.broadcast(few), "id").select("id", "v").toArrow()
+    plan = [(r["cell"], r["radius"], r["longest"]) for r in cells.collect()]
+    sent = asked.mapInArrow(
+        _visits(centres, plan, _matrix(seeds["v"].combine_chunks()).astype(np.float64), seeds["id"].to_numpy(), k), "id long, v array<long>, cell int"
     )
-    task = ["qcell", "qblock", "cell", "shell", "block"]
-    side = lambda df: df.select(*task, "id", "v").groupBy(*task)
+    sent = ws.save(sent, "sent")
+    sizes = sent.groupBy("cell").agg(F.ceil(F.count("*") / QUERY_BLOCK).alias("qblocks"))
+    sizes = F.broadcast(ws.save(cells.select("cell", "blocks").join(sizes, "cell"), "sizes"))  # a row per cell
+
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+    part = lambda n: F.pmod(F.xxhash64("id"), F.col(n))
+    left = sent.join(sizes, "cell").withColumn("qblock", part("qblocks")).withColumn("block", every("blocks"))
+    right = homes.join(sizes, "cell").withColumn("block", part("blocks")).withColumn("qblock", every("qblocks"))
+    task = ["cell", "block", "qblock"]
+    parallel = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    side = lambda df: df.select(*task, "id", "v").repartition(parallel, *task).groupBy(*task)  # noqa: E731  the work is in the products, not in the bytes
     found = side(left).cogroup(side(right)).applyInArrow(_solve(k), "query_id long, vec_id long, score long")
     found = _best(found.withColumn("salt", F.pmod(F.xxhash64("vec_id"), F.lit(SALTS))), k, "query_id", "salt").drop("rank", "salt")
     return _best(found, k, "query_id").select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
