@@ -7,8 +7,11 @@ stronger the closer they are in the element tree: the same parent, the same sect
 gives the labelling with the least cost of blocks and of neighbours that are torn apart, so a short heading goes with its text
 and a lone sentence in a menu with the menu. It is found by augmenting shortest paths.
 
-Scripts, styles, templates, comments and the head are never text. Elements that say what they are not (nav, footer, form, a class ``ad``
-and the like, see the fixed values below) keep their blocks out at any length: such a block has no cost on the other side.
+Scripts, styles, templates, comments, controls, embedded media and the head are never text. Elements that are not the article by their tag
+(nav, footer, form and the like) or are hidden keep their blocks out at any length: such a block has no cost on the other side. Words of
+class and id and roles only add to the odds, less so inside an article, where a section may well be called ``discussion``. The weights
+are set by hand, not fitted. An element of a kind that is skipped is skipped only if its end tag comes before the next one of its kind begins,
+so that an unclosed one loses no text. Time and memory grow with the length of the page, at any depth.
 
 Null and empty pages have an empty text. Broken markup is read as browsers do in the main: unknown and unclosed tags are tolerated,
 and a paragraph ends where the next block begins. Character references are decoded once. White space inside a block becomes
@@ -19,7 +22,7 @@ from __future__ import annotations
 
 import html
 import re
-from collections import deque
+from collections import Counter, deque
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -31,7 +34,10 @@ BLOCKS = set(
     " header hgroup hr html legend li main menu nav ol optgroup option p pre search section select summary table tbody td tfoot th thead tr ul".split()
 )
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-RAW = set("script style noscript template textarea title iframe noembed noframes svg math object canvas audio video xmp".split())
+# text up to the end tag, or to the end of the page
+RAW = {"script", "style", "textarea", "title", "iframe", "noembed", "noframes", "xmp"}
+# controls, media and what is not shown: skipped up to their end tag
+SKIPPED = {"noscript", "template", "svg", "object", "canvas", "audio", "video", "button", "label"}
 HEADINGS = set("h1 h2 h3 h4 h5 h6".split())
 # an open element of the first kind ends before a tag of the second
 CLOSED_BY = {
@@ -46,7 +52,7 @@ CLOSED_BY = {
 }
 
 # Elements, roles and words of class or id that mark what is not the article, and what is.
-OUT_TAGS = set("nav footer aside form button select dialog menu fieldset search label input".split())
+OUT_TAGS = {"nav", "footer", "aside", "form", "select", "dialog", "menu", "fieldset", "search"}
 OUT_ROLES = set("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
 OUT_WORDS = set(
     "ad ads advert adverts advertisement advertisements advertising advertorial adbox adslot adunit banner sponsor sponsored promo promotion"
@@ -56,7 +62,13 @@ OUT_WORDS = set(
     " discussion feedback form search pagination pager tags taglist copyright legal disclaimer skip toolbar".split()
 )
 # words that name a part of an article as well, so they count only outside of one
-MILD_WORDS = set("header banner more side bottom foot legal tags alert notice notices form search header-title".split())
+MILD_WORDS = set(
+    "header banner more side bottom foot legal tags alert notice notices form search discussion feedback related recommended recommendations"
+    " popular trending disclaimer copyright follow".split()
+)
+COMMENT_WORDS = {"comment", "comments", "commentlist", "disqus", "reply", "replies"}
+# what a word or role takes from the log odds, and what a mild word does inside an article
+MARKED, MILDLY = 6.0, 2.0
 IN_TAGS = {"article": 2.5, "main": 2.0, "section": 0.2}
 IN_WORDS = set("article content main post entry story text body prose maincontent articlebody postcontent entrycontent blogpost".split())
 
@@ -75,7 +87,8 @@ class Element:
         self.tag, self.parent, self.number = tag, parent, number
         self.depth = parent.depth + 1 if parent else 0
         self.score, self.out, self.article = (parent.score, parent.out, parent.article) if parent else (0.0, False, False)
-        self.score += IN_TAGS.get(tag, 0.0)
+        if not (self.article and tag in ("article", "main")):
+            self.score += IN_TAGS.get(tag, 0.0)
         words: set[str] = set()
         if marks:
             for m in MARKS.finditer(marks):
@@ -84,7 +97,7 @@ class Element:
                     words.update(WORD.findall(CAMEL.sub(" ", value).lower()))
                 elif name == "role":
                     if value.lower() in OUT_ROLES:
-                        self.out = True
+                        self.score -= MARKED
                     elif value.lower() in ("main", "article"):
                         self.score += 2.0
                 elif name == "hidden" or (name == "aria-hidden" and value.lower() == "true"):
@@ -93,15 +106,34 @@ class Element:
                     self.out = True
         if tag in OUT_TAGS or (tag == "header" and not self.article):
             self.out = True
-        if words and tag not in ("html", "body", "article", "main"):
+        if tag in ("article", "main"):
+            if words & COMMENT_WORDS:
+                self.score -= MARKED
+        elif words and tag not in ("html", "body"):
             against = words & OUT_WORDS
-            if against - (MILD_WORDS if self.article else set()) and not (words & IN_WORDS and tag in HEADINGS):
-                self.out = True
+            if against and not (words & IN_WORDS and tag in HEADINGS):
+                self.score -= MILDLY if self.article and against <= MILD_WORDS else MARKED
             elif words & IN_WORDS:
                 self.score += 1.5
         self.article = self.article or tag in ("article", "main")
 
 
+class Ahead:
+    """The next place of a pattern at or after ones that only grow: the page is searched once for each pattern."""
+
+    def __init__(self, page: str):
+        self.page = page
+        self.found: dict[str, tuple[int, int]] = {}
+
+    def next(self, pattern: str, at: int) -> tuple[int, int]:
+        """Start and end of the next match, (-1, -1) if there is none."""
+        known = self.found.get(pattern)
+        if known is None or 0 <= known[0] < at:
+            m = re.compile(pattern, re.I).search(self.page, at)
+            known = self.found[pattern] = m.span() if m else (-1, -1)
+        return known
+
+
 class Block:
     __slots__ = ("element", "text", "linked", "tag")
 
@@ -127,7 +159,15 @@ def blocks_of(page: str) -> list[Block]:
             parts, linked = [], 0
 
     at, size = 0, len(page)
-    lower = None
+    ahead = Ahead(page)
+    open_tags: Counter[str] = Counter()
+
+    def close(down_to: int):
+        nonlocal block_at
+        open_tags.subtract([e.tag for e in stack[down_to:]])
+        del stack[down_to:]
+        block_at = stack[-1]
+
     while at < size:
         m = TOKEN.match(page, at)
         at = m.end()
@@ -142,38 +182,33 @@ def blocks_of(page: str) -> list[Block]:
         if m[1]:  # an end tag
             if tag == "a":
                 links = max(0, links - 1)
+            if tag == "head" and open_tags["head"]:
+                parts, linked = [], 0
+                close(max(k for k, e in enumerate(stack) if e.tag == "head"))
             if tag not in BLOCKS:
-                if tag == "head" and any(e.tag == "head" for e in stack):
-                    parts, linked = [], 0
-                    while stack[-1].tag != "head":
-                        stack.pop()
-                    stack.pop()
-                    block_at = stack[-1]
                 continue
             flush()
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k].tag == tag:
-                    del stack[k:]
-                    break
-                # a section is not closed by a tag of something smaller inside it
-                if tag in ("p", "li") and stack[k].tag in ("article", "section", "div", "body", "main", "td", "ul", "ol") and stack[k].tag != tag:
-                    break
-            block_at = stack[-1]
+            if open_tags[tag]:
+                for k in range(len(stack) - 1, 0, -1):
+                    if stack[k].tag == tag:
+                        close(k)
+                        break
+                    # a section is not closed by a tag of something smaller inside it
+                    if tag in ("p", "li") and stack[k].tag in ("article", "section", "div", "body", "main", "td", "ul", "ol"):
+                        break
             links = 0 if tag not in ("li", "p") else links
             continue
         if tag in RAW:
-            if m[3].endswith("/") and tag in ("svg", "math"):
+            end = ahead.next(f"</{tag}(?=[\\s/>]|\\Z)[^>]*(?:>|\\Z)", at)[1]
+            at = size if end < 0 else end
+            continue
+        if tag in SKIPPED:
+            if m[3].endswith("/") and tag == "svg":
                 continue
-            if lower is None:
-                lower = page.lower()
-            end = lower.find(f"</{tag}", at)
-            while end >= 0 and lower[end + 2 + len(tag) : end + 3 + len(tag)] not in ("", ">", " ", "/", "\t", "\n", "\r", "\f"):
-                end = lower.find(f"</{tag}", end + 1)
-            if end < 0:
-                at = size
-            else:
-                close = page.find(">", end)
-                at = size if close < 0 else close + 1
+            start, end = ahead.next(f"</{tag}(?=[\\s/>]|\\Z)[^>]*(?:>|\\Z)", at)
+            another = ahead.next(f"<{tag}(?=[\\s/>])", at)[0]
+            if start >= 0 and not 0 <= another < start:
+                at = end
             continue
         if tag == "br" or tag == "wbr":
             parts.append(" " if tag == "br" else "")
@@ -181,34 +216,30 @@ def blocks_of(page: str) -> list[Block]:
         if tag == "a":
             links = 1
             continue
-        if tag == "head":
-            flush()
-            stack.append(Element("head", stack[-1], "", number))
-            stack[-1].out = True
-            block_at = stack[-1]
-            continue
-        if tag not in BLOCKS and tag not in ("button", "label", "input", "textarea"):
-            continue
-        if tag in VOID and tag != "hr":
+        if tag != "head" and (tag not in BLOCKS or tag in VOID):
+            if tag == "hr":
+                flush()
             continue
         flush()
-        if tag == "hr":
-            continue
         if tag == "body":
             while len(stack) > 1 and stack[-1].tag == "head":
-                stack.pop()
+                close(len(stack) - 1)
         while len(stack) > 1 and tag in CLOSED_BY.get(stack[-1].tag, ()):
-            stack.pop()
+            close(len(stack) - 1)
         number += 1
-        stack.append(Element(tag, stack[-1], m[3], number))
+        stack.append(Element(tag, stack[-1], "" if tag == "head" else m[3], number))
+        open_tags[tag] += 1
         block_at = stack[-1]
-        links = 0
+        if tag == "head":
+            block_at.out = True
+        else:
+            links = 0
     flush()
     return blocks
 
 
 def log_odds(block: Block, has_article: bool) -> float:
-    """Log odds of being content; -CERTAIN for what says it is not."""
+    """Log odds of being content; -CERTAIN for what is not by its tag."""
     e = block.element
     if e.out:
         return -CERTAIN
@@ -315,29 +346,42 @@ def minimum_cut(odds: list[float], edges: list[tuple[int, int, float]]) -> list[
             a = to[e]
 
 
-def main_text(page: str) -> str:
+def labelled(page: str) -> tuple[list[Block], list[float], list[bool]]:
+    """Blocks of a page, their odds, and whether the cut keeps them."""
     blocks = blocks_of(page)
-    if not blocks:
-        return ""
     has_article = any(b.element.article and not b.element.out for b in blocks)
     odds = [log_odds(b, has_article) for b in blocks]
-    kept = minimum_cut(odds, ties(blocks))
+    return blocks, odds, minimum_cut(odds, ties(blocks)) if blocks else []
+
+
+def main_text(page: str) -> str:
+    blocks, _, kept = labelled(page)
     return "\n".join([b.text for b, k in zip(blocks, kept) if k])
 
 
-def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """One row per page: the id, the url, text (string) and n_chars (long, its code points)."""
+def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", counts: bool = False) -> DataFrame:
+    """One row per page: the id, the url, text (string) and n_chars (long, its code points).
+
+    With ``counts`` also n_blocks and n_turned: the page's blocks, and those that the cut labels against their own odds.
+    """
 
     def run(batches):
         for batch in batches:
-            texts = [main_text(t.as_py() or "") for t in batch.column("html")]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), batch.column("url"), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],
-                names=[id_col, url_col, "text", "n_chars"],
-            )
-
+            texts, blocks, turned = [], [], []
+            for t in batch.column("html"):
+                found, odds, kept = labelled(t.as_py() or "")
+                texts.append("\n".join([b.text for b, k in zip(found, kept) if k]))
+                blocks.append(len(found))
+                turned.append(sum(k != (x > 0) for x, k in zip(odds, kept)))
+            whole = [batch.column("id"), batch.column("url"), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())]
+            if counts:
+                whole += [pa.array(blocks, pa.int64()), pa.array(turned, pa.int64())]
+            yield pa.RecordBatch.from_arrays(whole, names=names)
+
+    names = [id_col, url_col, "text", "n_chars"] + (["n_blocks", "n_turned"] if counts else [])
     picked = pages.select(F.col(id_col).alias("id"), F.col(url_col).cast("string").alias("url"), F.col(html_col).cast("string").alias("html"))
-    return picked.mapInArrow(run, f"`{id_col}` {dict(picked.dtypes)['id']}, `{url_col}` string, text string, n_chars long")
+    more = ", n_blocks long, n_turned long" if counts else ""
+    return picked.mapInArrow(run, f"`{id_col}` {dict(picked.dtypes)['id']}, `{url_col}` string, text string, n_chars long{more}")
 
 
 def article_sql() -> str:
