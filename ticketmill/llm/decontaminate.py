@@ -1,18 +1,20 @@
 """Benchmark decontamination by templates.
 
 A text becomes a sequence of template tokens: numbers, units after a number and names (capitalised words inside a sentence) are
-typed placeholders, other words stay as they are in lower case. Windows of ``WINDOW`` template tokens of documents and
+typed placeholders, other words stay as they are in lower case. A capitalised word that opens a sentence may be a name or not: windows
+over one that is no usual opener come in both readings, and a passage is judged in either. Windows of ``WINDOW`` template tokens of documents and
 benchmark items are joined by hash. Windows that line up (same distance of the positions) belong to one passage; what fills
 the placeholders must be consistent there: the same value in the item always meets the same value in the document.
 So a question with other numbers and names is found, and texts that merely share a pattern are not.
 
 A passage is a leak if it has at least ``COVERAGE`` of the item's windows. Windows with fewer than ``LITERALS`` plain
-words say too little and are not used.
+words say too little and are not used. An item without a usable window is looked for word by word: all its windows of
+``WINDOW`` words (or its only one, if it is shorter) must be there side by side. Items of fewer than ``SHORTEST`` words say too little.
 
 Documents send only windows that pass a bitmap of fixed size made from the items' windows, so that the join moves next
 to nothing; the join itself is an ordinary equi-join and Spark picks its kind by size.
 
-Null texts and ids take no part. Items without a usable window match nothing (fewer than ``WINDOW`` words, say). Equal items
+Null texts and ids take no part. Equal items
 match side by side; repeated rows of one id count once.
 """
 
@@ -27,6 +29,7 @@ from ticketmill.llm.hashing import LOWER, flat_bytes, hash_spans, pieces, runs,
 
 WINDOW = 8
 LITERALS = 4
+SHORTEST = 4
 COVERAGE = 0.5
 BITMAP_BITS = 22
 
@@ -38,6 +41,14 @@ UNITS = (
     " percent dollar dollars euro euros cent cents mph kmh kph hz khz mhz ghz w kw mw v a j kj cal kcal degree degrees c f k b kb mb gb tb"
 ).split()
 
+# Words that open sentences without being names.
+OPENERS = [
+    "a", "after", "all", "an", "and", "another", "any", "are", "as", "at", "because", "before", "but", "by", "can", "could", "did", "do", "does", "during",
+    "each", "every", "find", "for", "from", "given", "had", "has", "have", "he", "her", "his", "how", "i", "if", "in", "is", "it", "its", "let", "my", "no",
+    "not", "now", "of", "on", "one", "or", "our", "she", "should", "since", "so", "some", "suppose", "that", "the", "their", "then", "there", "these", "they",
+    "this", "those", "to", "was", "we", "were", "what", "when", "where", "which", "while", "who", "why", "will", "with", "would", "you", "your",
+]
+
 DIGITS = np.zeros(256, bool)
 DIGITS[48:58] = True
 UPPER = np.zeros(256, bool)
@@ -48,11 +59,13 @@ ENDS = np.zeros(256, bool)
 ENDS[[*b".!?:\n\r"]] = True
 NUMBER, UNIT, NAME = (np.uint64(x) for x in (0xA1, 0xB2, 0xC3))
 
-WINDOW_SCHEMA = "id long, window long, pos int, slots array<long>"
+# readings of a window: it has no doubtful opener; its openers are words; they are names; from WORDS on, plain words and their number
+EITHER, OPENER_WORDS, OPENER_NAMES, WORDS = 0, 1, 2, 10
+WINDOW_SCHEMA = "id long, window long, pos int, slots array<long>, reading int"
 
 
-def template(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Template tokens of a column: hashes, hashes of the words themselves, kind (0 for a plain word), row offsets."""
+def template(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Template tokens of a column: hashes, hashes of the words themselves, kind (0 for a plain word), row offsets, doubtful openers."""
     data, rows = flat_bytes(texts)
     outside = PUNCTUATION[data]
     # . and , between digits belong to the number
@@ -66,7 +79,7 @@ def template(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nd
     starts, ends = word_bounds(marks, rows, np.arange(256) == 1)
     if not len(starts):
         none = np.zeros(0, np.uint64)
-        return none, none, none.astype(np.int8), np.zeros(len(rows), np.int64)
+        return none, none, none.astype(np.int8), np.zeros(len(rows), np.int64), none.astype(bool)
     words = hash_spans(LOWER[data], starts, ends)[0]
     offsets = np.searchsorted(starts, rows)
     first = np.zeros(len(starts), bool)
@@ -75,14 +88,19 @@ def template(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nd
     opens = first | (stops[starts] > stops[np.r_[0, ends[:-1]]])
     number = DIGITS[data[starts]]
     after_number = np.r_[False, number[:-1]] & ~first
-    units = np.sort(hash_spans(*_joined(UNITS))[0])
-    unit = after_number & ~number & (units[np.minimum(np.searchsorted(units, words), len(units) - 1)] == words)
+    unit = after_number & ~number & _among(UNITS, words)
     second = data[np.minimum(starts + 1, len(data) - 1)]
     capital = UPPER[data[starts]] | ((data[starts] == 0xC3) & (second >= 0x80) & (second <= 0x9E))
     name = capital & ~opens & ~number & ~unit
     kind = (number * 1 + unit * 2 + name * 3).astype(np.int8)
     held = np.select([number, unit, name], [NUMBER, UNIT, NAME], words)
-    return held, words, kind, offsets
+    doubtful = capital & opens & ~number & ~unit & ~_among(OPENERS, words)
+    return held, words, kind, offsets, doubtful
+
+
+def _among(listed: list[str], words: np.ndarray) -> np.ndarray:
+    known = np.sort(hash_spans(*_joined(listed))[0])
+    return known[np.minimum(np.searchsorted(known, words), len(known) - 1)] == words
 
 
 def _joined(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -91,35 +109,64 @@ def _joined(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return data, np.r_[0, ends[:-1]], ends
 
 
-def _windows(bitmap):
-    """(id, text) to windows; with a bitmap, only those whose bit is set."""
+def _windows(wanted):
+    """(id, text) to windows; ``wanted`` is None for items, for documents a broadcast bitmap of windows and the sizes of word windows."""
 
     def run(batches):
-        bits = None if bitmap is None else bitmap.value
+        bits, sizes = (None, []) if wanted is None else wanted.value
         for batch in pieces(batches):
-            held, words, kind, offsets = template(batch.column("text"))
-            hashes = runs(held, WINDOW)
-            n = len(hashes)
-            row = np.repeat(np.arange(batch.num_rows), np.diff(offsets))[: n + WINDOW - 1]
-            plain = np.r_[0, np.cumsum(kind == 0)]
-            at = np.arange(n)
-            good = (row[:n] == row[WINDOW - 1 : n + WINDOW - 1]) & (plain[at + WINDOW] - plain[at] >= LITERALS) if n else np.zeros(0, bool)
-            if bits is not None:
-                good &= np.unpackbits(bits, bitorder="little")[(hashes >> np.uint64(64 - BITMAP_BITS)).astype(np.int64)] == 1
-            at = np.flatnonzero(good)
-            filled = np.flatnonzero(kind)
-            lo, hi = np.searchsorted(filled, at), np.searchsorted(filled, at + WINDOW)
-            slots = [filled[a:b] for a, b in zip(lo.tolist(), hi.tolist())]
-            flat = np.concatenate(slots) if slots else np.zeros(0, np.int64)
-            lists = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(hi - lo)], pa.int32()), pa.array(words[flat].view(np.int64)))
+            held, words, kind, offsets, doubtful = template(batch.column("text"))
+            counts = np.diff(offsets)
+            row = np.repeat(np.arange(batch.num_rows), counts)
+            found = []
+
+            def take(hashes, size, good, kinds, reading):
+                if bits is not None and len(hashes):
+                    good = good & (np.unpackbits(bits, bitorder="little")[(hashes >> np.uint64(64 - BITMAP_BITS)).astype(np.int64)] == 1)
+                at = np.flatnonzero(good)
+                filled = np.flatnonzero(kinds)
+                lo, hi = np.searchsorted(filled, at), np.searchsorted(filled, at + size)
+                slots = [filled[x:y] for x, y in zip(lo.tolist(), hi.tolist())]
+                flat = np.concatenate(slots) if slots else np.zeros(0, np.int64)
+                found.append((at, hashes[at], hi - lo, words[flat], np.broadcast_to(reading, len(hashes))[at]))
+
+            def windows(tokens, kinds):
+                hashes = runs(tokens, WINDOW)
+                at = np.arange(len(hashes))
+                plain = np.r_[0, np.cumsum(kinds == 0)]
+                return hashes, (row[at] == row[at + WINDOW - 1]) & (plain[at + WINDOW] - plain[at] >= LITERALS)
+
+            def word_windows(size, chosen=None):
+                hashes = runs(words + np.uint64(size), size)
+                at = np.arange(len(hashes))
+                good = row[at] == row[at + size - 1]
+                take(hashes, size, good if chosen is None else good & chosen[row[at]], np.zeros(len(words), np.int8), WORDS + size)
+
+            hashes, good = windows(held, kind)
+            at = np.arange(len(hashes))
+            openers = np.r_[0, np.cumsum(doubtful)]
+            over = openers[at + WINDOW] > openers[at] if len(at) else np.zeros(0, bool)
+            take(hashes, WINDOW, good, kind, np.where(over, OPENER_WORDS, EITHER))
+            named = np.where(doubtful, np.int8(3), kind)
+            hashes, as_names = windows(np.where(doubtful, NAME, held), named)
+            take(hashes, WINDOW, as_names & over, named, OPENER_NAMES)
+            if wanted is None:  # items without a usable window
+                usable = np.zeros(batch.num_rows, bool)
+                usable[row[at[good | (as_names & over)]]] = True
+                for size in range(SHORTEST, WINDOW + 1):
+                    word_windows(size, ~usable & (counts >= SHORTEST) & (np.minimum(counts, WINDOW) == size))
+            for size in sizes:
+                word_windows(size)
+            at, hashes, lengths, slots, reading = (np.concatenate(c) for c in zip(*found))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("id").take(pa.array(row[at])),
-                    pa.array(hashes[at].view(np.int64)),
+                    pa.array(hashes.view(np.int64)),
                     pa.array((at - offsets[row[at]]).astype(np.int32)),
-                    lists,
+                    pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(lengths)], pa.int32()), pa.array(slots.view(np.int64))),
+                    pa.array(reading.astype(np.int32)),
                 ],
-                names=["id", "window", "pos", "slots"],
+                names=["id", "window", "pos", "slots", "reading"],
             )
 
     return run
@@ -155,16 +202,20 @@ def leaks(
     """
     pick = lambda df, i, t: df.select(F.col(i).cast("long").alias("id"), F.col(t).cast("string").alias("text")).where("id IS NOT NULL AND text IS NOT NULL")
     asked = pick(items, item_id_col, item_text_col).mapInArrow(_windows(None), WINDOW_SCHEMA)
-    asked = asked.groupBy("id", "window", "pos").agg(F.first("slots").alias("item_slots"))  # repeated items have equal slots there
+    asked = asked.groupBy("id", "window", "pos", "reading").agg(F.first("slots").alias("item_slots"))  # repeated items have equal slots there
     sizes = asked.groupBy("id").agg(F.count_distinct("pos").alias("of"))
-    bitmap = docs.sparkSession.sparkContext.broadcast(_bitmap(asked))
-    found = pick(docs, id_col, text_col).mapInArrow(_windows(bitmap), WINDOW_SCHEMA)
-    asked = asked.select(F.col("id").alias("item"), "window", F.col("pos").alias("item_pos"), "item_slots")
+    sizes_of_words = [r[0] - WORDS for r in asked.where(F.col("reading") >= WORDS).select("reading").distinct().collect()]  # at most WINDOW rows
+    wanted = docs.sparkSession.sparkContext.broadcast((_bitmap(asked), sizes_of_words))
+    found = pick(docs, id_col, text_col).mapInArrow(_windows(wanted), WINDOW_SCHEMA)
+    asked = asked.select(F.col("id").alias("item"), "window", F.col("pos").alias("item_pos"), "item_slots", F.col("reading").alias("item_reading"))
+    # a window without doubtful openers belongs to both readings of its passage
+    own = F.greatest("reading", "item_reading")
+    readings = F.when(own == EITHER, F.array(F.lit(OPENER_WORDS), F.lit(OPENER_NAMES))).otherwise(F.array(own))
     hits = found.join(asked, "window").select(
-        F.col("id").alias("doc"), "item", "item_pos", (F.col("pos") - F.col("item_pos")).alias("shift"),
-        F.explode_outer(F.arrays_zip("item_slots", "slots")).alias("slot"),
+        F.col("id").alias("doc"), "item", "item_pos", (F.col("pos") - F.col("item_pos")).alias("shift"), "slots", "item_slots", F.explode(readings).alias("reading"),
     )
-    passage = ["doc", "item", "shift"]
+    hits = hits.select("doc", "item", "item_pos", "shift", "reading", F.explode_outer(F.arrays_zip("item_slots", "slots")).alias("slot"))
+    passage = ["doc", "item", "shift", "reading"]
     hits = hits.groupBy(*passage, "item_pos", "slot").agg(F.lit(1).alias("one"))  # each once, also for repeated rows
     lined = hits.groupBy(*passage).agg(
         F.count_distinct("item_pos").alias("windows"),
@@ -175,11 +226,12 @@ def leaks(
     best = (
         lined.where(F.col("pairs") == F.col("slots"))
         .groupBy("doc", "item")
-        .agg(F.max(F.struct("windows", -F.col("changed_slots"), -F.col("shift"), "slots", "changed_slots")).alias("b"))
+        .agg(F.max(F.struct("windows", -F.col("changed_slots"), -F.col("shift"), "slots", "changed_slots", "reading")).alias("b"))
         .join(sizes.select(F.col("id").alias("item"), "of"), "item")
     )
     share = F.round(F.col("b.windows") / F.col("of"), 4)
-    return best.where(F.col("b.windows") >= F.lit(coverage) * F.col("of")).select(
+    least = F.when(F.col("b.reading") >= WORDS, F.lit(1.0)).otherwise(F.lit(coverage))
+    return best.where(F.col("b.windows") >= least * F.col("of")).select(
         F.col("doc").alias(id_col),
         F.col("item").alias(item_id_col),
         F.col("b.windows").alias("windows"),
