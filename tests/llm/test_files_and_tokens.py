@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import random
 import zlib
 
@@ -32,9 +33,34 @@ def test_bpe_equals_the_library(coder):
     library = tokenizers.Tokenizer.from_file(public.path("word_bpe_49k.json"))
     for text in [*random_texts(800), "a" * 5000, "ha" * 3000, "the" * 2000 + "n", "é" * 700, "".join(random.Random(4).choices("abcdehinorst", k=20000))]:
         want = library.encode(text, add_special_tokens=False).ids
-        n, ids, names = coder.coded(text)
+        n, _ = coder.coded(text)
         assert coder.encode(text) == want and n == len(want)
-        assert names.decode() == library.decode(want, skip_special_tokens=False) == bpe.decode(coder, want, library=True)
+        assert bpe.decode(coder, want, library=True) == library.decode(want, skip_special_tokens=False)
+
+
+def test_digests_of_long_texts_are_the_library_s(spark):
+    """Texts of several blocks, special strings, ids and decoded text from the stream."""
+    library = tokenizers.Tokenizer.from_file(public.path("word_bpe_49k.json"))
+    r = random.Random(7)
+    special = next(iter(bpe.Coder(public.path("word_bpe_49k.json")).specials), "x")
+    texts = [" ".join(random_texts(6000, seed=s)) for s in (2, 3)] + [" ", "\u00a0", special, f"a{special}b {special}", "ab " * (2 * bpe.RUNS), "x" * 30_000]
+    texts += ["".join(r.choice("abcxyz .,'-\n") for _ in range(50_000))]
+    got = bpe.digests(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), public.path("word_bpe_49k.json"))
+    want = {}
+    for i, t in enumerate(texts):
+        ids = library.encode(t, add_special_tokens=False).ids
+        want[i] = (len(ids), hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256(library.decode(ids, skip_special_tokens=False).encode()).hexdigest())
+    assert {x.doc_id: (x.n_tokens, x.ids_sha256, x.decoded_sha256) for x in got.collect()} == want
+
+
+def test_blocks_go_through_both_decoders(coder):
+    text = "the wörld 😀 " * 40
+    _, ids = coder.coded(text)
+    for library in (True, False):
+        machine, parts = bpe.Decoder(coder, library), ids.split(b" ")
+        out = b"".join([machine.feed_decimals(b" ".join(parts[k : k + 7])) for k in range(0, len(parts), 7)]).decode() + machine.close()
+        assert out == bpe.decode(coder, coder.encode(text), library)
+    assert bpe.Decoder(coder, True).feed_decimals(b"") == b"" and bpe.Decoder(coder, True).feed_decimals(b"99999999") == b""
 
 
 def test_transducer_keeps_a_bounded_window(coder):
@@ -111,17 +137,24 @@ def test_token_files_read_back(spark, ws):
 
 
 def test_archives(spark, ws):
-    rows = [(3, "http://a/\r\nx", "<p>é</p>"), (1, None, "<p>é</p>"), (2, "u", None), (5, "u", ""), (4, "u", "y" * 400_000), (None, "u", "z"), (9, "u", "y" * 400_000), (-4, "u", "q")]
+    rows = [(3, "http://a/\r\nx", "<p>é</p>"), (1, None, "<p>é</p>"), (2, "u", None), (5, "u", ""), (4, "u", "y" * 400_000), (None, "u", "z"), (None, "v", "q"), (None, "w", None), (None, "w", None), (9, "u", "y" * 400_000), (-4, "u", "q")]
     pages = spark.createDataFrame([(*r, "no") for r in rows], "page_id long, url string, html string, record_type string")
     manifest = warc.write_archives(ws, pages, frame_bytes=1000)
-    got = {r.page_id: r for r in warc.read_archives(manifest).collect()}
+    rows_out = warc.read_archives(manifest).collect()
+    without = sorted((r.record_type, r.refers_to, r.payload_bytes) for r in rows_out if r.page_id is None and r.payload_bytes != 1)
+    assert without == [("revisit", 2, 0), ("revisit", 2, 0)]
+    assert sorted((r.record_type, r.refers_to) for r in rows_out if r.page_id is None and r.payload_bytes == 1) == [("response", None), ("revisit", -4)]
+    got = {r.page_id: r for r in rows_out if r.page_id is not None}
+    assert len(rows_out) == len(got) + 4
     assert {i: (r.record_type, r.refers_to, r.payload_bytes) for i, r in got.items()} == {
         1: ("response", None, 9), 3: ("revisit", 1, 9), 2: ("response", None, 0), 5: ("revisit", 2, 0),
         4: ("response", None, 400_000), 9: ("revisit", 4, 400_000), -4: ("response", None, 1),
     }
     for m in manifest.collect():  # each record is found alone by its place
         headers, block = warc.read_record(m.bundle, m.frame, m.offset)
-        assert warc.page_of(headers["WARC-Record-ID"]) == m.page_id and headers["WARC-Payload-Digest"].endswith(got[m.page_id].payload_digest)
+        assert warc.page_of(headers["WARC-Record-ID"]) == m.page_id
+        if m.page_id is not None:
+            assert headers["WARC-Payload-Digest"].endswith(got[m.page_id].payload_digest)
         if m.page_id == 1:
             assert block.endswith("<p>é</p>".encode())
     below = warc.read_archives(warc.write_archives(ws, pages, revisit_from=10)).where("record_type = 'revisit'").collect()

@@ -40,6 +40,8 @@ STOOD = 600_000
 # words a task keeps that frees its coder at the end, as other work follows in the same workers
 TASK_CACHE = 200_000
 ENDLESS = 1 << 60
+# runs between white space whose ids go to the hashes and to the decoder at once
+RUNS = 8192
 
 
 def worker_state(name: str, make):
@@ -264,7 +266,8 @@ class Coder:
         self.alphabet = byte_alphabet()
         self.bytes = {c: b for b, c in enumerate(self.alphabet)}
         self.transducer = Transducer(self.merges)
-        self.cache: dict[str, tuple[int, bytes, bytes]] = {}
+        self.by_decimal = {b"%d" % i: t.encode() for i, t in self.names.items()}
+        self.cache: dict[str, tuple[int, bytes]] = {}
 
     def word(self, word: str) -> list[str]:
         """Tokens of one word."""
@@ -290,11 +293,10 @@ class Coder:
     # split() also parts at these, the library does not
     odd = regex.compile("[\x1c-\x1f]")
 
-    def of_word(self, word: str) -> tuple[int, bytes, bytes]:
-        """Number of tokens, decimal ids and decoded text of one word; kept."""
+    def of_word(self, word: str) -> tuple[int, bytes]:
+        """Number of tokens and decimal ids of one word; kept."""
         tokens = self.word(word)
-        ids = [self.merges.ids[t] for t in tokens]
-        got = len(ids), b" ".join([b"%d" % i for i in ids]), decode(self, ids, library=True).encode()
+        got = len(tokens), b" ".join([b"%d" % self.merges.ids[t] for t in tokens])
         if len(word) <= CACHED_LENGTH:
             if len(self.cache) >= self.cached:
                 self.cache.clear()
@@ -307,21 +309,27 @@ class Coder:
         gc.collect()
         give_back()
 
-    def of_run(self, run: str) -> tuple[int, bytes, bytes]:
+    def of_run(self, run: str) -> tuple[int, bytes]:
         """The same for what stands between white space."""
         if run[0] == "\0" and run[1:] in self.specials:
-            return 1, b"%d" % self.specials[run[1:]], run[1:].encode()
+            return 1, b"%d" % self.specials[run[1:]]
         got = [self.cache.get(w) or self.of_word(w) for w in self.split.findall(run)]
         return got[0] if len(got) == 1 else self.joined(got)
 
     @staticmethod
-    def joined(parts: list[tuple[int, bytes, bytes]]) -> tuple[int, bytes, bytes]:
-        return sum([p[0] for p in parts]), b" ".join([p[1] for p in parts]), b" ".join([p[2] for p in parts])
+    def joined(parts: list[tuple[int, bytes]]) -> tuple[int, bytes]:
+        return sum([p[0] for p in parts]), b" ".join([p[1] for p in parts])
 
-    def coded(self, text: str) -> tuple[int, bytes, bytes]:
-        """Number of tokens, decimal ids joined by one space, and decoded text (as the library gives it)."""
+    def blocks(self, text: str):
+        """The ids of a text in order, some runs at a time: (number of tokens, decimal ids joined by one space)."""
         known, new = self.cache.get, self.of_run
-        return self.joined([known(r) or new(r) for r in self.runs(text)])
+        runs = self.runs(text)
+        for at in range(0, len(runs), RUNS):
+            yield self.joined([known(r) or new(r) for r in runs[at : at + RUNS]])
+
+    def coded(self, text: str) -> tuple[int, bytes]:
+        """Number of tokens and decimal ids joined by one space."""
+        return self.joined(list(self.blocks(text)))
 
     def encode(self, text: str) -> list[int]:
         return [int(x) for x in self.coded(text)[1].split()]
@@ -354,6 +362,18 @@ class Decoder:
         held = bytes(self.coder.bytes[c] for c in (name.removesuffix(end) if whole else name))
         return self.utf8.decode(held + b" " * whole)
 
+    def feed_decimals(self, ids: bytes) -> bytes:
+        """A block of ids, decimal and joined by one space, at once; text in UTF-8."""
+        if not ids:
+            return b""
+        if not self.library:
+            return "".join([self.feed(int(i)) for i in ids.split(b" ")]).encode()
+        names = self.coder.by_decimal
+        known = [names[i] for i in ids.split(b" ") if i in names]
+        out = b" ".join(known) if self.first or not known else b" " + b" ".join(known)
+        self.first = self.first and not known
+        return out
+
     def close(self) -> str:
         return "" if self.library else self.utf8.decode(b"", True)
 
@@ -387,7 +407,8 @@ def digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
 
     The first hash is of the decimal ids joined by one space, the second of the decoded text as the library gives it.
     The coder and the words it met, up to the bounds above, stay with the worker for its next tasks.
-    A run between white space is decoded once per worker; the runs' texts are then joined as the machine does it.
+    The ids of a text go to the first hash and to the decoder block by block, and what the decoder gives to the second, so
+    neither all ids nor the decoded text of a long document are held.
     """
 
     def run(batches):
@@ -395,10 +416,15 @@ def digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
         for batch in pieces(batches):
             n, a, b = [], [], []
             for t in batch.column("text"):
-                count, ids, names = coder.coded(t.as_py() or "")
+                machine, of_ids, of_text, count = Decoder(coder, library=True), hashlib.sha256(), hashlib.sha256(), 0
+                for some, ids in coder.blocks(t.as_py() or ""):
+                    of_ids.update(b" " + ids if count and some else ids)
+                    of_text.update(machine.feed_decimals(ids))
+                    count += some
+                of_text.update(machine.close().encode())
                 n.append(count)
-                a.append(hashlib.sha256(ids).hexdigest())
-                b.append(hashlib.sha256(names).hexdigest())
+                a.append(of_ids.hexdigest())
+                b.append(of_text.hexdigest())
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(n, pa.int64()), pa.array(a), pa.array(b)], names=[id_col, "n_tokens", "ids_sha256", "decoded_sha256"])
 
     picked = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))

@@ -13,8 +13,9 @@ the wide table.
 Tasks write bundles under fresh names and report what they wrote, so a task that is lost and run again leaves at most a
 file nobody names. Bundles are closed at ``BUNDLE_BYTES``, frames at ``FRAME_BYTES``; a longer record has a frame of its own.
 
-Null payloads are empty. Rows with a null id are left out. Ids are meant to be unique: of rows that share id and payload all
-are written, and only the first page id counts as the one referred to.
+Null payloads are empty. A row with a null id is written under a fresh record id that stands for no page: a revisit if a row with
+an id has its payload, else a response. Ids are meant to be unique: of rows that share id and payload all are written, and only
+the first page id counts as the one referred to.
 """
 
 from __future__ import annotations
@@ -37,6 +38,8 @@ BUNDLE_BYTES = 256 << 20
 # Skippable frame and seek table of the seekable Zstandard format.
 SKIPPABLE, SEEKABLE = 0x184D2A5E, 0x8F92EAB1
 DATE = "1970-01-01T00:00:00Z"
+# rows without an id are spread over so many parts where they meet their digests
+SALTS = 64
 
 MANIFEST = "page_id long, bundle string, frame int, offset long, bytes long"
 
@@ -49,16 +52,18 @@ def digest_of(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
 
-def record_id(page_id: int) -> str:
-    return f"<urn:uuid:{uuid.UUID(int=page_id % (1 << 64))}>"
+def record_id(page_id: int | None) -> str:
+    return f"<urn:uuid:{uuid.uuid4() if page_id is None else uuid.UUID(int=page_id % (1 << 64))}>"
 
 
-def page_of(name: str) -> int:
+def page_of(name: str) -> int | None:
     value = uuid.UUID(name.strip("<>").removeprefix("urn:uuid:")).int
+    if value >> 64:  # made for a row without an id
+        return None
     return value - (1 << 64) if value >> 63 else value
 
 
-def record(page_id: int, url: str, payload: bytes, digest: str, first: int | None) -> bytes:
+def record(page_id: int | None, url: str, payload: bytes, digest: str, first: int | None) -> bytes:
     """A response, or a revisit of the page ``first``. A revisit has no body but says how long its payload was."""
     body = b"" if first is not None else b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n" + payload
     head = [
@@ -203,15 +208,19 @@ def write_archives(
     """Write every page; returns the manifest (page_id, bundle, frame, offset, bytes)."""
     payload = F.coalesce(F.col(payload_col).cast("string").cast("binary"), F.lit(b""))
     held = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"), payload.alias("payload"))
-    held = held.where(F.col("page_id").isNotNull())
     digests = ws.save(
         held.where(F.length("payload") >= revisit_from).select("page_id", F.unhex(F.sha1("payload")).alias("digest")), "digests"
     )
-    firsts = digests.groupBy("digest").agg(F.min("page_id").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
-    copies = digests.join(firsts, "digest").where("page_id <> first").select("page_id", "digest", "first").distinct()
+    firsts = digests.groupBy("digest").agg(F.min("page_id").alias("first"), F.count("*").alias("n")).where("n > 1 and first is not null").drop("n")
+    copies = digests.join(firsts, "digest").where("page_id is null or page_id <> first").select("page_id", "digest", "first").distinct()
+    # rows without an id have only the digest to be found by, so they are spread, and what they look for is there in each part
+    copies = copies.withColumn("salt", F.explode(F.when(F.col("page_id").isNull(), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))))
+    salt = F.when(F.col("page_id").isNull(), F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int")).otherwise(0)
+    key = lambda df: df.withColumn("known", F.col("page_id").isNotNull()).withColumn("key", F.coalesce("page_id", F.lit(0).cast("long")))
     # payloads are compared again, so that an id that stands for several payloads refers each to its own
     joined = (
-        held.withColumn("digest", F.unhex(F.sha1("payload"))).join(copies, ["page_id", "digest"], "left")
+        key(held.withColumn("salt", salt)).withColumn("digest", F.unhex(F.sha1("payload")))
+        .join(key(copies).drop("page_id"), ["key", "known", "salt", "digest"], "left")
         .select("page_id", "url", "payload", "first")
     )
     folder = ws.path("bundles")
@@ -257,8 +266,8 @@ def archive_sql() -> str:
     """What reading back returns, in DuckDB's SQL; base 32 takes five bits at a time from two neighbouring hexadecimal digits."""
     digit = lambda at: f"(strpos('0123456789abcdef', h[{at}]) - 1)"
     bits = f"(((16 * {digit('(5 * i // 4) + 1')} + CASE WHEN (5 * i // 4) + 2 <= 40 THEN {digit('(5 * i // 4) + 2')} ELSE 0 END) >> (3 - (5 * i) % 4)) & 31)"
-    return f"""WITH p AS (SELECT page_id, coalesce(html, '') AS payload FROM pages WHERE page_id IS NOT NULL),
+    return f"""WITH p AS (SELECT page_id, coalesce(html, '') AS payload FROM pages),
       d AS (SELECT page_id, octet_length(encode(payload)) AS payload_bytes, sha1(payload) AS h, min(page_id) OVER (PARTITION BY payload) AS first FROM p)
       SELECT page_id, payload_bytes::BIGINT AS payload_bytes,
         list_aggregate([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', {bits}::INT + 1, 1) for i in range(0, 32)], 'string_agg', '') AS payload_digest,
-        CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> first THEN first END AS refers_to FROM d"""
+        CASE WHEN page_id IS NOT DISTINCT FROM first OR first IS NULL THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id IS DISTINCT FROM first THEN first END AS refers_to FROM d"""
