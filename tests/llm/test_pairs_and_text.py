@@ -142,6 +142,67 @@ def test_toxicity_on_held_out_rows(spark):
     assert kept.columns == docs.columns and kept.count() == got.where("not toxic").count()
 
 
+def ordinal_loss(theta, x, grade, top):
+    """The penalised likelihood, row by row as the model states it."""
+    width = x.shape[1]
+    w, cuts = theta[:width], theta[width:]
+    total = 0.5 * toxicity.RIDGE * float(w @ w)
+    for row, g in zip(x, grade):
+        over = [1.0] + [1.0 / (1.0 + np.exp(-(row @ w - c))) for c in cuts] + [0.0]
+        total -= np.log(over[g] - over[g + 1])
+    return total / len(x) if (np.diff(cuts) > 0).all() else np.inf
+
+
+def test_ordinal_fit_against_a_plain_optimiser():
+    """Ten features, four grades: the gradient vanishes at the fit, and steps down a numeric gradient from elsewhere end at it."""
+    r = np.random.default_rng(3)
+    x = r.poisson(0.7, (150, 10)).astype(float)
+    eta = x @ r.normal(0, 1, 10) + r.logistic(size=150)
+    grade = np.searchsorted(np.quantile(eta, [0.4, 0.6, 0.8]), eta)
+    row, col = np.nonzero(x)
+    w, cuts = toxicity.fit_ordinal(row, col, x[row, col], grade, 10)
+    fitted = np.r_[w, cuts]
+
+    def gradient(theta):
+        step = 1e-5 * np.eye(len(theta))
+        return np.array([(ordinal_loss(theta + s, x, grade, 3) - ordinal_loss(theta - s, x, grade, 3)) / 2e-5 for s in step])
+
+    assert (np.diff(cuts) > 0).all() and np.abs(gradient(fitted)).max() < 1e-6
+    theta = np.r_[np.zeros(10), -1.0, 0.0, 1.0]
+    for _ in range(12):  # Newton's method with numeric derivatives, the step halved where it overshoots
+        g, now = gradient(theta), ordinal_loss(theta, x, grade, 3)
+        curve = np.array([(gradient(theta + s) - g) / 1e-4 for s in 1e-4 * np.eye(len(theta))])
+        step = np.linalg.solve((curve + curve.T) / 2, g)
+        while ordinal_loss(theta - step, x, grade, 3) > now + 1e-12 and np.abs(step).max() > 1e-6:
+            step /= 2
+        theta = theta - step
+    assert np.abs(theta - fitted).max() < 1e-3
+
+
+def test_severity_row_by_row():
+    texts = ["bad bad worse", "", None, "Worsening BAD, badly!", "nothing here", "bad " * 500]
+    hashes, _ = toxicity.text_features(pa.array(["bad worse badly"]))
+    features = np.unique(hashes)
+    weights, cuts = np.linspace(0.2, 1.1, len(features)), np.array([0.5, 1.5, 2.5])
+    s, g, t = toxicity.severity(pa.array(texts), features, weights, cuts)
+    for k, text in enumerate(texts):
+        found, _ = toxicity.text_features(pa.array([text], pa.string()))
+        eta = sum(w * np.log1p(int((found == f).sum())) for f, w in zip(features, weights))
+        p = [1 / (1 + np.exp(-(eta - c))) for c in cuts]
+        assert abs(s[k] - sum(p)) < 1e-5 and g[k] == sum(q >= 0.5 for q in p) and t[k] == (p[0] >= 0.5)
+    assert s[0] < s[5] and s[1] == s[2] == s[4]
+
+
+def test_model_size_is_a_parameter(spark):
+    rows, labels = toxic_corpus(300)
+    docs = docs_of(spark, rows)
+    known = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    whole = toxicity.train(spark, docs, known)
+    few = toxicity.train(spark, docs, known, features=3)
+    assert len(few.features) == 3 < len(whole.features) and set(few.features) <= set(whole.features)
+    assert not len(toxicity.train(spark, docs, known, min_toxic=10**6).features)
+
+
 def test_toxicity_without_labels(spark):
     docs = docs_of(spark, [(1, "a b"), (2, None)])
     model = toxicity.train(spark, docs, spark.createDataFrame([(1, 0, 0)], "doc_id long, quality int, toxic int"))
@@ -166,6 +227,55 @@ def test_licences(spark):
     assert licences.licence_matches(docs_of(spark, [])).count() == 0
 
 
+# openings of public licence texts, as published, one paragraph a line
+PUBLIC_TEXTS = {
+    "ISC": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that"
+    " the above copyright notice and this permission notice appear in all copies.\nTHE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL"
+    " WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS.",
+    "0BSD": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted.\n"
+    "THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF"
+    " MERCHANTABILITY AND FITNESS.",
+    "GPL-3.0-or-later": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as"
+    " published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    "GPL-2.0-or-later": "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as"
+    " published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version.",
+    "LGPL-2.1-or-later": "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public"
+    " License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version.",
+    "AGPL-3.0-or-later": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public"
+    " License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this"
+    " file, You can obtain one at https://mozilla.org/MPL/2.0/.",
+    "Unlicense": "This is free and unencumbered software released into the public domain.\nAnyone is free to copy, modify, publish, use, compile, sell, or"
+    " distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.",
+    "Zlib": "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages"
+    " arising from the use of this software.\nPermission is granted to anyone to use this software for any purpose, including commercial applications,"
+    " and to alter it and redistribute it freely, subject to the following restrictions:",
+    "CC-BY-SA-4.0": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
+    "CC-BY-NC-ND-4.0": "Licensed under CC BY-NC-ND 4.0.",
+    "CC0-1.0": "Licensed under CC0 1.0.",
+    "BSD-4-Clause": "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.\n"
+    "2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the"
+    " documentation and/or other materials provided with the distribution.\n3. All advertising materials mentioning features or use of this software"
+    " must display the following acknowledgement: This product includes software.\n4. Neither the name of the copyright holder nor the names of its"
+    " contributors may be used to endorse or promote products derived from this software without specific prior written permission.",
+    "MIT-0": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the"
+    " \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish,"
+    " distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so.\nTHE SOFTWARE IS"
+    " PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS"
+    " FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT.",
+    "MIT": "Licensed under the MIT Licence.",
+    "GPL-3.0-only": "This work is licensed under the GNU General Public Licence, version 3.",
+}
+
+
+def test_public_licence_texts(spark):
+    names = list(PUBLIC_TEXTS)
+    rows = [(k, "Some text.\n" + PUBLIC_TEXTS[x] + "\nMore text.") for k, x in enumerate(names)]
+    found = {(names[r.doc_id], r.licence) for r in licences.licence_matches(docs_of(spark, rows)).collect()}
+    assert found == {(x, x) for x in names}
+    assert set(licences.SPELLINGS.values()) <= set(licences.SENTENCES)
+
+
 def test_every_licence_sentence_has_an_anchor():
     assert all(any(a in s for a in licences.ANCHORS) for s in licences.SENTENCES.values())
     assert set(licences.SENTENCES) == {i for _, _, ids in licences.RULES for i in ids}

@@ -8,7 +8,9 @@ not; a toxic text's grade is 1, 2 or 3 by the summed values of such features (th
 The model is the proportional-odds one: P(grade > k) = sigmoid(w x - c_k) with one weight vector for all ordered cuts c_k. The
 score is the expected grade, the sum of these probabilities; a text is rejected if P(grade > 0) is at least one half.
 
-Feature statistics cover all labelled toxic rows and all documents. The weights are fitted on the driver on at most ``SAMPLE`` labelled rows,
+Feature statistics cover all labelled toxic rows and all documents. The model's size is bounded by parameters of ``train``: of the features
+in at least ``min_toxic`` toxic texts the ``candidates`` most frequent ones are held against all documents, and of those that are at least
+``min_lift`` times as frequent in toxic texts the ``features`` most telling ones get a weight. The weights are fitted on the driver on at most ``SAMPLE`` labelled rows,
 taken by hash of the id; every row is scored in its own task without a shuffle.
 
 Null and empty texts have no features and the lowest score. Without labels of both kinds nothing is toxic: severity 0.
@@ -117,7 +119,10 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
 
 
 def fit_ordinal(row: np.ndarray, col: np.ndarray, val: np.ndarray, grade: np.ndarray, width: int, rounds: int = 400) -> tuple[np.ndarray, np.ndarray]:
-    """Weights and ascending cuts that maximise the penalised likelihood of the grades (Adam, full batch)."""
+    """Weights and ascending cuts that maximise the penalised likelihood of the grades (Adam, full batch).
+
+    The step is fixed: once the gradient has vanished, many more ``rounds`` than the default let it swing by some thousandths again.
+    """
     n, top = len(grade), int(grade.max())
     over = np.array([(grade > k).mean() for k in range(top)])
     theta = np.r_[np.zeros(width), -np.log(over[0] / (1 - over[0])), np.full(top - 1, 0.5)]  # weights, first cut, log gaps
@@ -146,9 +151,11 @@ def fit_ordinal(row: np.ndarray, col: np.ndarray, val: np.ndarray, grade: np.nda
 
 
 def train(
-    spark: SparkSession, docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", toxic_col: str = "toxic", sample: int = SAMPLE
+    spark: SparkSession, docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", toxic_col: str = "toxic", sample: int = SAMPLE,
+    candidates: int = CANDIDATES, features: int = FEATURES, min_toxic: int = MIN_TOXIC, min_lift: float = MIN_LIFT,
 ) -> Model:
-    """A model from the texts that have a label."""
+    """A model from the texts that have a label. ``sample`` bounds the rows it is fitted on, ``candidates`` and ``features`` its size."""
+    wanted = features
     said = labels.where(F.col(id_col).isNotNull() & F.col(toxic_col).isNotNull()).groupBy(F.col(id_col).alias("id")).agg(F.max(F.col(toxic_col).cast("int")).alias("toxic"))
     texts = docs.select(F.col(id_col).alias("id"), F.xxhash64(id_col).alias("hash"), F.col(text_col).cast("string").alias("text"))
     empty = Model(np.zeros(0, np.int64), np.zeros(0), np.zeros(0))
@@ -158,7 +165,7 @@ def train(
     bad = said.where("toxic = 1").select("id", F.xxhash64("id").alias("hash"))
     common = (
         few(texts, "hash", bad).join(bad.select("id"), "id").select("text").mapInArrow(_distinct, "feature long, n long")
-        .groupBy("feature").agg(F.sum("n").alias("n")).where(F.col("n") >= MIN_TOXIC).orderBy(F.desc("n"), "feature").limit(CANDIDATES).toPandas()
+        .groupBy("feature").agg(F.sum("n").alias("n")).where(F.col("n") >= min_toxic).orderBy(F.desc("n"), "feature").limit(candidates).toPandas()
     )
     common = common.sort_values("feature")
     held = spark.sparkContext.broadcast(common["feature"].to_numpy(np.int64))
@@ -166,8 +173,8 @@ def train(
     known = dict(zip(every["feature"], every["n"]))
     rate1 = common["n"].to_numpy() / sizes[1]
     rate = np.array([known.get(f, 0) + 0.5 for f in common["feature"]]) / max(int(every["rows"].sum()), 1)
-    speaks = np.flatnonzero(rate1 >= MIN_LIFT * rate)
-    best = speaks[np.lexsort((speaks, -(rate1 * np.log(rate1 / rate))[speaks]))][:FEATURES]
+    speaks = np.flatnonzero(rate1 >= min_lift * rate)
+    best = speaks[np.lexsort((speaks, -(rate1 * np.log(rate1 / rate))[speaks]))][:wanted]
     features = np.sort(common["feature"].to_numpy(np.int64)[best])
     if not len(features):
         return empty
