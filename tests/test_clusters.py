@@ -88,6 +88,21 @@ def test_sparse_join_finds_every_pair_once(spark, ws, seed, t):
     assert found_pairs(sm.term_join(ws, table, None, t)) == pairs_above(x, t)
 
 
+def test_candidates_are_verified_in_small_groups(spark, ws, monkeypatch):
+    """A row similar to all others, copies, groups of a few pairs and vectors of both sides under the same numbers."""
+    monkeypatch.setattr(sm, "PAIRS_PER_GROUP", 4)
+    x = sparse_vectors(6, 70, dims=15)
+    x[:25] = x[0]
+    table = as_table(spark, ws, x).withColumnRenamed("seq", "pos")
+    assert found_pairs(sm.term_join(ws, table, None, 0.6)) == pairs_above(x, 0.6)
+    other = as_table(spark, ws, x[::-1].copy()).withColumnRenamed("seq", "pos")
+    sims = np.round(x @ x[::-1].T, 12)
+    rows = sm.term_join(ws, table, other, 0.6).collect()
+    assert {(r.l, r.r) for r in rows} == {(int(i), int(j)) for i, j in zip(*np.nonzero(sims >= 0.6))} and len(rows) == int((sims >= 0.6).sum())
+    assert all(abs(r.sim - sims[r.l, r.r]) < 1e-9 for r in rows)
+    assert sm.term_join(ws, table.limit(0), None, 0.6).count() == 0
+
+
 def test_sparse_join_with_frequent_terms_split_over_tasks(spark, ws, monkeypatch):
     monkeypatch.setattr(sm, "POSTINGS_PER_TASK", 3)
     x = sparse_vectors(4, 60, dims=12)

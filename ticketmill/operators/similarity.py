@@ -20,6 +20,9 @@ from ticketmill.session import Workspace
 
 # a term's postings are split until one task sees at most this many from either side
 POSTINGS_PER_TASK = 8192
+# candidate pairs that are verified as one group, and those whose vectors are laid side by side at once
+PAIRS_PER_GROUP = 16384
+PAIRS_AT_ONCE = 4096
 # rows of one block of the dense comparison
 BLOCK_ROWS = 1024
 PIVOTS = 256
@@ -136,12 +139,56 @@ def _dots(batches):
         )
 
 
-def verify(pairs: DataFrame, left: DataFrame, right: DataFrame, t: float) -> DataFrame:
-    """Keep candidate pairs whose true similarity is at least ``t``."""
-    lv = left.select(F.col("pos").alias("l"), F.col("idx").alias("l_idx"), F.col("val").alias("l_val"))
-    rv = right.select(F.col("pos").alias("r"), F.col("idx").alias("r_idx"), F.col("val").alias("r_val"))
+def _verify_group(t: float):
+    """Pairs of a group that reach ``t``; the group's vectors come once each."""
+
+    def side(vectors: pa.Table, which: int) -> tuple[np.ndarray, pa.Array, pa.Array]:
+        held = vectors.filter(pa.array(vectors["side"].to_numpy() == which)).sort_by("pos")
+        return held["pos"].to_numpy(), _one(held["idx"]), _one(held["val"])
+
+    def compare(pairs: pa.Table, vectors: pa.Table) -> pa.Table:
+        (l_pos, l_idx, l_val), (r_pos, r_idx, r_val) = side(vectors, 0), side(vectors, 1)
+        l_at, r_at = np.searchsorted(l_pos, pairs["l"].to_numpy()), np.searchsorted(r_pos, pairs["r"].to_numpy())
+
+        def laid_out():
+            for k in range(0, pairs.num_rows, PAIRS_AT_ONCE):
+                some = slice(k, k + PAIRS_AT_ONCE)
+                i, j = pa.array(l_at[some]), pa.array(r_at[some])
+                columns = [pa.array(l_pos[l_at[some]]), pa.array(r_pos[r_at[some]]), l_idx.take(i), l_val.take(i), r_idx.take(j), r_val.take(j)]
+                yield pa.RecordBatch.from_arrays(columns, names=["l", "r", "l_idx", "l_val", "r_idx", "r_val"])
+
+        found = [b.filter(pa.array(b.column("sim").to_numpy() >= t)) for b in _dots(laid_out())]
+        return pa.Table.from_batches(found, pa.schema([("l", pa.int64()), ("r", pa.int64()), ("sim", pa.float64())]))
+
+    return compare
+
+
+def verify(ws: Workspace, pairs: DataFrame, left: DataFrame, right: DataFrame, t: float) -> DataFrame:
+    """Keep candidate pairs whose true similarity is at least ``t``.
+
+    Pairs are grouped by a block of left and a block of right rows, with as many blocks as there are pairs for, and a group of
+    more than PAIRS_PER_GROUP pairs, as a row similar to very many others makes it, is split by the pair. A vector travels
+    once to each group that needs it and not once a pair; no task or join key sees all pairs of a row.
+    """
+    pairs = ws.save(pairs, "candidates")
+    blocks = max(1, math.isqrt(pairs.count() // PAIRS_PER_GROUP))
+    block = lambda c: F.pmod(F.xxhash64(c), F.lit(blocks))
+    pairs = pairs.select("l", "r", block("l").alias("block_l"), block("r").alias("block_r"))
+    sizes = pairs.groupBy("block_l", "block_r").agg(F.ceil(F.count("*") / PAIRS_PER_GROUP).alias("parts"))
+    part = F.pmod(F.xxhash64("l", "r"), F.col("parts"))
+    keyed = ws.save(pairs.join(sizes, ["block_l", "block_r"]).select("l", "r", "block_l", "block_r", part.alias("part")), "grouped")
+    group = ["block_l", "block_r", "part"]
+
+    def needed(own: str, rows: DataFrame, side: int) -> DataFrame:
+        wanted = keyed.select(*[F.col(c).alias(c) for c in group], F.col(own).alias("pos")).distinct()  # columns of its own for the cogroup
+        return wanted.join(rows.select("pos", "idx", "val"), "pos").withColumn("side", F.lit(side))
+
+    parallel = int(ws.spark.conf.get("spark.sql.shuffle.partitions"))
+    vectors = needed("l", left, 0).unionByName(needed("r", right, 1))
     return (
-        pairs.join(lv, "l").join(rv, "r").mapInArrow(_dots, "l long, r long, sim double").where(F.col("sim") >= t)
+        keyed.repartition(parallel, *group).groupBy(*group)
+        .cogroup(vectors.repartition(parallel, *group).groupBy(*group))
+        .applyInArrow(_verify_group(t), "l long, r long, sim double")
     )
 
 
@@ -151,7 +198,7 @@ def term_join(ws: Workspace, left: DataFrame, right: DataFrame | None, t: float)
     index_l = ws.save(postings(left, t), "postings")
     index_r = index_l if self_join else ws.save(postings(right, t), "postings")
     found = candidates(index_l, index_r, t, self_join)
-    return verify(found, left, left if self_join else right, t)
+    return verify(ws, found, left, left if self_join else right, t)
 
 
 # ---- dense vectors -------------------------------------------------------------------------------

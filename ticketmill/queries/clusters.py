@@ -282,6 +282,13 @@ def file_clusters(spark, folder):
     return shown(clustered.select("seq", "combined", "cluster_id"))
 
 
+@query("inverted_index_clusters", FILE + " SELECT seq, coalesce(cluster_id, -1) AS cluster_id FROM clustered")
+def inverted_index_clusters(spark, folder):
+    """The same clusters without a bound on the vectors' width: rows meet in an inverted index, whose frequent terms are split."""
+    ws = Workspace(spark)
+    return shown(cl.file_clusters(ws, issues(spark, folder), width=None).select("seq", "cluster_id"))
+
+
 @query("cluster_count", FILE + " SELECT (SELECT count(*) FROM led) AS clusters")
 def cluster_count(spark, folder):
     ws = Workspace(spark)
