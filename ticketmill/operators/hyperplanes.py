@@ -56,7 +56,7 @@ def signatures(vectors: DataFrame, width: int, bands: int, bits: int, seed: int
                 names=["pos", "idx", "val", "keys"],
             )
 
-    usable = vectors.where(F.size("idx") > 0).select("pos", "idx", "val")
+    usable = vectors.where(F.size("idx") > 0).select("pos", "idx", "val").distinct()  # a row that comes twice has its pairs once
     return usable.mapInArrow(run, "pos long, idx array<int>, val array<double>, keys array<long>")
 
 
@@ -66,13 +66,13 @@ def approximate_pairs(
     """Pairs (l, r, sim) with l < r and similarity at least ``t`` that share a key of some band; ``sim`` is exact.
 
     Inputs are unit vectors (pos, idx, val) with unique positions; zero vectors match nothing. Fold equal vectors first, as for the
-    exact joins. No rows give no pairs.
+    exact joins. No rows give no pairs. A pair that shares keys of several bands is found in the first of them.
     """
     bits = bits or bits_for(t, target)
     keyed = signatures(vectors, width, bands_for(t, bits, target), bits, seed)
-    buckets = keyed.select("pos", "idx", "val", F.posexplode("keys").alias("band", "key")).withColumn("bucket", F.concat_ws(":", "band", "key"))
-    found = cell_join(ws, ws.save(buckets, "buckets"), None, t, width, group="bucket")
-    return found.distinct()  # a pair may share keys of several bands
+    buckets = keyed.select("pos", "idx", "val", "keys", F.posexplode("keys").alias("band", "key")).withColumn("bucket", F.concat_ws(":", "band", "key"))
+    buckets = buckets.withColumn("earlier", F.slice("keys", F.lit(1), F.col("band"))).drop("keys")
+    return cell_join(ws, ws.save(buckets, "buckets"), None, t, width, group="bucket", earlier="earlier")
 
 
 def recall(ws: Workspace, vectors: DataFrame, found: DataFrame, t: float, width: int, every: int = 10) -> DataFrame:
@@ -82,6 +82,7 @@ def recall(ws: Workspace, vectors: DataFrame, found: DataFrame, t: float, width:
     """
     left = vectors.where(F.pmod("pos", F.lit(every)) == 0)
     exact = cell_join(ws, left, vectors, t, width).where("l <> r").select(F.least("l", "r").alias("l"), F.greatest("l", "r").alias("r")).distinct()
-    hits = found.select("l", "r", F.lit(1).alias("hit"))
+    counts = lambda c: F.pmod(c, F.lit(every)) == 0
+    hits = found.where(counts("l") | counts("r")).select("l", "r", F.lit(1).alias("hit"))  # no others are in the exact pairs
     counted = exact.join(hits, ["l", "r"], "left").agg(F.count("*").alias("pairs"), F.count("hit").alias("found_pairs"))
     return counted.withColumn("recall", F.coalesce(F.try_divide("found_pairs", "pairs"), F.lit(1.0)))
