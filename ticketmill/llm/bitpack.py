@@ -10,7 +10,8 @@ lost and run again leaves at most a file nobody names. The manifest the tasks re
 the directory of the corpus; positions across files are running sums over it.
 
 Ids are those of the ``tokenizers`` library. Byte-level pre-tokens never reach across a blank between two other
-characters, so each distinct piece between such blanks is encoded once per worker, by the library, and put together.
+characters, and a line feed between two others is a token of its own; so each distinct piece between such blanks and feeds
+is encoded once per worker, by the library, and put together.
 
 Null and empty texts hold only the end id. Null ids sort first. Rows that share an id are ordered by their text.
 """
@@ -162,7 +163,7 @@ class Encoder:
     # texts in which a blank may stand beside other white space; too many of them only cost time
     gap = r"[\s\x0b\x1c-\x1f\x{85}\p{Z}]{2}|^[\s\x0b\x1c-\x1f\x{85}\p{Z}]|[\s\x0b\x1c-\x1f\x{85}\p{Z}]$"
     # letters, then a run of other characters: never one pre-token
-    ended = regex.compile(r"(\p{L}+)([^\s\p{L}\p{N}]+)")
+    ended = regex.compile(r"(\n?\p{L}+)([^\s\p{L}\p{N}]+)")
 
     def __init__(self, path: str):
         import os
@@ -177,7 +178,9 @@ class Encoder:
         names = sorted(self.library.get_vocab().items(), key=lambda x: x[1])
         self.opens = np.zeros(names[-1][1] + 1, bool)  # tokens that start with a blank
         self.opens[[i for t, i in names if t.startswith(blank)]] = True
-        # ids, as 32-bit numbers, of pieces after a blank: those met lately, and those met before them
+        feed = self.library.encode("\n", add_special_tokens=False).ids
+        self.feed = feed[0] if len(feed) == 1 else -1
+        # ids, as 32-bit numbers, of pieces that start with a line feed or come after a blank: those met lately, and those met before them
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
@@ -186,29 +189,45 @@ class Encoder:
         return self.library.get_vocab_size()
 
     def _each(self, pieces: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.library.encode_batch(pieces, add_special_tokens=False)]
+        return [np.array(e.ids, "<u4").tobytes() for e in self.library.encode_batch_fast(pieces, add_special_tokens=False)]
 
     def _after_blank(self, pieces: list[str]) -> list[bytes]:
         """Ids of each piece with a blank before it.
 
         Those without white space and special tokens go through the library as one text, as only their first tokens start with a blank.
         """
-        plain = [p for p in pieces if p.split() == [p] and "<|" not in p]
-        found = {}
+        plain = [p for p in pieces if p.isalpha() or (p.split() == [p] and "<|" not in p)]
+        found = self._at_once(plain, lambda some: " " + " ".join(some), lambda ids: self.opens[ids])
+        rest = [p for p in pieces if p not in found]
+        found.update(zip(rest, self._each([" " + p for p in rest])))
+        return [found[p] for p in pieces]
+
+    def _after_feed(self, pieces: list[str]) -> list[bytes]:
+        """Ids of each piece, which is a line feed and what stands between it and the next white space.
+
+        They go through the library as one text too, in which only the feeds are the feed's token.
+        """
+        plain = [p for p in pieces if p[1:].split() == [p[1:]] and "<|" not in p]
+        found = self._at_once(plain, "".join, lambda ids: ids == self.feed)
+        rest = [p for p in pieces if p not in found]
+        found.update(zip(rest, self._each(rest)))
+        return [found[p] for p in pieces]
+
+    def _at_once(self, plain: list[str], joined, first) -> dict[str, bytes]:
+        """Ids of the pieces, 2000 in one text; ``first`` tells a piece's first token from its others. Left out if they do not come apart."""
+        found: dict[str, bytes] = {}
         for s in range(0, len(plain), 2000):
             some = plain[s : s + 2000]
-            ids = np.array(self.library.encode(" " + " ".join(some), add_special_tokens=False).ids, "<u4")
-            at = np.flatnonzero(self.opens[ids])
+            ids = np.array(self.library.encode_batch_fast([joined(some)], add_special_tokens=False)[0].ids, "<u4")
+            at = np.flatnonzero(first(ids))
             if len(at) == len(some):
                 held, at = ids.tobytes(), [*(4 * at).tolist(), 4 * len(ids)]
                 found.update(zip(some, [held[i:j] for i, j in zip(at[:-1], at[1:])]))
-        rest = [p for p in pieces if p not in found]
-        found.update(zip(rest, self._each([" " + p for p in rest])))
-        return [found[p] for p in pieces]
+        return found
 
     def _learn(self, new: list[str]) -> None:
         """Put new pieces into ``known``; of one that ends in other characters than letters, both parts."""
-        split = {p: m.groups() for p in new if (m := self.ended.fullmatch(p))}
+        split = {p: m.groups() for p in new if not p[-1:].isalnum() and (m := self.ended.fullmatch(p))}
         words = {w for w, _ in split.values() if w not in self.known}
         words.update(p for p in new if p not in split)
         ends = list({e for _, e in split.values()})
@@ -218,7 +237,9 @@ class Encoder:
                 self.known[w] = self.older[w]
             else:
                 todo.append(w)
-        self.known.update(zip(todo, self._after_blank(todo)))
+        feeds, blanks = [w for w in todo if w.startswith("\n")], [w for w in todo if not w.startswith("\n")]
+        self.known.update(zip(feeds, self._after_feed(feeds)))
+        self.known.update(zip(blanks, self._after_blank(blanks)))
         tails = dict(zip(ends, self._each(ends)))
         for p, (w, e) in split.items():
             self.known[p] = self.known[w] + tails[e]
@@ -228,7 +249,8 @@ class Encoder:
         texts = pa.array(texts, pa.large_string()) if isinstance(texts, list) else texts.cast(pa.large_string())
         texts = texts.fill_null("")
         gaps = pc.match_substring_regex(texts, self.gap)
-        lists = pc.split_pattern(texts.filter(pc.invert(gaps)), " ")
+        # a line feed of these stands alone between other characters: it opens a piece, as blanks part them
+        lists = pc.split_pattern(pc.replace_substring(texts.filter(pc.invert(gaps)), "\n", " \n"), " ")
         odd = [self.cut.split(t) for t in texts.filter(gaps).to_pylist()]
         flat = pa.concat_arrays([lists.flatten(), pa.array([p for c in odd for p in c], pa.large_string())])
         counts = np.r_[pc.list_value_length(lists).to_numpy(zero_copy_only=False), [len(c) for c in odd]].astype(np.int64)
@@ -248,12 +270,10 @@ class Encoder:
         # the first piece of a text has no blank before it
         codes[starts] = len(pieces) + np.arange(len(starts))
         found += self._each(flat.take(pa.array(starts)).to_numpy(zero_copy_only=False).tolist())
-        size = np.array(list(map(len, found)), np.int64) >> 2
-        ids = np.frombuffer(b"".join(found), "<u4")
-        begin, long = (np.cumsum(size) - size)[codes], size[codes]
-        ends = np.cumsum(long)
-        ids = ids[np.repeat(begin - ends + long, long) + np.arange(long.sum())]
-        bounds = np.r_[0, ends][np.r_[starts, len(codes)]]
+        taken = pa.array(found, pa.large_binary()).take(pa.array(codes))
+        _, ends, held = taken.buffers()
+        ids = np.frombuffer(held, "<u4") if held is not None else np.zeros(0, "<u4")
+        bounds = np.frombuffer(ends, np.int64)[np.r_[starts, len(codes)]] >> 2
         place = np.argsort(np.r_[np.flatnonzero(~(g := gaps.to_numpy(zero_copy_only=False).astype(bool))), np.flatnonzero(g)])
         return [ids[bounds[i] : bounds[i + 1]] for i in place.tolist()]
 
