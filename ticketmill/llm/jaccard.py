@@ -5,10 +5,11 @@ shared, and a group is what links reach. The work is done on groups of similar d
 
 1. Every document gets its size, a 128-bit digest of its set and its smallest token. Copies share a digest, and one
    document stands for them from here on.
-2. Documents with the same smallest token form a first group, cut into chunks of bounded size that also hold the
+2. Documents with the same smallest tokens in two orders form a first group, cut into chunks of bounded size that also hold the
    group's leader. A task opens one chunk, compares its members and reports one edge per newly linked member, so a large
-   group of near copies yields about one edge a document. The same is done once more for the smallest tokens in two other
-   orders, where groups hold more than one component yet. This only saves work later.
+   group of near copies yields about one edge a document. The same is done once more for the other choices of two among three
+   orders, where groups hold more than one component yet. This only saves work later; one order alone would bring together
+   documents by chance, more of them the more documents there are.
 3. Documents that share the smallest token in two of the three orders are similar and partitioned into groups of bounded size,
    others stand alone. The matrix has the token union of each group. By the prefix principle only the first tokens in a common order,
    frequent ones last, need to be stored: two documents that link share one of them. Groups that share tokens are
@@ -97,14 +98,20 @@ def _signatures(k: int):
     return run
 
 
-def _tokens(k: int, keep: list[str]):
-    """Columns kept, then the tokens of the last column's text."""
+def _as_tokens(k: int):
+    """Batches with their lists of (label, text) as lists of (label, tokens)."""
+
+    def tokenised(lists: pa.Array) -> pa.Array:
+        held = lists.flatten()
+        tokens, at = shingle_sets(held.field("text"), k)
+        sets = pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(tokens))
+        offsets = np.r_[0, np.cumsum(lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))]
+        return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.StructArray.from_arrays([held.field("label"), sets], names=["label", "tokens"]))
 
     def run(batches):
         for batch in pieces(batches):
-            tokens, at = shingle_sets(batch.column(batch.num_columns - 1), k)
-            lists = pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(tokens))
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), lists], names=[*keep, "tokens"])
+            columns = [tokenised(c) if pa.types.is_list(c.type) else c for c in batch.columns]
+            yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
 
     return run
 
@@ -241,6 +248,10 @@ def _open(num: int, den: int):
     return run
 
 
+def _open_texts(k: int, num: int, den: int):
+    return lambda batches: _open(num, den)(_as_tokens(k)(batches))
+
+
 SKETCH = "gid long, least long, sketch binary, members array<struct<n: long, sketch: binary>>"
 
 
@@ -301,11 +312,9 @@ def _chunk_of(doc: str, chunks: str) -> Column:
     return F.pmod(F.xxhash64(doc), F.col(chunks))
 
 
-def _fetch(docs: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
-    """The rows of ``wanted`` (with a ``doc_id``) with the tokens of their documents."""
-    keep = wanted.columns
-    schema = ", ".join(f"{c} {t}" for c, t in wanted.dtypes) + ", tokens array<long>"
-    return wanted.join(few(docs, "doc_id", wanted), "doc_id").select(*keep, "text").mapInArrow(_tokens(k, keep), schema)
+def _fetch(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The rows of ``wanted`` (with a ``doc_id``) with the texts of their documents, which take less room on the way than their tokens."""
+    return wanted.join(few(docs, "doc_id", wanted), "doc_id").select(*wanted.columns, "text")
 
 
 def _open_groups(ws: Workspace, docs: DataFrame, keyed: DataFrame, k: int, num: int, den: int) -> DataFrame:
@@ -319,14 +328,17 @@ def _open_groups(ws: Workspace, docs: DataFrame, keyed: DataFrame, k: int, num:
     numbers = F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1))
     led = groups.where("chunks > 1").select("key", numbers.alias("chunk"), F.col("leader").alias("doc_id"))
     wanted = ws.save(own.union(led).distinct(), "members")
-    chunks = _fetch(docs, wanted, k).groupBy("key", "chunk").agg(F.collect_list(F.struct(F.col("doc_id").alias("label"), "tokens")).alias("members"))
-    return ws.save(chunks.select("members").mapInArrow(_open(num, den), "a long, b long"), "near")
+    chunks = _fetch(docs, wanted).groupBy("key", "chunk").agg(F.collect_list(F.struct(F.col("doc_id").alias("label"), "text")).alias("members"))
+    return ws.save(chunks.select("members").mapInArrow(_open_texts(k, num, den), "a long, b long"), "near")
 
 
 # columns of a matrix entry of a document that stands alone, and those of a group beyond them
 CELL = ("token", "gid", "least", "last", "pos", "often")
 GROUP_CELL = (*CELL, "most", "members", "c0", "c1")
 PACKED_ROWS = "part int, columns int, cells binary"
+# leading bits of a token's hash that the matrix keeps: tokens that agree in them count as one, so more is compared, not less
+KEPT_BITS = np.int64(-1 << 24)
+LEAST = {"often": -1, "last": -(1 << 30)}  # what is taken off a column, as negative numbers have other leading bytes
 MATRIX = "token long, gid long, members long, c0 long, c1 long, least long, most long, last int, pos int, often int"
 
 
@@ -337,8 +349,9 @@ def _packed(names: tuple[str, ...], bits: int):
     """
 
     def flush(held):
-        columns = [np.concatenate(c) for c in zip(*held)]
+        columns = [np.concatenate(c) - LEAST.get(name, 0) for name, c in zip(names, zip(*held))]
         held.clear()
+        columns[0] &= KEPT_BITS
         order = np.argsort(columns[0].view(np.uint64))
         columns = [c[order] for c in columns]
         part = (columns[0].view(np.uint64) >> np.uint64(64 - bits)).astype(np.int64)
@@ -369,7 +382,7 @@ def _meeting(batches):
         columns: dict[str, list] = {c: [] for c in GROUP_CELL}
         for count, cells in held:
             own = np.frombuffer(cells, np.uint8).reshape(count, 8, -1)
-            own = dict(zip(GROUP_CELL, [np.ascontiguousarray(c.T).view(np.int64).reshape(-1) for c in own]))
+            own = {name: np.ascontiguousarray(c.T).view(np.int64).reshape(-1) + LEAST.get(name, 0) for name, c in zip(GROUP_CELL, own)}
             if count == len(CELL):
                 own |= {"most": own["least"], "members": np.ones(len(own["gid"]), np.int64), "c0": own["gid"], "c1": own["gid"]}
             for c, values in own.items():
@@ -401,7 +414,7 @@ def _candidates(shared: DataFrame, num: int, den: int) -> DataFrame:
     """Pairs of groups (a, b) that may hold a link between different components."""
     side = lambda s: shared.select("token", *[F.col(c).alias(f"{s}_{c}") for c in shared.columns if c != "token"])
     met = side("a").join(side("b"), "token").where(
-        (F.col("a_gid") < F.col("b_gid"))
+        (F.col("a_gid") < F.col("b_gid")) & (F.col("a_often") == F.col("b_often"))
         & ((F.col("a_c0") != F.col("b_c1")) | (F.col("a_c1") != F.col("b_c0")))
         & (F.col("a_most") * den >= F.col("b_least") * num) & (F.col("b_most") * den >= F.col("a_least") * num)
     )
@@ -415,14 +428,22 @@ def _candidates(shared: DataFrame, num: int, den: int) -> DataFrame:
     )
     need = F.ceil((F.col("a_least") + F.col("b_least")) * num / F.lit(num + den))  # the least overlap of a link
 
+    def needed(n: Column) -> Column:
+        return n - F.ceil(n * num / F.lit(den)) + 1
+
     def fits(s: str, o: str) -> Column:
-        """Not more of a single document's tokens are missing on the other side than a link allows."""
+        """Not more of a single document's tokens are missing on the other side than a link allows.
+
+        The ends of a group's prefixes differ, so what is visible of its union may end anywhere. But prefixes are half as long again as
+        they must be, so a member that links shares as many tokens more: with the document's prefix, and so does the union.
+        """
         n = F.col(f"{s}_least")
-        needed = n - F.ceil(n * num / F.lit(den)) + 1
-        prefix = F.least(n, needed + F.floor(needed / 2))
+        prefix = F.least(n, needed(n) + F.floor(needed(n) / 2))
         whole = F.col(f"{s}_last") < F.col(f"{o}_last")
         missing = F.when(whole, prefix - F.col("all")).otherwise(F.coalesce(f"{s}_pos", F.lit(0)) - F.col("c"))
-        return (F.col(f"{s}_members") > 1) | (missing <= n - need)
+        smallest = F.greatest(F.col(f"{o}_least"), F.ceil(n * num / F.lit(den)))
+        enough = F.col("all") >= 1 + F.floor(needed(F.least(n, smallest)) / 2)
+        return F.when(F.col(f"{s}_members") > 1, True).when(F.col(f"{o}_members") > 1, enough).otherwise(missing <= n - need)
 
     return pairs.where(fits("a", "b") & fits("b", "a")).select(F.col("a_gid").alias("a"), F.col("b_gid").alias("b"))
 
@@ -447,22 +468,22 @@ def linked_groups(
         carriers.groupBy("k1", "k2").agg(F.min("doc_id").alias("rep"), F.min("n").alias("n"), *[F.min(c).alias(c) for c in LOWS]), "sets"
     )
 
-    # 2. open the first groups
-    keyed = reps.select("rep", "n", F.col("low").alias("key"), F.col("rep").alias("comp"))
+    # 2. open the first groups, then those that agree in the two other choices of two
+    two_of_three = [F.xxhash64(F.lit(a + b), a, b) for a, b in zip(LOWS, (*LOWS[1:], LOWS[0]))]
+    keyed = reps.select("rep", "n", two_of_three[0].alias("key"), F.col("rep").alias("comp"))
     edges = _open_groups(ws, docs, keyed, k, num, den)
     near = components(ws, edges)
     keyed = (
         reps.join(near.withColumnRenamed("id", "rep"), "rep", "left")
-        .select("rep", "n", F.coalesce("component", "rep").alias("comp"), F.explode(F.array(*LOWS[1:])).alias("key"))
+        .select("rep", "n", F.coalesce("component", "rep").alias("comp"), F.explode(F.array(*two_of_three[1:])).alias("key"))
     )
     edges = edges.union(_open_groups(ws, docs, keyed, k, num, den))
     near = ws.save(components(ws, edges), "components")
 
     # 3. groups of similar documents: all that share two of the three smallest tokens, by the smallest leader
-    two_of_three = F.array(*[F.xxhash64(F.lit(a + b), a, b) for a, b in zip(LOWS, (*LOWS[1:], LOWS[0]))])
     keyed = (
         reps.join(near.withColumnRenamed("id", "rep"), "rep", "left")
-        .select("rep", "n", F.coalesce("component", "rep").alias("comp"), F.explode(two_of_three).alias("key"))
+        .select("rep", "n", F.coalesce("component", "rep").alias("comp"), F.explode(F.array(*two_of_three)).alias("key"))
     )
     leaders = keyed.groupBy("key").agg(F.min("rep").alias("leader"))
     similar = keyed.join(leaders, "key").groupBy("rep", "n", "comp").agg(F.min("leader").alias("leader"))
@@ -495,18 +516,22 @@ def linked_groups(
     pairs = ws.save(_candidates(shared, num, den), "candidates")
 
     # 4. open what qualifies: pairs, and groups of more than one component
-    mixed_groups = units.where("c0 <> c1").select("gid").distinct()
-    called = pairs.select(F.col("a").alias("gid")).union(pairs.select("b")).union(mixed_groups).distinct()
-    wanted = units.join(called, "gid").select("doc_id", F.col("comp").alias("label"), "gid")
-    sets = _fetch(docs, wanted, k).groupBy("gid").agg(F.collect_list(F.struct("label", "tokens")).alias("members"))
+    # what a group is called for stays with it, so that its sets are moved for nothing else
+    roles = ("as_a", "as_b", "mixed")
+    called_as = lambda df, gid, role: df.select(F.col(gid).alias("gid"), *[F.lit(r == role).alias(r) for r in roles])
+    called = called_as(pairs, "a", "as_a").union(called_as(pairs, "b", "as_b")).union(called_as(units.where("c0 <> c1"), "gid", "mixed"))
+    called = called.groupBy("gid").agg(*[F.bool_or(r).alias(r) for r in roles])
+    wanted = units.join(called, "gid").select("doc_id", F.col("comp").alias("label"), "gid", *roles)
+    sets = _fetch(docs, wanted).groupBy("gid", *roles).agg(F.collect_list(F.struct("label", "text")).alias("members"))
     sets = ws.save(sets, "opened")
-    sketches = ws.save(sets.mapInArrow(_sketches, SKETCH), "sketches")
+    sketches = ws.save(sets.select("gid", "members").mapInArrow(lambda batches: _sketches(_as_tokens(k)(batches)), SKETCH), "sketches")
     side = lambda x: sketches.select(F.col("gid").alias(x), F.col("least").alias(f"{x}_least"), F.col("sketch").alias(f"{x}_sketch"), F.col("members").alias(f"{x}_members"))
     pairs = ws.save(pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(_may_link(num, den), "a long, b long"), "likely")
-    other = sets.select(F.col("gid").alias("b"), F.col("members").alias("others"))
-    met = pairs.join(sets.withColumnRenamed("gid", "a"), "a").join(other, "b").select("members", "others")
-    within = sets.join(mixed_groups, "gid", "left_semi").select("members")
-    links = met.mapInArrow(_open(num, den), "a long, b long").union(within.mapInArrow(_open(num, den), "a long, b long"))
+    own = sets.where("as_a").select(F.col("gid").alias("a"), "members")
+    other = sets.where("as_b").select(F.col("gid").alias("b"), F.col("members").alias("others"))
+    met = pairs.join(own, "a").join(other, "b").select("members", "others")
+    within = sets.where("mixed").select("members")
+    links = met.mapInArrow(_open_texts(k, num, den), "a long, b long").union(within.mapInArrow(_open_texts(k, num, den), "a long, b long"))
     joined = components(ws, links)
 
     # labels go back from components to sets, to the documents that carry them, to all documents
