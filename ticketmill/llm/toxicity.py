@@ -37,6 +37,7 @@ MIN_TOXIC = 5  # toxic texts a feature must appear in
 MIN_LIFT = 2.5  # how much more frequent it must be in toxic texts than in all
 GRADES = 3
 RIDGE = 0.02
+PIECE = 1 << 18  # bytes of text whose features a worker holds at once, some hundred bytes for each
 
 OUTSIDE = np.ones(256, bool)
 OUTSIDE[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = False
@@ -73,7 +74,7 @@ def counted(hashes: np.ndarray, rows: np.ndarray, features: np.ndarray) -> tuple
 
 def _distinct(batches):
     """Features of toxic texts with the number of texts that have them, by batch."""
-    for batch in pieces(batches):
+    for batch in pieces(batches, PIECE):
         hashes, rows = text_features(batch.column("text"))
         order = np.lexsort((hashes, rows))
         h, r = hashes[order], rows[order]
@@ -87,14 +88,14 @@ def _known(features):
 
     def run(batches):
         held = features.value
-        for batch in pieces(batches):
+        n, texts = np.zeros(len(held), np.int64), 0
+        for batch in pieces(batches, PIECE):
             hashes, rows = text_features(batch.column("text"))
             _, i, _ = counted(hashes, rows, held)
-            n = np.bincount(i, minlength=len(held))
-            has = np.flatnonzero(n)
-            yield pa.RecordBatch.from_pydict(
-                {"feature": np.r_[0, held[has]], "n": np.r_[0, n[has]], "rows": np.r_[batch.num_rows, np.zeros(len(has), np.int64)]}
-            )
+            n += np.bincount(i, minlength=len(held))
+            texts += batch.num_rows
+        has = np.flatnonzero(n)
+        yield pa.RecordBatch.from_pydict({"feature": np.r_[0, held[has]], "n": np.r_[0, n[has]], "rows": np.r_[texts, np.zeros(len(has), np.int64)]})
 
     return run
 
@@ -102,7 +103,7 @@ def _known(features):
 def _design(features):
     def run(batches):
         held = features.value
-        for batch in pieces(batches):
+        for batch in pieces(batches, PIECE):
             hashes, rows = text_features(batch.column("text"))
             row, i, count = counted(hashes, rows, held)
             offsets = np.searchsorted(row, np.arange(batch.num_rows + 1))
@@ -217,7 +218,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     held = docs.sparkSession.sparkContext.broadcast(tuple(model))
 
     def run(batches):
-        for batch in pieces(batches):
+        for batch in pieces(batches, PIECE):
             s, g, t = severity(batch.column("text"), *held.value)
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(s), pa.array(g), pa.array(t)], names=[id_col, "severity", "grade", "toxic"])
 
@@ -231,7 +232,7 @@ def keep_clean(docs: DataFrame, model: Model, text_col: str = "text") -> DataFra
     at = docs.columns.index(text_col)
 
     def run(batches):
-        for batch in pieces(batches):
+        for batch in pieces(batches, PIECE):
             _, _, toxic = severity(batch.column(at), *held.value)
             yield batch.filter(pa.array(~toxic))
 
